@@ -220,33 +220,35 @@ def resilience_profile(cond: DataFrame, hubs: DataFrame, unknown_as: str = DEFAU
     return profile_stats(ends, ["hub", "month", "event"], "duration_minutes")
 
 
-def route_risk(
+def _pair_daily(cond: DataFrame, end: str, unknown_as: str, hubs: DataFrame | None) -> DataFrame:
+    """Daily movement counts per (origin, destination, date, event at ``end``) (A12 inner level)."""
+    f = cond if hubs is None else touches_any(cond, ["origin", "destination"], hubs, "station")
+    f = f.select(
+        "origin",
+        "destination",
+        "movement_date",
+        F.coalesce(F.col(f"{end}_event"), F.lit(unknown_as)).alias("hub_event"),
+    )
+    return f.groupBy("origin", "destination", "movement_date", "hub_event").agg(F.count(F.lit(1)).alias("daily_flights"))
+
+
+def condition_sensitivity(
     cond: DataFrame,
     calendar: Calendar = Calendar(),
     min_flights: int = 12,
     end: str = "origin",
     unknown_as: str = DEFAULT_LABEL,
     hubs: DataFrame | None = None,
+    daily: DataFrame | None = None,
 ) -> DataFrame:
-    """Condition and shock sensitivity per origin-destination pair.
-
-    Condition index: (clear - bad) / clear of the average daily count; the
-    daily grain includes the event, so a mixed day counts on both sides (T7).
-    Shock index: (base - collapse) / base of the average monthly count. Only
-    ``end``'s event is used (T6). Pairs need ``min_flights`` in the base year.
+    """Condition sensitivity per origin-destination pair.
 
-    The daily counts over all years are the single aggregate over the facts;
-    the base-year condition measures and the monthly counts both derive from
-    it, and the two results are joined on the pair they are both grouped by.
+    (clear - bad) / clear of the average daily count in the base year. The
+    daily grain includes the event, so a mixed day counts on both sides, and
+    days without movements never enter an average (T7). Only ``end``'s event
+    is used (T6). Pairs need ``min_flights`` in the base year.
     """
-    f = cond if hubs is None else touches_any(cond, ["origin", "destination"], hubs, "station")
-    f = f.select(
-        "origin",
-        "destination",
-        "movement_date",
-        F.coalesce(F.col(f"{end}_event"), F.lit(unknown_as)).alias("hub_event"),
-    )
-    daily = f.groupBy("origin", "destination", "movement_date", "hub_event").agg(F.count(F.lit(1)).alias("daily_flights"))
+    daily = daily if daily is not None else _pair_daily(cond, end, unknown_as, hubs)
     clear = F.col("hub_event") == unknown_as
     bad = F.col("hub_event") != unknown_as
     weather = (
@@ -261,6 +263,27 @@ def route_risk(
         )
         .filter(F.col("total_flights_base") >= min_flights)
     )
+    return weather.withColumn(
+        "weather_sensitivity_index",
+        F.round(safe_divide(F.col("avg_flights_clear") - F.col("avg_flights_bad"), F.col("avg_flights_clear")), 4),
+    )
+
+
+def shock_sensitivity(
+    cond: DataFrame,
+    calendar: Calendar = Calendar(),
+    end: str = "origin",
+    unknown_as: str = DEFAULT_LABEL,
+    hubs: DataFrame | None = None,
+    daily: DataFrame | None = None,
+) -> DataFrame:
+    """Shock sensitivity per pair: (base - collapse) / base of the average monthly count.
+
+    Monthly counts are re-summed from the daily counts, so the facts are
+    aggregated once even when M5 and M6 are computed together. A pair with no
+    movement in the collapse window gets a null index, not 1 (T7).
+    """
+    daily = daily if daily is not None else _pair_daily(cond, end, unknown_as, hubs)
     monthly = daily.groupBy("origin", "destination", month_start("movement_date").alias("month")).agg(
         F.sum("daily_flights").alias("monthly_flights")
     )
@@ -270,8 +293,30 @@ def route_risk(
             "avg_monthly_collapse"
         ),
     )
-    j = weather.join(shock, ["origin", "destination"], "inner")
-    return j.select(
+    return shock.withColumn(
+        "shock_sensitivity_index",
+        F.round(safe_divide(F.col("avg_monthly_base") - F.col("avg_monthly_collapse"), F.col("avg_monthly_base")), 4),
+    )
+
+
+def route_risk(
+    cond: DataFrame,
+    calendar: Calendar = Calendar(),
+    min_flights: int = 12,
+    end: str = "origin",
+    unknown_as: str = DEFAULT_LABEL,
+    hubs: DataFrame | None = None,
+) -> DataFrame:
+    """Condition and shock sensitivity per pair: M5 inner join M6 (M7).
+
+    Both sides derive from one daily aggregate of the facts (the repeated
+    exchange is reused by the planner) and are grouped by the pair they are
+    joined on.
+    """
+    daily = _pair_daily(cond, end, unknown_as, hubs)
+    w = condition_sensitivity(cond, calendar, min_flights, end, unknown_as, daily=daily)
+    s = shock_sensitivity(cond, calendar, end, unknown_as, daily=daily)
+    return w.join(s, ["origin", "destination"], "inner").select(
         "origin",
         "destination",
         "total_flights_base",
@@ -279,14 +324,10 @@ def route_risk(
         "avg_flights_bad",
         "clear_days_base",
         "bad_days_base",
-        F.round(safe_divide(F.col("avg_flights_clear") - F.col("avg_flights_bad"), F.col("avg_flights_clear")), 4).alias(
-            "weather_sensitivity_index"
-        ),
+        "weather_sensitivity_index",
         "avg_monthly_base",
         "avg_monthly_collapse",
-        F.round(
-            safe_divide(F.col("avg_monthly_base") - F.col("avg_monthly_collapse"), F.col("avg_monthly_base")), 4
-        ).alias("shock_sensitivity_index"),
+        "shock_sensitivity_index",
     )
 
 
