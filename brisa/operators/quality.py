@@ -176,3 +176,11 @@ def summary(checks: Sequence[DataFrame]) -> DataFrame:
     for c in checks[1:]:
         allc = allc.unionByName(c)
     return allc.groupBy("status").agg(F.count(F.lit(1)).alias("n_checks"))
+
+
+def union_checks(frames: Sequence[DataFrame]) -> DataFrame:
+    """Stack check rows of several checks."""
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out

@@ -444,3 +444,7 @@ WHERE nullif(trim(CAST(origin AS VARCHAR)), '\\N') IS NOT NULL AND nullif(trim(C
 def stg_routes(spark, d):
     """C5 (F1, F2, F6, F22)."""
     return M(spark, d).stg_routes()
+
+
+# Operator-level, scalar, quality and file-job queries register themselves on import.
+from . import catalog_ops  # noqa: E402,F401

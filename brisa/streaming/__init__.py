@@ -1,0 +1,3 @@
+from .landing import land_available, read_new_csv
+
+__all__ = ["land_available", "read_new_csv"]
