@@ -22,11 +22,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.classify import Rule
 from ..functions.scalars import epoch_millis
+from ..session import scratch_path
 from . import dims, marts, serving, staging
 
 # Fixed values of the mapping: base year, hub scope and hub count.
@@ -51,22 +53,60 @@ def carrier_code(brand: Column) -> Column:
     return F.concat(F.lit("B"), F.lpad(F.substring_index(brand, "#", -1), 2, "0"))
 
 
+# Fact tables and the key each is spread on when its scan is too coarse.
+SPREAD_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Read a test table; fact tables are spread when the scan is too coarse.
+
+    A Parquet file is split by row group. When the scan yields fewer tasks than
+    the cluster has cores (here: one row group per file) the table is
+    hash-partitioned on its key so the joins after the scan run in parallel.
+    With the many files of a large dataset the scan already has more tasks
+    than cores and nothing is added.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    key = SPREAD_KEYS.get(name)
+    if key is not None:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores, key)
+    return df
+
+
+# Intermediate tables written once per (application, data directory, model).
+_TABLES: dict[tuple[str, str, str], str] = {}
 
 
 @dataclass
 class Model:
-    """Lazily built frames of the mapped pipeline for one data directory.
-
-    Each property is a lazy DataFrame; building one never runs a job, except
-    the observation size check inside the conditions join.
+    """Frames of the mapped pipeline for one data directory.
+
+    The intermediate models read by several marts (staged movements, hub
+    list, movements with conditions) are written once per Spark application
+    and data directory to the shared checkpoint folder and read back, as the
+    warehouse materialises its intermediate models: later queries read the
+    table instead of re-running the joins, and the written files survive the
+    loss of any executor. ``materialize=False`` keeps everything lazy.
     """
 
     spark: SparkSession
     sf_dir: str
+    materialize: bool = True
     _cache: dict = field(default_factory=dict)
 
+    def _table(self, name: str, build) -> DataFrame:
+        if not self.materialize:
+            return build()
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        path = _TABLES.get(key)
+        if path is None:
+            path = scratch_path(self.spark, f"model-{name}")
+            build().write.mode("overwrite").parquet(path)
+            _TABLES[key] = path
+        return self.spark.read.parquet(path)
+
     def t(self, name: str) -> DataFrame:
         return table(self.spark, self.sf_dir, name)
 
@@ -157,7 +197,7 @@ class Model:
         )
 
     def stg_movements(self) -> DataFrame:
-        return self._memo("stg", lambda: staging.stg_movements(self.raw_movements()))
+        return self._memo("stg", lambda: self._table("stg_movements", lambda: staging.stg_movements(self.raw_movements())))
 
     def stg_observations(self) -> DataFrame:
         return staging.stg_observations(self.raw_observations(), OBS_MEASURES, station="station", nanos="obs_time")
@@ -171,8 +211,11 @@ class Model:
     def hubs(self) -> DataFrame:
         return self._memo(
             "hubs",
-            lambda: marts.rank_hubs(
-                self.raw_movements(), self.places(), HUB_REGIONS, BASE_YEAR, N_HUBS, place_cols=("place_name", "country")
+            lambda: self._table(
+                "hubs",
+                lambda: marts.rank_hubs(
+                    self.raw_movements(), self.places(), HUB_REGIONS, BASE_YEAR, N_HUBS, place_cols=("place_name", "country")
+                ),
             ),
         )
 
@@ -188,12 +231,13 @@ class Model:
 
     # marts ----------------------------------------------------------------
     def conditions(self) -> DataFrame:
-        return self._memo(
-            "cond",
-            lambda: marts.movements_with_conditions(
-                self.stg_movements(), self.stg_observations(), self.hubs(), OBS_MEASURES, RULES
-            ),
-        )
+        """Recovery, resilience, route risk and carrier marts all read it."""
+
+        def build():
+            cond = marts.movements_with_conditions(self.stg_movements(), self.stg_observations(), self.hubs(), OBS_MEASURES, RULES)
+            return cond if self.materialize else cond.persist(StorageLevel.MEMORY_AND_DISK)
+
+        return self._memo("cond", lambda: self._table("conditions", build))
 
     def baseline(self) -> DataFrame:
         return marts.traffic_baseline(self.stg_movements(), self.hubs(), BASE_YEAR)
