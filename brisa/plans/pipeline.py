@@ -1,0 +1,180 @@
+"""The full build on landed domain files: raw -> staging -> dimensions ->
+conditions join -> marts -> serving queries -> data-quality summary.
+
+Intermediate models read by several later models (staged movements, the
+conditions join) are written as tables to ``out_dir`` and read back, which cuts
+the lineage and lets the marts scan only the columns they need; marts are
+written with the month layout of the warehouse (X2).
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.classify import WEATHER_RULES, Rule
+from ..functions.scalars import normalize_nulls
+from ..operators import quality as q
+from ..sources import files, schemas
+from . import dims, marts, serving, staging
+
+OBS_MEASURES = marts.WEATHER_MEASURES
+
+
+@dataclass
+class Inputs:
+    """Paths of the landed inputs (Parquet for the large logs, CSV for reference files)."""
+
+    flights: str
+    weather: str
+    airports: str
+    airlines: str
+    routes: str
+    hub_seed: str
+    weather_format: str = "parquet"  # or "json" (API payload of parallel arrays)
+
+
+@dataclass
+class Build:
+    tables: dict[str, DataFrame] = field(default_factory=dict)
+
+    def __getitem__(self, k: str) -> DataFrame:
+        return self.tables[k]
+
+
+def read_inputs(spark: SparkSession, inp: Inputs) -> dict[str, DataFrame]:
+    flights = files.load_parquet(spark, inp.flights, schemas.FLIGHTS_RAW)
+    # Null tokens ('', 'nan', ...) in string columns become nulls at load (N1, trap T2).
+    strings = {f.name for f in schemas.FLIGHTS_RAW.fields if f.dataType.typeName() == "string"}
+    flights = flights.select(*[normalize_nulls(c).alias(c) if c in strings else F.col(c) for c in flights.columns])
+    if inp.weather_format == "json":
+        payload = spark.read.schema(schemas.WEATHER_PAYLOAD).option("multiLine", True).json(inp.weather)
+        weather = files.explode_parallel_arrays(payload, "hourly", keep=["airport_icao", "latitude", "longitude"])
+        weather = weather.withColumn("obs_time", F.unix_micros(F.col("time").cast("timestamp")) * F.lit(1000))
+    else:
+        weather = files.load_parquet(spark, inp.weather, schemas.WEATHER_RAW)
+    return {
+        "flights": flights,
+        "weather": weather,
+        "airports": files.read_csv(spark, inp.airports, schemas.AIRPORTS_RAW),
+        "airlines": files.read_csv_headerless(spark, inp.airlines, schemas.AIRLINES_RAW),
+        "routes": files.read_csv_headerless(spark, inp.routes, schemas.ROUTES_RAW),
+        "hubs": files.read_seed(spark, inp.hub_seed, schemas.HUB_SEED),
+    }
+
+
+def run(
+    spark: SparkSession,
+    inp: Inputs,
+    out_dir: str,
+    calendar: marts.Calendar = marts.Calendar(),
+    rules: list[Rule] = WEATHER_RULES,
+    write_marts: bool = True,
+) -> Build:
+    """Build every model; returns the frames (tables read back from ``out_dir``)."""
+    raw = read_inputs(spark, inp)
+    out = Build()
+    t = out.tables
+
+    def table(name: str, df: DataFrame, month_of: str | None = None, cluster: tuple = ()) -> DataFrame:
+        path = f"{out_dir.rstrip('/')}/{name}"
+        files.write_layout(df, path, month_of, cluster, month_name="layout_month")
+        back = spark.read.parquet(path)
+        return back.drop("layout_month") if month_of else back
+
+    hubs = raw["hubs"].select("station", "iata", F.col("name").alias("place_name"), "country")
+    t["stg_movements"] = table("stg_movements", staging.stg_movements(raw["flights"]), "movement_date", ("origin", "destination"))
+    t["stg_observations"] = staging.stg_observations(raw["weather"], OBS_MEASURES)
+    t["stg_places"] = staging.stg_places(raw["airports"])
+    t["stg_carriers"] = staging.stg_carriers(raw["airlines"])
+    t["stg_routes"] = staging.stg_routes(raw["routes"])
+
+    t["dim_place"] = dims.dim_place(t["stg_places"], hubs)
+    t["dim_carrier"] = dims.dim_carrier(t["stg_carriers"])
+    t["dim_asset"] = dims.dim_asset(t["stg_movements"])
+    t["dim_date"] = dims.dim_date(spark, f"{calendar.base_year}-01-01", f"{calendar.recovery_year + 1}-01-01")
+    t["dim_event"] = dims.dim_event(spark)
+    t["dim_phase"] = dims.dim_phase(spark, calendar.base_year)
+
+    cond = marts.movements_with_conditions(t["stg_movements"], t["stg_observations"], hubs, OBS_MEASURES, rules)
+    t["movements_with_conditions"] = table("movements_with_conditions", cond, "movement_date", ("origin", "destination"))
+    t["traffic_baseline"] = marts.traffic_baseline(t["stg_movements"], hubs, calendar.base_year)
+    t["hub_recovery"] = marts.recovery(t["movements_with_conditions"], hubs, t["traffic_baseline"], t["dim_phase"])
+    t["hub_resilience"] = marts.resilience_profile(t["movements_with_conditions"], hubs)
+    t["route_risk"] = marts.route_risk(t["movements_with_conditions"], calendar)
+    t["carrier_performance"] = marts.carrier_performance(t["movements_with_conditions"], hubs, calendar.base_year)
+    if write_marts:
+        t["hub_recovery"] = table("hub_recovery", t["hub_recovery"], "month", ("hub",))
+        t["hub_resilience"] = table("hub_resilience", t["hub_resilience"], "month", ("hub", "event"))
+        t["route_risk"] = table("route_risk", t["route_risk"], None, ("origin", "destination"))
+        t["carrier_performance"] = table("carrier_performance", t["carrier_performance"], "month", ("carrier",))
+
+    t["cross_stress"] = serving.cross_stress(t["hub_recovery"], t["hub_resilience"], t["dim_place"], calendar.recovery_year)
+    t["stress_correlation"] = serving.stress_correlation(t["cross_stress"])
+    t["hub_condition_profile"] = serving.hub_condition_profile(t["hub_resilience"], t["dim_place"])
+    t["carrier_trajectory"] = serving.carrier_trajectory(t["carrier_performance"], t["dim_carrier"], 12)
+    t["hub_series"] = serving.hub_series(t["hub_recovery"], t["dim_place"])
+    t["top_routes"] = serving.top_routes(t["route_risk"], 200)
+    t["recovery_ranking"] = serving.recovery_ranking(t["hub_series"], calendar.recovery_year)
+    t["condition_mix"] = serving.condition_mix(t["hub_condition_profile"])
+    t["most_sensitive"] = serving.most_sensitive(t["route_risk"], 15)
+    t["score_table"] = serving.score_table(t["cross_stress"])
+    t["quality"] = quality_suite(t, hubs)
+    return out
+
+
+def quality_suite(t: dict[str, DataFrame], hubs: DataFrame) -> DataFrame:
+    """The declared checks of the models, a few aggregate passes per relation."""
+    cond = t["movements_with_conditions"]
+    checks = [
+        q.relation_checks(
+            t["stg_movements"],
+            q.RelationChecks(
+                "stg_movements",
+                not_null=["movement_id", "movement_date", "first_seen_at", "last_seen_at", "duration_minutes"],
+            ),
+        ),
+        q.unique(t["stg_movements"], "stg_movements", ["movement_id"]),
+        q.relation_checks(
+            t["stg_places"],
+            q.RelationChecks("stg_places", not_null=["station"], accepted={"place_type": schemas.PLACE_TYPES}),
+        ),
+        q.unique(t["stg_places"], "stg_places", ["station"]),
+        q.relation_checks(t["stg_carriers"], q.RelationChecks("stg_carriers", not_null=["carrier_id", "carrier"])),
+        q.unique(t["dim_carrier"], "dim_carrier", ["carrier"]),
+        q.relation_checks(
+            cond,
+            q.RelationChecks(
+                "movements_with_conditions",
+                not_null=["movement_id", "origin", "destination", "movement_date"],
+                accepted={"origin_event": ["clear", "windy", "snow", "fog", "storm"], "destination_event": ["clear", "windy", "snow", "fog", "storm"]},
+                ranges=[q.RangeRule("duration_minutes", 0, 1440)],
+                mean_between={"duration_minutes": (60, 300)},
+            ),
+        ),
+        q.unique(t["traffic_baseline"], "traffic_baseline", ["hub", "month"]),
+        q.unique(t["hub_recovery"], "hub_recovery", ["hub", "month"]),
+        q.relationships(t["hub_recovery"], "hub_recovery", "hub", t["dim_place"], "station"),
+        q.unique(t["hub_resilience"], "hub_resilience", ["hub", "month", "event"]),
+        q.unique(t["route_risk"], "route_risk", ["origin", "destination"]),
+        q.relationships(t["route_risk"], "route_risk", "origin", t["dim_place"], "station", severity="warn"),
+        q.relationships(t["carrier_performance"], "carrier_performance", "carrier", t["dim_carrier"], "carrier", severity="warn"),
+        q.relation_checks(
+            t["route_risk"],
+            q.RelationChecks(
+                "route_risk",
+                ranges=[
+                    q.RangeRule("weather_sensitivity_index", -5, 1, row_condition=F.col("weather_sensitivity_index").isNotNull()),
+                    q.RangeRule("shock_sensitivity_index", -5, 1, row_condition=F.col("shock_sensitivity_index").isNotNull()),
+                ],
+            ),
+        ),
+        q.landing_before_takeoff(cond, "movements_with_conditions", "first_seen_at", "last_seen_at"),
+        q.keys_missing(hubs, "station", t["traffic_baseline"], "hub", "every_hub_has_baseline", "hubs"),
+        q.bucket_within_day(
+            cond, "movements_with_conditions", "movement_date", [("origin_event", "first_seen_at"), ("destination_event", "last_seen_at")]
+        ),
+    ]
+    return q.union_checks(checks)
