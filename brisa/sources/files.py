@@ -167,23 +167,28 @@ def write_layout(
     cluster: Sequence[str] = (),
     month_name: str = "month",
     mode: str = "overwrite",
+    max_records_per_file: int = 5_000_000,
 ) -> None:
     """Partition by month of a date column and cluster by up to four keys.
 
-    Rows are hash-distributed by month and sorted by the cluster keys inside
-    each task so Parquet row groups carry tight min/max statistics.
+    Rows are range-partitioned on (month, cluster keys) and sorted inside each
+    task, so a month is spread over as many writer tasks as its size needs (a
+    hash on the month alone would send a whole month to one task) and each
+    Parquet row group carries tight min/max statistics on the cluster keys.
+    Without cluster keys a hash of the row breaks ties inside a month.
     """
     if len(cluster) > 4:
         raise ValueError("at most four cluster keys")
     out = df
-    writer_keys = []
+    writer_keys: list[str] = []
+    order: list = [F.col(c) for c in cluster]
     if month_of is not None:
         out = out.withColumn(month_name, month_start(month_of))
-        out = out.repartition(month_name)
         writer_keys = [month_name]
-    if cluster:
-        out = out.sortWithinPartitions(*cluster)
-    w = out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+        order = [F.col(month_name)] + (order or [F.xxhash64(*[F.col(c) for c in df.columns])])
+    if order:
+        out = out.repartitionByRange(*order).sortWithinPartitions(*order)
+    w = out.write.mode(mode).option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", max_records_per_file)
     if writer_keys:
         w = w.partitionBy(*writer_keys)
     w.parquet(path)
