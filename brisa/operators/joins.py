@@ -52,12 +52,13 @@ def with_membership_flag(df: DataFrame, key: str, set_df: DataFrame, set_key: st
     """Add ``name`` = key is in ``set_df`` (P13); null keys give false.
 
     ``set_df`` must be small (bounded); it is de-duplicated and broadcast so
-    the fact side is not shuffled.
+    the fact side is not shuffled. The key set always carries the same column
+    name, so repeated flags against one set share a single broadcast (the
+    planner reuses the identical exchange) and the set is computed once.
     """
-    marker = f"__in_{name}"
-    keys = set_df.select(F.col(set_key).alias(marker)).distinct()
-    joined = df.join(bounded(keys), df[key] == F.col(marker), "left")
-    return joined.withColumn(name, F.col(marker).isNotNull()).drop(marker)
+    keys = set_df.select(F.col(set_key).alias("__in_set")).distinct()
+    joined = df.join(bounded(keys), df[key] == F.col("__in_set"), "left")
+    return joined.withColumn(name, F.col("__in_set").isNotNull()).drop("__in_set")
 
 
 def touches_any(df: DataFrame, cols: Sequence[str], set_df: DataFrame, set_key: str) -> DataFrame:
@@ -75,8 +76,11 @@ def touches_any(df: DataFrame, cols: Sequence[str], set_df: DataFrame, set_key:
 
 
 def semi_join(df: DataFrame, key: str, set_df: DataFrame, set_key: str) -> DataFrame:
-    """``key in (select set_key from set_df)`` (J8) against a bounded set."""
-    keys = set_df.select(F.col(set_key).alias("__semi_key")).distinct()
+    """``key in (select set_key from set_df)`` (J8) against a bounded set.
+
+    A semi-join never multiplies rows, so the set is not de-duplicated.
+    """
+    keys = set_df.select(F.col(set_key).alias("__semi_key"))
     return df.join(bounded(keys), df[key] == F.col("__semi_key"), "left_semi")
 
 

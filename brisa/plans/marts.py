@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.classify import DEFAULT_LABEL, WEATHER_RULES, Rule, classify, prefixed
@@ -359,13 +359,12 @@ def carrier_performance(
         F.round(cond_avg(clear, "duration_minutes"), 2).alias("avg_duration_clear"),
         F.round(cond_avg(F.col("event") != unknown_as, "duration_minutes"), 2).alias("avg_duration_bad"),
     )
-    base = (
-        monthly.filter(in_year("month", base_year))
-        .groupBy("carrier", F.month("month").alias("calendar_month"))
-        .agg(F.avg("total_flights").alias("baseline_avg_flights"))
-    )
-    j = baseline_join(monthly, base, ["carrier"], "month", "calendar_month", ["baseline_avg_flights"])
-    return j.select(
+    # Base-year average of the same calendar month, as a window over the small
+    # monthly aggregate: one pass, where a self-join on the aggregate would make
+    # the planner scan the facts a second time with fewer columns.
+    same_month = Window.partitionBy("carrier", F.month("month"))
+    base_avg = F.avg(F.when(in_year("month", base_year), F.col("total_flights"))).over(same_month)
+    return monthly.select(
         "carrier",
         "month",
         F.year("month").alias("year"),
@@ -376,6 +375,6 @@ def carrier_performance(
         "clear_flights",
         "avg_duration_clear",
         "avg_duration_bad",
-        "baseline_avg_flights",
-        F.round(safe_divide("total_flights", "baseline_avg_flights"), 4).alias("traffic_recovery_ratio"),
+        base_avg.alias("baseline_avg_flights"),
+        F.round(safe_divide(F.col("total_flights"), base_avg), 4).alias("traffic_recovery_ratio"),
     )

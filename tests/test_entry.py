@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from tools.oracle_check import TABLES, rows
+from tools.oracle_check import TABLES, rows, same
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
@@ -42,4 +42,4 @@ def test_query_matches_oracle(spark, con, name):
         pytest.skip("no SQL oracle")
     odf = con.execute(sql).fetchdf()
     assert sorted(sdf.columns) == sorted(odf.columns)
-    assert rows(sdf) == rows(odf)
+    assert same(rows(sdf), rows(odf))
