@@ -53,6 +53,7 @@ class RelationChecks:
     ranges: Sequence[RangeRule] = ()
     mean_between: dict[str, tuple[float | None, float | None]] = field(default_factory=dict)
     row_count_between: tuple[int | None, int | None] | None = None
+    singular: dict[str, Column] = field(default_factory=dict)
     severity: str = "error"
 
 
@@ -66,7 +67,8 @@ def _outside(c: Column, lo, hi) -> Column:
 
 
 def relation_checks(df: DataFrame, spec: RelationChecks) -> DataFrame:
-    """not_null (Q1), accepted_values (Q3), range (Q8), mean (Q9), row count (Q7)."""
+    """not_null (Q1), accepted_values (Q3), range (Q8), mean (Q9), row count (Q7)
+    and row-condition singular checks (Q10, Q12), all in one aggregate pass."""
     aggs: list[Column] = []
     meta: list[tuple[str, str, str]] = []
 
@@ -88,6 +90,8 @@ def relation_checks(df: DataFrame, spec: RelationChecks) -> DataFrame:
     if spec.row_count_between is not None:
         lo, hi = spec.row_count_between
         add("row_count", "*", F.when(_outside(F.count(F.lit(1)), lo, hi), 1).otherwise(0), spec.severity)
+    for check, cond in spec.singular.items():
+        add(check, "*", F.count_if(cond), spec.severity)
     if not aggs:
         raise ValueError("no checks given")
     one = df.agg(*aggs)
@@ -163,11 +167,16 @@ def bucket_within_day(
 
     ``ends`` lists (event column, timestamp column) pairs.
     """
+    return rows_matching(df, "observation_within_day", relation, outside_day(date_col, ends, tolerance_days))
+
+
+def outside_day(date_col: str, ends: Sequence[tuple[str, str]], tolerance_days: int = 1) -> Column:
+    """Row condition of Q12: an end with an event lies more than ``tolerance_days`` from the date."""
     cond = F.lit(False)
     for event_col, ts_col in ends:
         far = F.abs(F.datediff(F.to_date(F.col(ts_col)), F.col(date_col))) > tolerance_days
         cond = cond | (F.col(event_col).isNotNull() & far)
-    return rows_matching(df, "observation_within_day", relation, cond)
+    return cond
 
 
 def summary(checks: Sequence[DataFrame]) -> DataFrame:
