@@ -123,3 +123,37 @@ def test_profile_stats_single_row_and_quantiles(spark):
     assert out["g1"].total_movements == 10 and out["g1"].p50_duration == 5.0 and out["g1"].p95_duration == 10.0
     assert out["g1"].avg_duration == 5.5
     assert out["g2"].stddev_duration is None and out["g2"].p50_duration == 7.0
+
+
+def test_avg_of_counts_two_levels(spark):
+    df = spark.createDataFrame([("r", "d1"), ("r", "d1"), ("r", "d2"), ("s", "d1")], "route string, day string")
+    out = op.avg_of_counts(df, ["route", "day"], ["route"], [F.avg("n").alias("avg_daily"), F.sum("n").alias("total")])
+    assert {r.route: (r.avg_daily, r.total) for r in out.collect()} == {"r": (1.5, 3), "s": (1.0, 1)}
+
+
+def test_materialise_view_and_table(spark, tmp_dir):
+    from brisa.sources.files import materialise
+
+    df = spark.range(5)
+    materialise(df, "v_five")
+    assert spark.table("v_five").count() == 5
+    t = materialise(df, "t_five", kind="table", path=f"{tmp_dir}/t")
+    assert t.count() == 5 and "Scan parquet" in _plan(t)
+
+
+def test_date_dimension_reference_window(spark):
+    from brisa.plans.dims import dim_date
+
+    d = dim_date(spark)  # 2019-01-01 .. 2022-12-31
+    assert d.count() == 1461
+    r = {x.date_day: x for x in d.filter(F.col("date_day").isin(dt.date(2019, 1, 5), dt.date(2019, 1, 6), dt.date(2020, 2, 29))).collect()}
+    sat, sun, leap = r[dt.date(2019, 1, 5)], r[dt.date(2019, 1, 6)], r[dt.date(2020, 2, 29)]
+    assert (sat.day_of_week, sat.week_of_year, sat.is_weekend, sat.day_name) == (7, 0, True, "Saturday")
+    assert (sun.day_of_week, sun.week_of_year) == (1, 1)
+    assert (leap.quarter_of_year, leap.month_name, leap.quarter_start_date, leap.month_start_date) == (1, "February", dt.date(2020, 1, 1), dt.date(2020, 2, 1))
+
+
+def test_phase_layout_relative_to_base_year(spark):
+    from brisa.sources.lookups import PHASES_2019, phase_rows
+
+    assert [r[:3] for r in phase_rows(2019)] == [r[:3] for r in PHASES_2019]
