@@ -157,3 +157,28 @@ def test_phase_layout_relative_to_base_year(spark):
     from brisa.sources.lookups import PHASES_2019, phase_rows
 
     assert [r[:3] for r in phase_rows(2019)] == [r[:3] for r in PHASES_2019]
+
+
+def test_time_bucket_join_shuffle_fallback_with_hot_key(spark):
+    # A third of the facts on one station: the unbroadcast path (grid over the
+    # row bound) must give the same rows as the broadcast path.
+    facts = spark.range(3000).select(
+        F.col("id"),
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("S"), (F.col("id") % 50).cast("string"))).alias("st"),
+        (F.lit(dt.datetime(2019, 1, 1)).cast("timestamp") + F.make_interval(hours=(F.col("id") % 24).cast("int"))).alias("ts"),
+    )
+    grid = spark.range(50 * 24).select(
+        F.when(F.col("id") < 24, F.lit("HOT")).otherwise(F.concat(F.lit("S"), (F.col("id") / 24).cast("int").cast("string"))).alias("station"),
+        (F.lit(dt.datetime(2019, 1, 1)).cast("timestamp") + F.make_interval(hours=(F.col("id") % 24).cast("int"))).alias("observation_hour"),
+        (F.col("id") * 1.0).alias("m"),
+    )
+    a = op.time_bucket_join(facts, grid, "st", "ts", ["m"], "o_", broadcast=True)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        b = op.time_bucket_join(facts, grid, "st", "ts", ["m"], "o_", max_broadcast_rows=10)
+        assert "BroadcastHashJoin" not in _plan(b)
+        key = lambda r: (r.id, r.o_m, r.o_matched)
+        assert sorted(map(key, a.collect())) == sorted(map(key, b.collect()))
+        assert a.filter("o_matched").count() == b.filter("o_matched").count() > 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

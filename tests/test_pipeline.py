@@ -110,3 +110,29 @@ def test_serving_and_quality(build):
     assert q[("every_hub_has_baseline", "hubs", "station")].status == "pass"
     assert q[("no_end_before_start", "movements_with_conditions", "*")].failures == 0
     assert q[("unique", "dim_carrier", "carrier")].status == "pass"
+
+
+def test_weather_json_payload_matches_parquet(spark, tmp_path_factory, build):
+    # The API form (one object per station with parallel hourly arrays) gives the same events.
+    import json
+
+    base = str(tmp_path_factory.mktemp("json"))
+    inp = fx.write(spark, f"{base}/in")
+    by_station = {}
+    for r in fx.weather():
+        st, nanos = r[0], r[1]
+        t = dt.datetime.utcfromtimestamp(nanos / 1e9).strftime("%Y-%m-%dT%H:%M")
+        h = by_station.setdefault(st, {"time": [], **{m: [] for m in fx.schemas.WEATHER_MEASURE_FIELDS}})
+        h["time"].append(t)
+        for i, m in enumerate(fx.schemas.WEATHER_MEASURE_FIELDS):
+            h[m].append(r[3 + i])
+    import os
+
+    os.makedirs(f"{base}/weather_json")
+    for st, h in by_station.items():  # one document per station, as the pull job writes them
+        with open(f"{base}/weather_json/{st}.json", "w") as f:
+            json.dump({"airport_icao": st, "latitude": 0.0, "longitude": 0.0, "hourly": h}, f, indent=1)
+    inp.weather, inp.weather_format = f"{base}/weather_json", "json"
+    j = pipeline.run(spark, inp, f"{base}/out", write_marts=False)
+    ev = lambda b: sorted(rows(b["movements_with_conditions"], "movement_id", "origin_event", "destination_event"), key=str)
+    assert ev(j) == ev(build)
