@@ -16,9 +16,8 @@ from pyspark.sql import functions as F
 
 from ..functions.classify import WEATHER_RULES, Rule
 from ..functions.scalars import normalize_nulls
-from ..operators import quality as q
 from ..sources import files, schemas
-from . import dims, marts, serving, staging
+from . import dims, domain_quality, marts, serving, staging
 
 OBS_MEASURES = marts.WEATHER_MEASURES
 
@@ -121,60 +120,6 @@ def run(
     t["condition_mix"] = serving.condition_mix(t["hub_condition_profile"])
     t["most_sensitive"] = serving.most_sensitive(t["route_risk"], 15)
     t["score_table"] = serving.score_table(t["cross_stress"])
-    t["quality"] = quality_suite(t, hubs)
+    t["quality"] = domain_quality.declared_checks(t, hubs)
+    t["quality_summary"] = t["quality"].groupBy("status").agg(F.count(F.lit(1)).alias("n_checks"))
     return out
-
-
-def quality_suite(t: dict[str, DataFrame], hubs: DataFrame) -> DataFrame:
-    """The declared checks of the models, a few aggregate passes per relation."""
-    cond = t["movements_with_conditions"]
-    checks = [
-        q.relation_checks(
-            t["stg_movements"],
-            q.RelationChecks(
-                "stg_movements",
-                not_null=["movement_id", "movement_date", "first_seen_at", "last_seen_at", "duration_minutes"],
-            ),
-        ),
-        q.unique(t["stg_movements"], "stg_movements", ["movement_id"]),
-        q.relation_checks(
-            t["stg_places"],
-            q.RelationChecks("stg_places", not_null=["station"], accepted={"place_type": schemas.PLACE_TYPES}),
-        ),
-        q.unique(t["stg_places"], "stg_places", ["station"]),
-        q.relation_checks(t["stg_carriers"], q.RelationChecks("stg_carriers", not_null=["carrier_id", "carrier"])),
-        q.unique(t["dim_carrier"], "dim_carrier", ["carrier"]),
-        q.relation_checks(
-            cond,
-            q.RelationChecks(
-                "movements_with_conditions",
-                not_null=["movement_id", "origin", "destination", "movement_date"],
-                accepted={"origin_event": ["clear", "windy", "snow", "fog", "storm"], "destination_event": ["clear", "windy", "snow", "fog", "storm"]},
-                ranges=[q.RangeRule("duration_minutes", 0, 1440)],
-                mean_between={"duration_minutes": (60, 300)},
-            ),
-        ),
-        q.unique(t["traffic_baseline"], "traffic_baseline", ["hub", "month"]),
-        q.unique(t["hub_recovery"], "hub_recovery", ["hub", "month"]),
-        q.relationships(t["hub_recovery"], "hub_recovery", "hub", t["dim_place"], "station"),
-        q.unique(t["hub_resilience"], "hub_resilience", ["hub", "month", "event"]),
-        q.unique(t["route_risk"], "route_risk", ["origin", "destination"]),
-        q.relationships(t["route_risk"], "route_risk", "origin", t["dim_place"], "station", severity="warn"),
-        q.relationships(t["carrier_performance"], "carrier_performance", "carrier", t["dim_carrier"], "carrier", severity="warn"),
-        q.relation_checks(
-            t["route_risk"],
-            q.RelationChecks(
-                "route_risk",
-                ranges=[
-                    q.RangeRule("weather_sensitivity_index", -5, 1, row_condition=F.col("weather_sensitivity_index").isNotNull()),
-                    q.RangeRule("shock_sensitivity_index", -5, 1, row_condition=F.col("shock_sensitivity_index").isNotNull()),
-                ],
-            ),
-        ),
-        q.landing_before_takeoff(cond, "movements_with_conditions", "first_seen_at", "last_seen_at"),
-        q.keys_missing(hubs, "station", t["traffic_baseline"], "hub", "every_hub_has_baseline", "hubs"),
-        q.bucket_within_day(
-            cond, "movements_with_conditions", "movement_date", [("origin_event", "first_seen_at"), ("destination_event", "last_seen_at")]
-        ),
-    ]
-    return q.union_checks(checks)

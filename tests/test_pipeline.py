@@ -136,3 +136,18 @@ def test_weather_json_payload_matches_parquet(spark, tmp_path_factory, build):
     j = pipeline.run(spark, inp, f"{base}/out", write_marts=False)
     ev = lambda b: sorted(rows(b["movements_with_conditions"], "movement_id", "origin_event", "destination_event"), key=str)
     assert ev(j) == ev(build)
+
+
+def test_declared_quality_suite(build):
+    q = {(r.check_name, r.relation, r.column_name): r for r in build["quality"].collect()}
+    assert len(q) >= 100
+    assert q[("unique", "stg_movements", "movement_id")].status == "pass"
+    assert q[("not_null", "stg_movements", "callsign")].failures == 1  # the null call sign is kept and reported
+    assert q[("accepted_values", "stg_places", "place_type")].status == "pass"
+    assert q[("not_null", "stg_carriers", "is_active")].failures == 1  # padded row without a flag (T18)
+    assert q[("not_null", "hub_recovery", "phase")].status == "pass"
+    assert q[("row_count", "movements_with_conditions", "*")].status == "error"  # fixture is far below 10 M rows
+    assert q[("relationships", "route_risk", "origin")].severity == "warn"
+    assert q[("observation_within_day", "movements_with_conditions", "*")].failures == 0
+    s = {r.status: r.n_checks for r in build["quality_summary"].collect()}
+    assert sum(s.values()) == len(q)
