@@ -81,7 +81,7 @@ _TABLES: dict[tuple[str, str, str], str] = {}
 
 @dataclass
 class Model:
-    """Frames of the mapped pipeline for one data directory.
+    """Frames of the mapped models for one data directory.
 
     The intermediate models read by several marts (staged movements, hub
     list, movements with conditions) are written once per Spark application

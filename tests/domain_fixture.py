@@ -101,7 +101,7 @@ SEED = [
 
 
 def write(spark, base: str):
-    from brisa.plans.pipeline import Inputs
+    from brisa.plans.warehouse import Inputs
 
     os.makedirs(base, exist_ok=True)
     spark.createDataFrame(flights(), schemas.FLIGHTS_RAW).write.mode("overwrite").parquet(f"{base}/flights")

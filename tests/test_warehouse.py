@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from brisa.plans import pipeline
+from brisa.plans import warehouse
 
 from . import domain_fixture as fx
 
@@ -12,7 +12,7 @@ from . import domain_fixture as fx
 def build(spark, tmp_path_factory):
     base = str(tmp_path_factory.mktemp("domain"))
     inp = fx.write(spark, f"{base}/in")
-    return pipeline.run(spark, inp, f"{base}/out")
+    return warehouse.run(spark, inp, f"{base}/out")
 
 
 def rows(df, *cols):
@@ -133,7 +133,7 @@ def test_weather_json_payload_matches_parquet(spark, tmp_path_factory, build):
         with open(f"{base}/weather_json/{st}.json", "w") as f:
             json.dump({"airport_icao": st, "latitude": 0.0, "longitude": 0.0, "hourly": h}, f, indent=1)
     inp.weather, inp.weather_format = f"{base}/weather_json", "json"
-    j = pipeline.run(spark, inp, f"{base}/out", write_marts=False)
+    j = warehouse.run(spark, inp, f"{base}/out", write_marts=False)
     ev = lambda b: sorted(rows(b["movements_with_conditions"], "movement_id", "origin_event", "destination_event"), key=str)
     assert ev(j) == ev(build)
 
