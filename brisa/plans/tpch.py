@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from ..functions.classify import Rule
 from ..functions.scalars import epoch_millis
 from ..session import scratch_path
+from ..sources import files
 from . import dims, marts, serving, staging
 
 # Fixed values of the mapping: base year, hub scope and hub count.
@@ -96,14 +97,18 @@ class Model:
     materialize: bool = True
     _cache: dict = field(default_factory=dict)
 
-    def _table(self, name: str, build) -> DataFrame:
+    def _table(self, name: str, build, cluster: tuple = ()) -> DataFrame:
+        """Build once, write (range-clustered on ``cluster`` when given) and read back."""
         if not self.materialize:
             return build()
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
         path = _TABLES.get(key)
         if path is None:
             path = scratch_path(self.spark, f"model-{name}")
-            build().write.mode("overwrite").parquet(path)
+            if cluster:
+                files.write_clustered(build(), path, cluster)
+            else:
+                build().write.mode("overwrite").parquet(path)
             _TABLES[key] = path
         return self.spark.read.parquet(path)
 
@@ -201,7 +206,12 @@ class Model:
         )
 
     def stg_movements(self) -> DataFrame:
-        return self._memo("stg", lambda: self._table("stg_movements", lambda: staging.stg_movements(self.raw_movements())))
+        return self._memo(
+            "stg",
+            lambda: self._table(
+                "stg_movements", lambda: staging.stg_movements(self.raw_movements()), ("movement_date", "origin", "destination")
+            ),
+        )
 
     def stg_observations(self) -> DataFrame:
         return staging.stg_observations(self.raw_observations(), OBS_MEASURES, station="station", nanos="obs_time")
@@ -241,7 +251,7 @@ class Model:
             cond = marts.movements_with_conditions(self.stg_movements(), self.stg_observations(), self.hubs(), OBS_MEASURES, RULES)
             return cond if self.materialize else cond.persist(StorageLevel.MEMORY_AND_DISK)
 
-        return self._memo("cond", lambda: self._table("conditions", build))
+        return self._memo("cond", lambda: self._table("conditions", build, ("movement_date", "origin", "destination")))
 
     def baseline(self) -> DataFrame:
         return marts.traffic_baseline(self.stg_movements(), self.hubs(), BASE_YEAR)

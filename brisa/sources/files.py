@@ -194,6 +194,18 @@ def write_layout(
     w.parquet(path)
 
 
+def write_clustered(df: DataFrame, path: str, by: Sequence[str], mode: str = "overwrite") -> None:
+    """Range-cluster rows on ``by`` and write without partition directories (X2, cluster part).
+
+    Every file then covers a contiguous range of the first key, so Parquet
+    min/max statistics let range filters on it skip whole files and row
+    groups. The file count follows the shuffle partition count, not the
+    number of distinct months.
+    """
+    cols = [F.col(c) for c in by]
+    df.repartitionByRange(*cols).sortWithinPartitions(*cols).write.mode(mode).parquet(path)
+
+
 def load_summary(df: DataFrame, path: str, name: str = "load_summary") -> int:
     """Write ``df`` as Parquet and report the rows written without a second scan."""
     obs = Observation(name)
