@@ -21,6 +21,13 @@ from . import dims, domain_quality, marts, serving, staging
 
 OBS_MEASURES = marts.WEATHER_MEASURES
 
+# Country scope of the hub ranking (EU-27, United Kingdom,
+# Switzerland, Norway; ISO alpha-2 codes as in the place list).
+EUROPE_SCOPE = [
+    "AT", "BE", "BG", "CY", "CZ", "DE", "DK", "EE", "ES", "FI", "FR", "GR", "HR", "HU", "IE",
+    "IT", "LT", "LU", "LV", "MT", "NL", "PL", "PT", "RO", "SE", "SI", "SK", "GB", "CH", "NO",
+]
+
 
 @dataclass
 class Inputs:
@@ -31,7 +38,7 @@ class Inputs:
     airports: str
     airlines: str
     routes: str
-    hub_seed: str
+    hub_seed: str | None = None  # None: rank the hubs from the movements (M1)
     weather_format: str = "parquet"  # or "json" (API payload of parallel arrays)
 
 
@@ -43,11 +50,40 @@ class Build:
         return self.tables[k]
 
 
-def read_inputs(spark: SparkSession, inp: Inputs) -> dict[str, DataFrame]:
-    flights = files.load_parquet(spark, inp.flights, schemas.FLIGHTS_RAW)
-    # Null tokens ('', 'nan', ...) in string columns become nulls at load (N1, trap T2).
+def read_flights(spark: SparkSession, path: str) -> DataFrame:
+    """Raw movement log; null tokens ('', 'nan', ...) in strings become nulls at load (N1, trap T2)."""
+    flights = files.load_parquet(spark, path, schemas.FLIGHTS_RAW)
     strings = {f.name for f in schemas.FLIGHTS_RAW.fields if f.dataType.typeName() == "string"}
-    flights = flights.select(*[normalize_nulls(c).alias(c) if c in strings else F.col(c) for c in flights.columns])
+    return flights.select(*[normalize_nulls(c).alias(c) if c in strings else F.col(c) for c in flights.columns])
+
+
+def build_hub_seed(
+    spark: SparkSession,
+    flights_path: str,
+    airports_path: str,
+    out_path: str | None = None,
+    year: int = 2019,
+    n: int = 20,
+    countries: list[str] = EUROPE_SCOPE,
+) -> DataFrame:
+    """Rank stations by base-year movements within the country scope and write the seed.
+
+    The ranking is one pass over the movement log with partial aggregation and
+    a top-N; only the ``n`` ranked rows reach the single CSV writer task.
+    """
+    places = staging.stg_places(files.read_csv(spark, airports_path, schemas.AIRPORTS_RAW))
+    ranked = marts.rank_hubs(read_flights(spark, flights_path), places, countries, year, n)
+    seed = ranked.select(
+        "station", F.col("station_iata").alias("iata"), F.col("place_name").alias("name"), "country", "latitude", "longitude"
+    )
+    if out_path is not None:
+        files.write_small_csv(seed, out_path, max_rows=n)
+        return files.read_seed(spark, out_path, schemas.HUB_SEED)
+    return seed
+
+
+def read_inputs(spark: SparkSession, inp: Inputs, calendar: marts.Calendar = marts.Calendar()) -> dict[str, DataFrame]:
+    flights = read_flights(spark, inp.flights)
     if inp.weather_format == "json":
         payload = spark.read.schema(schemas.WEATHER_PAYLOAD).option("multiLine", True).json(inp.weather)
         weather = files.explode_parallel_arrays(payload, "hourly", keep=["airport_icao", "latitude", "longitude"])
@@ -60,7 +96,9 @@ def read_inputs(spark: SparkSession, inp: Inputs) -> dict[str, DataFrame]:
         "airports": files.read_csv(spark, inp.airports, schemas.AIRPORTS_RAW),
         "airlines": files.read_csv_headerless(spark, inp.airlines, schemas.AIRLINES_RAW),
         "routes": files.read_csv_headerless(spark, inp.routes, schemas.ROUTES_RAW),
-        "hubs": files.read_seed(spark, inp.hub_seed, schemas.HUB_SEED),
+        "hubs": files.read_seed(spark, inp.hub_seed, schemas.HUB_SEED)
+        if inp.hub_seed
+        else build_hub_seed(spark, inp.flights, inp.airports, year=calendar.base_year),
     }
 
 
@@ -73,7 +111,7 @@ def run(
     write_marts: bool = True,
 ) -> Build:
     """Build every model; returns the frames (tables read back from ``out_dir``)."""
-    raw = read_inputs(spark, inp)
+    raw = read_inputs(spark, inp, calendar)
     out = Build()
     t = out.tables
 

@@ -151,3 +151,14 @@ def test_declared_quality_suite(build):
     assert q[("observation_within_day", "movements_with_conditions", "*")].failures == 0
     s = {r.status: r.n_checks for r in build["quality_summary"].collect()}
     assert sum(s.values()) == len(q)
+
+
+def test_build_hub_seed_ranks_within_scope(spark, tmp_path_factory):
+    base = str(tmp_path_factory.mktemp("seed"))
+    inp = fx.write(spark, f"{base}/in")
+    seed = warehouse.build_hub_seed(spark, inp.flights, inp.airports, f"{base}/seed", year=2019, n=3, countries=["GB", "DE", "FR"])
+    got = [(r.station, r.iata, r.country) for r in seed.collect()]
+    # ordered by raw 2019 movements (duplicates included, as in the ranking query); KJFK is out of scope
+    assert got == [("EGLL", "LHR", "GB"), ("LFPG", "CDG", "FR"), ("EDDF", "FRA", "DE")]
+    default_scope = warehouse.build_hub_seed(spark, inp.flights, inp.airports, n=20)
+    assert {r.station for r in default_scope.collect()} == {"EGLL", "EDDF", "LFPG"}
