@@ -100,6 +100,7 @@ def movements_with_conditions(
     measures: Sequence[str] = WEATHER_MEASURES,
     rules: Sequence[Rule] = WEATHER_RULES,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    checked_grid: tuple[DataFrame, bool] | None = None,
 ) -> DataFrame:
     """Hub-touching movements with the observation at both ends.
 
@@ -109,7 +110,9 @@ def movements_with_conditions(
 
     The hourly grid is checked once against ``max_broadcast_rows``; when it
     fits, both joins are broadcast hash joins and the movements are never
-    shuffled.
+    shuffled. ``checked_grid`` passes a grid already built and checked with
+    ``size_check`` (persisted), so the caller can unpersist it once the result
+    is written.
     """
     facts = touches_any(
         stg.select(
@@ -130,7 +133,7 @@ def movements_with_conditions(
         hubs,
         "station",
     )
-    grid, small = size_check(observation_grid(observations, measures), max_broadcast_rows)
+    grid, small = checked_grid or size_check(observation_grid(observations, measures), max_broadcast_rows)
     out = time_bucket_join(facts, grid, "origin", "first_seen_at", measures, "origin_", broadcast=small)
     out = out.withColumn("origin_event", classify(rules, F.col("origin_matched"), prefixed("origin_")))
     out = time_bucket_join(out, grid, "destination", "last_seen_at", measures, "destination_", broadcast=small)

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from ..functions.classify import Rule
 from ..functions.scalars import epoch_millis
+from ..operators.joins import size_check
 from ..session import scratch_path
 from ..sources import files
 from . import dims, marts, serving, staging
@@ -245,13 +246,27 @@ class Model:
 
     # marts ----------------------------------------------------------------
     def conditions(self) -> DataFrame:
-        """Recovery, resilience, route risk and carrier marts all read it."""
+        """Recovery, resilience, route risk and carrier marts all read it.
+
+        Materialised: the persisted observation grid is released as soon as the
+        table is written. Lazy: the result itself is persisted instead.
+        """
+        held: dict = {}
 
         def build():
-            cond = marts.movements_with_conditions(self.stg_movements(), self.stg_observations(), self.hubs(), OBS_MEASURES, RULES)
+            held["grid"] = size_check(marts.observation_grid(self.stg_observations(), OBS_MEASURES))
+            cond = marts.movements_with_conditions(
+                self.stg_movements(), self.stg_observations(), self.hubs(), OBS_MEASURES, RULES, checked_grid=held["grid"]
+            )
             return cond if self.materialize else cond.persist(StorageLevel.MEMORY_AND_DISK)
 
-        return self._memo("cond", lambda: self._table("conditions", build, ("movement_date", "origin", "destination")))
+        def build_and_release():
+            out = self._table("conditions", build, ("movement_date", "origin", "destination"))
+            if self.materialize and "grid" in held:
+                held["grid"][0].unpersist()
+            return out
+
+        return self._memo("cond", build_and_release)
 
     def baseline(self) -> DataFrame:
         return marts.traffic_baseline(self.stg_movements(), self.hubs(), BASE_YEAR)
