@@ -22,7 +22,7 @@ def ns(y, mo, d, h=0, mi=0) -> int:
 
 def flight(cs, o, d, first, last, day=None, num="1", icao24="a1", reg="R1", typ="A320"):
     if day is None and first is not None:
-        day = dt.datetime.utcfromtimestamp(first / 1000).strftime("%Y-%m-%d")
+        day = dt.datetime.fromtimestamp(first / 1000, dt.UTC).strftime("%Y-%m-%d")
     return (cs, num, icao24, reg, typ, o, d, first, last, day, None, None, None, None, None, None)
 
 

@@ -121,7 +121,7 @@ def test_weather_json_payload_matches_parquet(spark, tmp_path_factory, build):
     by_station = {}
     for r in fx.weather():
         st, nanos = r[0], r[1]
-        t = dt.datetime.utcfromtimestamp(nanos / 1e9).strftime("%Y-%m-%dT%H:%M")
+        t = dt.datetime.fromtimestamp(nanos / 1e9, dt.UTC).strftime("%Y-%m-%dT%H:%M")
         h = by_station.setdefault(st, {"time": [], **{m: [] for m in fx.schemas.WEATHER_MEASURE_FIELDS}})
         h["time"].append(t)
         for i, m in enumerate(fx.schemas.WEATHER_MEASURE_FIELDS):
