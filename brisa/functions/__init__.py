@@ -1,5 +1,5 @@
 from .classify import DEFAULT_LABEL, WEATHER_RULES, classify, prefixed
-from .conditional import cond_avg, cond_count_distinct, cond_sum, count_where, share, weighted_avg
+from .conditional import cond_avg, cond_count_distinct, cond_sum, count_where, pearson, share, weighted_avg
 from .scalars import (
     any_not_null,
     between_dates,
@@ -39,6 +39,7 @@ __all__ = [
     "minutes_between",
     "month_start",
     "nanos_to_timestamp",
+    "pearson",
     "normalize_nulls",
     "null_sentinel",
     "prefix",

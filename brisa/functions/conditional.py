@@ -45,3 +45,15 @@ def weighted_avg(value: ColumnOrName, weight: ColumnOrName, pred: Column | None
     if pred is not None:
         return safe_divide(F.sum(F.when(pred, v * w)), F.sum(F.when(pred, w)))
     return safe_divide(F.sum(v * w), F.sum(w))
+
+
+def pearson(x: ColumnOrName, y: ColumnOrName) -> Column:
+    """Pearson correlation that is null, not an error, for fewer than two rows or a
+    constant input (A13).
+
+    ``corr`` divides by the product of the standard deviations and raises under
+    ANSI arithmetic when one is zero; the sample covariance over the product of
+    sample standard deviations is the same ratio with a null-safe division.
+    """
+    xc, yc = _col(x).cast("double"), _col(y).cast("double")
+    return F.try_divide(F.covar_samp(xc, yc), F.stddev_samp(xc) * F.stddev_samp(yc))

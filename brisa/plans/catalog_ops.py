@@ -164,7 +164,7 @@ def q_agg_global(spark, d):
         F.count(F.lit(1)).alias("n_orders"),
         F.round(F.avg("o_totalprice"), 4).alias("avg_price"),
         F.round(F.stddev_samp("o_totalprice"), 4).alias("stddev_price"),
-        F.round(F.corr("o_totalprice", F.col("o_orderkey").cast("double")), 6).alias("price_key_corr"),
+        F.round(bf.pearson("o_totalprice", "o_orderkey"), 6).alias("price_key_corr"),
         bf.count_where(F.col("o_orderstatus") == "F").alias("finished"),
     )
 

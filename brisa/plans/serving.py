@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.classify import DEFAULT_LABEL
-from ..functions.conditional import cond_avg, weighted_avg
+from ..functions.conditional import cond_avg, pearson, weighted_avg
 from ..functions.scalars import safe_divide
 from ..operators.joins import restrict_to_top
 from ..operators.topn import top_n
@@ -50,7 +50,7 @@ def cross_stress(
 
 def stress_correlation(scores: DataFrame) -> DataFrame:
     """Pearson correlation of the two scores, rounded to 2 places."""
-    return scores.agg(F.round(F.corr("weather_resilience", "shock_resilience"), 2).alias("r"))
+    return scores.agg(F.round(pearson("weather_resilience", "shock_resilience"), 2).alias("r"))
 
 
 def hub_condition_profile(resilience: DataFrame, dim_place: DataFrame) -> DataFrame:

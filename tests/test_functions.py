@@ -100,3 +100,15 @@ def test_file_month_from_name(spark):
     df = spark.createDataFrame([("flightlist_20200301_20200331.csv.gz",), ("other.csv",)], "f string")
     r = [x.m for x in df.select(bf.file_month("f").alias("m")).collect()]
     assert r == [dt.date(2020, 3, 1), None]
+
+
+def test_pearson_null_instead_of_error(spark):
+    from brisa.functions import pearson
+
+    one = spark.createDataFrame([(1.0, 2.0)], "x double, y double")
+    const = spark.createDataFrame([(1.0, 2.0), (1.0, 3.0)], "x double, y double")
+    line = spark.createDataFrame([(1.0, 2.0), (2.0, 4.0), (3.0, 6.5)], "x double, y double")
+    assert one.agg(pearson("x", "y").alias("r")).first().r is None
+    assert const.agg(pearson("x", "y").alias("r")).first().r is None
+    r = line.agg(pearson("x", "y").alias("r"), F.corr("x", "y").alias("c")).first()
+    assert abs(r.r - r.c) < 1e-12
