@@ -14,7 +14,8 @@ import json
 import sys
 
 
-def main(argv: list[str] | None = None) -> int:
+def main(argv: list[str] | None = None, spark=None) -> int:
+    """Run one command; a session passed in is used and left running."""
     ap = argparse.ArgumentParser(prog="brisa")
     sub = ap.add_subparsers(dest="cmd", required=True)
     lf = sub.add_parser("land-flights")
@@ -37,7 +38,8 @@ def main(argv: list[str] | None = None) -> int:
 
     from .session import build_session
 
-    spark = build_session(master=args.master)
+    own = spark is None
+    spark = spark or build_session(master=args.master)
     if args.cmd == "land-flights":
         from .sources.jobs import land_flight_files
 
@@ -62,7 +64,8 @@ def main(argv: list[str] | None = None) -> int:
         build["quality_summary"].show()
         build["score_table"].show(truncate=False)
         build["stress_correlation"].show()
-    spark.stop()
+    if own:
+        spark.stop()
     return 0
 
 

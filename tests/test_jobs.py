@@ -49,6 +49,6 @@ def test_observation_and_reference_jobs(spark, tmp_dir):
 
 def test_cli_build(spark, tmp_dir, capsys):
     inp = fx.write(spark, f"{tmp_dir}/in")
-    rc = main(["build", inp.flights, inp.weather, inp.airports, inp.airlines, inp.routes, f"{tmp_dir}/out", "--seed", inp.hub_seed])
+    rc = main(["build", inp.flights, inp.weather, inp.airports, inp.airlines, inp.routes, f"{tmp_dir}/out", "--seed", inp.hub_seed], spark=spark)
     assert rc == 0
     assert os.path.isdir(f"{tmp_dir}/out/hub_recovery")
