@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.classify import DEFAULT_LABEL, WEATHER_RULES, Rule, classify, prefixed
-from ..functions.conditional import cond_avg, cond_count_distinct, count_where
+from ..functions.conditional import cond_avg, cond_count_distinct, count_where, share
 from ..functions.scalars import between_dates, in_year, month_start, safe_divide
 from ..operators.aggregates import collapse_duplicates, profile_stats
 from ..operators.joins import (
@@ -357,7 +357,7 @@ def carrier_performance(
         F.count(F.lit(1)).alias("total_flights"),
         F.round(F.avg("duration_minutes"), 2).alias("avg_duration_minutes"),
         F.round(F.stddev_samp("duration_minutes"), 2).alias("stddev_duration_minutes"),
-        F.round(safe_divide(count_where(F.col("touches_hub")), F.count(F.lit(1))), 4).alias("hub_concentration_ratio"),
+        share(F.col("touches_hub"), 4).alias("hub_concentration_ratio"),
         count_where(clear).alias("clear_flights"),
         F.round(cond_avg(clear, "duration_minutes"), 2).alias("avg_duration_clear"),
         F.round(cond_avg(F.col("event") != unknown_as, "duration_minutes"), 2).alias("avg_duration_bad"),
