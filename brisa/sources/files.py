@@ -175,7 +175,9 @@ def write_layout(
     task, so a month is spread over as many writer tasks as its size needs (a
     hash on the month alone would send a whole month to one task) and each
     Parquet row group carries tight min/max statistics on the cluster keys.
-    Without cluster keys a hash of the row breaks ties inside a month.
+    Without cluster keys a hash of the row breaks ties inside a month. The
+    range bounds come from a sampling pass over the input, so this is meant
+    for tables written once per build.
     """
     if len(cluster) > 4:
         raise ValueError("at most four cluster keys")
@@ -195,15 +197,15 @@ def write_layout(
 
 
 def write_clustered(df: DataFrame, path: str, by: Sequence[str], mode: str = "overwrite") -> None:
-    """Range-cluster rows on ``by`` and write without partition directories (X2, cluster part).
+    """Write with rows sorted on ``by`` inside every file (X2, cluster part).
 
-    Every file then covers a contiguous range of the first key, so Parquet
-    min/max statistics let range filters on it skip whole files and row
-    groups. The file count follows the shuffle partition count, not the
-    number of distinct months.
+    Each file's row groups then cover narrow ranges of the first key, so
+    Parquet min/max statistics let range filters on it skip row groups. The
+    existing partitioning is kept: no shuffle, no sampling pass over the
+    input (a range repartition would recompute everything upstream once more
+    to sample it), and no key-based routing that a hot key could overload.
     """
-    cols = [F.col(c) for c in by]
-    df.repartitionByRange(*cols).sortWithinPartitions(*cols).write.mode(mode).parquet(path)
+    df.sortWithinPartitions(*[F.col(c) for c in by]).write.mode(mode).parquet(path)
 
 
 def load_summary(df: DataFrame, path: str, name: str = "load_summary") -> int:
