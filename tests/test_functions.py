@@ -112,3 +112,12 @@ def test_pearson_null_instead_of_error(spark):
     assert const.agg(pearson("x", "y").alias("r")).first().r is None
     r = line.agg(pearson("x", "y").alias("r"), F.corr("x", "y").alias("c")).first()
     assert abs(r.r - r.c) < 1e-12
+
+
+def test_cluster_conf_sizes_partitions():
+    from brisa.session import cluster_conf
+
+    conf = cluster_conf(100 * 10**12, cores=8000)
+    assert 350_000 < int(conf["spark.sql.shuffle.partitions"]) < 400_000
+    assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert int(cluster_conf(10**6, cores=16)["spark.sql.shuffle.partitions"]) == 32
