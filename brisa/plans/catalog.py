@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.classify import classify, prefixed
-from ..operators.joins import anti_join, semi_join, time_bucket_join, touches_any, with_membership_flag
+from ..operators.joins import anti_join, semi_join, size_check, time_bucket_join, touches_any, with_membership_flag
 from . import dims, marts, serving
+from .oracle_sql import rules_case
 from .oracle_sql import B, rnd, sdiv, sql
 from .tpch import CALENDAR, OBS_MEASURES, RULES, Model
 
@@ -162,6 +163,32 @@ def hour_bucket_join(spark, d):
     return j.select("movement_id", "origin", "origin_price", "origin_balance", "origin_priority", "origin_event")
 
 
+@register(
+    "two_end_bucket_join",
+    sql(
+        f"""SELECT s.movement_id, go.price AS origin_price, {rules_case("go")} AS origin_event,
+       gd.price AS destination_price, {rules_case("gd")} AS destination_event
+FROM stg_movements s
+LEFT JOIN grid go ON s.origin = go.station AND date_trunc('hour', s.first_seen_at) = go.observation_hour
+LEFT JOIN grid gd ON s.destination = gd.station AND date_trunc('hour', s.last_seen_at) = gd.observation_hour"""
+    ),
+)
+def two_end_bucket_join(spark, d):
+    """J5 at both ends with two timestamps, over all staged movements (no hub filter)."""
+    m = M(spark, d)
+    grid, small = size_check(marts.observation_grid(m.stg_observations(), OBS_MEASURES))
+    f = m.stg_movements().select("movement_id", "origin", "destination", "first_seen_at", "last_seen_at")
+    j = time_bucket_join(f, grid, "origin", "first_seen_at", OBS_MEASURES, "origin_", broadcast=small)
+    j = time_bucket_join(j, grid, "destination", "last_seen_at", OBS_MEASURES, "destination_", broadcast=small)
+    return j.select(
+        "movement_id",
+        "origin_price",
+        classify(RULES, F.col("origin_matched"), prefixed("origin_")).alias("origin_event"),
+        "destination_price",
+        classify(RULES, F.col("destination_matched"), prefixed("destination_")).alias("destination_event"),
+    )
+
+
 @register("movements_with_conditions", sql("SELECT * FROM cond"))
 def movements_with_conditions(spark, d):
     """C6 (J9, A14, J5 x2, P14 x2): hub-touching movements with conditions at both ends."""
