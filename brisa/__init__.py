@@ -9,6 +9,10 @@ sources/    readers and writers (CSV/JSON/Parquet landing, layout, lookups)
 plans/      assembled models: staging, dimensions, marts, serving queries, and
             the mapping of the TPC-H-style test tables onto the domain roles
 streaming/  incremental landing of new files with Structured Streaming
+
+``python -m brisa`` runs the ingest jobs and the full build from the command
+line; ``__spark_entry__`` at the repository root registers the queries over
+the test tables.
 """
 
 __version__ = "0.1.0"
