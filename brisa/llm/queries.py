@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brisa.llm import backtrack_bpe, cost_packing, heavy_dedup, simple8b, store, stratified_shards
+from brisa.llm import backtrack_bpe, cost_packing, heavy_dedup, simple8b, store, stratified_shards, subword_toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +43,18 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, h AS text_sha256 F
 """
 
 
+def op4_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = subword_toxicity.fit(docs, _table(spark, sf_dir, "labels"))
+    scored = subword_toxicity.score(docs, model)
+    return scored.select(
+        "doc_id",
+        subword_toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def op6_backtrack_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backtrack_bpe.encode_decode(
         _table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"), digests=True
@@ -65,6 +77,7 @@ def op8_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_cost_packing": (op2_cost_packing, None),
     "op3_heavy_dedup": (op3_heavy_dedup, SQL_OP3),
+    "op4_subword_toxicity": (op4_subword_toxicity, None),
     "op6_backtrack_bpe": (op6_backtrack_bpe, None),
     "op7_stratified_shards": (op7_stratified_shards, None),
     "op8_simple8b": (op8_simple8b, None),
