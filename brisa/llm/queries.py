@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brisa.llm import backtrack_bpe, cost_packing, heavy_dedup, simple8b, store, stratified_shards, subword_toxicity
+from brisa.llm import backtrack_bpe, cost_packing, heavy_dedup, jaccard_tiles, simple8b, store, stratified_shards, subword_toxicity, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,6 +73,14 @@ def op8_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"), digests=True)
+
+
+def op10_jaccard_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_tiles.link(_table(spark, sf_dir, "documents"))
+
+
 # name -> (query, DuckDB SQL or None)
 QUERIES = {
     "op2_cost_packing": (op2_cost_packing, None),
@@ -81,4 +89,6 @@ QUERIES = {
     "op6_backtrack_bpe": (op6_backtrack_bpe, None),
     "op7_stratified_shards": (op7_stratified_shards, None),
     "op8_simple8b": (op8_simple8b, None),
+    "op9_suffix_dedup": (op9_suffix_dedup, None),
+    "op10_jaccard_tiles": (op10_jaccard_tiles, None),
 }
