@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brisa.llm import backtrack_bpe, cost_packing, heavy_dedup, jaccard_tiles, simple8b, store, stratified_shards, subword_toxicity, suffix_dedup
+from brisa.llm import (
+    backtrack_bpe,
+    collision_dedup,
+    cost_packing,
+    heavy_dedup,
+    jaccard_tiles,
+    simple8b,
+    store,
+    stratified_shards,
+    subword_toxicity,
+    suffix_dedup,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +66,10 @@ def op4_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_collision_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collision_dedup.link(_table(spark, sf_dir, "embeddings"))
+
+
 def op6_backtrack_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backtrack_bpe.encode_decode(
         _table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"), digests=True
@@ -86,6 +101,7 @@ QUERIES = {
     "op2_cost_packing": (op2_cost_packing, None),
     "op3_heavy_dedup": (op3_heavy_dedup, SQL_OP3),
     "op4_subword_toxicity": (op4_subword_toxicity, None),
+    "op5_collision_dedup": (op5_collision_dedup, None),
     "op6_backtrack_bpe": (op6_backtrack_bpe, None),
     "op7_stratified_shards": (op7_stratified_shards, None),
     "op8_simple8b": (op8_simple8b, None),
