@@ -16,6 +16,7 @@ from brisa.llm import (
     stratified_shards,
     subword_toxicity,
     suffix_dedup,
+    weak_pii,
 )
 
 
@@ -31,6 +32,10 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_weak_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_pii.find(_table(spark, sf_dir, "documents")).drop("found")
+
+
 def op2_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = cost_packing.pack(_table(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json"))
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -98,6 +103,7 @@ def op10_jaccard_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # name -> (query, DuckDB SQL or None)
 QUERIES = {
+    "op1_weak_pii": (op1_weak_pii, None),
     "op2_cost_packing": (op2_cost_packing, None),
     "op3_heavy_dedup": (op3_heavy_dedup, SQL_OP3),
     "op4_subword_toxicity": (op4_subword_toxicity, None),

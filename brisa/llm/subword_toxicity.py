@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from brisa.llm import store
 
 SCHEMA = "doc_id long, score double"
+_SCORES_KEPT = 300_000
 PUNCTUATION = ".,;:!?\"'()[]{}|<>*_-"
 
 
@@ -204,30 +205,53 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings | None = None, id
 _SCORES_KEPT = 300_000
 
 
+class _Scorer:
+    """Scores of texts under a model, with the scores of distinct words kept."""
+
+    def __init__(self, table: np.ndarray, bias: float, s: Settings):
+        self.model = Model(table.astype(np.float64), bias, s)
+        self.kept: dict[str, float] = {}
+
+    def __call__(self, texts: pa.Array) -> np.ndarray:
+        out, at = [], 0
+        while at < len(texts):
+            bags, held = [], 0
+            while at < len(texts) and held < 1 << 17:
+                bags.append(texts[at].as_py().lower().split())
+                held += len(bags[-1])
+                at += 1
+            words = set().union(*bags)
+            if len(self.kept) + len(words) > _SCORES_KEPT:
+                self.kept.clear()
+            new = [w for w in words if w not in self.kept]
+            self.kept.update(zip(new, word_scores(new, self.model.table, self.model.settings).tolist(), strict=True))
+            out += [self.model.logit(np.array(list(map(self.kept.__getitem__, bag)))) for bag in bags]
+        return 1 / (1 + np.exp(-np.clip(np.array(out, dtype=np.float64), -30, 30)))
+
+
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, score`` of every row."""
-    table, bias, s = model.table.astype(np.float32), model.bias, model.settings
+    folded = model.table.astype(np.float32), model.bias, model.settings
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        folded = Model(table.astype(np.float64), bias, s)
-        kept: dict[str, float] = {}
+        scorer = _Scorer(*folded)
         for batch in batches:
-            out, at = [], 0
-            texts = batch.column(1)
-            while at < len(texts):
-                bags, held = [], 0
-                while at < len(texts) and held < 1 << 20:
-                    bags.append(texts[at].as_py().lower().split())
-                    held += 8 * len(bags[-1])
-                    at += 1
-                words = set().union(*bags)
-                if len(kept) + len(words) > _SCORES_KEPT:
-                    kept.clear()
-                new = [w for w in words if w not in kept]
-                kept.update(zip(new, word_scores(new, folded.table, s).tolist(), strict=True))
-                for bag in bags:
-                    out.append(folded.logit(np.array(list(map(kept.__getitem__, bag)))))
-            value = 1 / (1 + np.exp(-np.clip(np.array(out), -30, 30)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(value, pa.float64())], names=["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scorer(batch.column(1)), pa.float64())], names=["doc_id", "score"])
 
     return store.documents(docs, id_col, text_col).mapInArrow(run, SCHEMA)
+
+
+def drop_toxic(docs: DataFrame, model: Model, reject_from: float = 0.3, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score below ``reject_from``, with all their columns; no shuffle."""
+    folded = model.table.astype(np.float32), model.bias, model.settings
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = _Scorer(*folded)
+        for batch in batches:
+            clean = scorer(batch.column(batch.num_columns - 1)) < reject_from
+            yield pa.RecordBatch.from_arrays(batch.columns[:-1], schema=pa.schema(list(batch.schema)[:-1])).filter(pa.array(clean))
+
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    inner = docs.toDF(*names)
+    text = store.as_text(names[docs.columns.index(text_col)])
+    return inner.select(*names, text.alias("read")).mapInArrow(run, inner.schema).toDF(*docs.columns)
