@@ -24,21 +24,28 @@ _WS = r"\t-\r \x85\xa0  -     　"
 _RUNS = re.compile(rf"[{_WS}]+(?![^{_WS}])| ?[^{_WS}]+|[{_WS}]+")
 _TOUCHING = re.compile(r"\s | \s")
 _TAIL = re.compile(r"[a-zA-Z][.,]+\Z")
-CACHE_WORDS = 300_000
+CACHE_WORDS = 600_000
 LONGEST_KEPT = 64
 
 
 class _Cache(dict):
-    """Chunk -> packed ids. Misses call ``encode``; cleared when full."""
+    """Chunk -> packed ids. Misses call ``encode``.
+
+    When full it becomes the older generation, whose chunks come back when they
+    occur again, and the generation before that goes: frequent chunks stay.
+    """
 
     def __init__(self, encode: Callable[[str], bytes]):
         super().__init__()
-        self.encode = encode
+        self.encode, self.older = encode, {}
 
     def __missing__(self, chunk: str) -> bytes:
-        packed = self.encode(chunk)
+        packed = self.older.get(chunk)
+        if packed is None:
+            packed = self.encode(chunk)
         if len(chunk) <= LONGEST_KEPT:
             if len(self) >= CACHE_WORDS:
+                self.older = dict(self)
                 self.clear()
             self[chunk] = packed
         return packed
@@ -116,7 +123,7 @@ def library_encoder(path: str) -> TextEncoder:
     def kept(text: str) -> list[int]:
         ids = parts.get(text)
         if ids is None:
-            if len(parts) >= CACHE_WORDS // 3:
+            if len(parts) >= CACHE_WORDS // 6:
                 parts.clear()
             ids = parts[text] = piece(text)
         return ids
