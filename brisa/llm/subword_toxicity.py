@@ -48,13 +48,14 @@ class Settings:
     dim: int = 8
     shortest: int = 3
     longest: int = 5
-    window: int = 16
+    window: int = 4
     epochs: int = 80
+    warm: int = 30
     rate: float = 0.1
     decay: float = 3e-5
     # Bound of the labelled sample that training reads.
-    positives: int = 2000
-    negatives: int = 3000
+    positives: int = 1000
+    negatives: int = 2000
     seed: int = 13
 
 
@@ -151,18 +152,27 @@ def train(texts: list[str], labels: list[int], s: Settings) -> Model:
         table = (e @ u).astype(np.float32)
         w_score = np.add.reduceat(table[bucket], gram_at) / per_word
         k_score = np.add.reduceat(w_score[word], word_at) / per_win
-        top = np.maximum.reduceat(k_score, first_win)
-        # Of equal windows the first.
-        best = np.full(len(y), wins)
-        hit = np.flatnonzero(k_score == top[doc_of])
-        np.minimum.at(best, doc_of[hit], hit)
-        p = 1 / (1 + np.exp(-(top + b[0])))
-        miss = (p - y) / len(y)
-        # The gradient passes through each document's best window alone: its words, then their n-grams.
-        words_in, of = _spans(word_at[best], per_win[best].astype(np.int64))
-        grams_in, in_word = _spans(gram_at[word[words_in]], per_word[word[words_in]].astype(np.int64))
-        g_word = (miss / per_win[best])[of] / per_word[word[words_in]]
-        g_bucket = np.bincount(bucket[grams_in], weights=g_word[in_word], minlength=s.buckets)
+        if step <= s.warm:
+            # Warm start: every window counts, the higher ones more and more.
+            weight = np.exp(np.minimum(30.0, 8.0 * step / s.warm * (k_score - np.maximum.reduceat(k_score, first_win)[doc_of])))
+            weight /= np.add.reduceat(weight, first_win)[doc_of]
+            seen = np.add.reduceat(weight * k_score, first_win)
+            miss = (1 / (1 + np.exp(-(seen + b[0]))) - y) / len(y)
+            g_win = (weight * miss[doc_of] / per_win).astype(np.float32)
+            g_word = np.bincount(word, weights=g_win[win_of], minlength=len(per_word)) / per_word
+            g_bucket = np.bincount(bucket, weights=g_word[owner], minlength=s.buckets)
+        else:
+            top = np.maximum.reduceat(k_score, first_win)
+            # Of equal windows the first.
+            best = np.full(len(y), wins)
+            hit = np.flatnonzero(k_score == top[doc_of])
+            np.minimum.at(best, doc_of[hit], hit)
+            miss = (1 / (1 + np.exp(-(top + b[0]))) - y) / len(y)
+            # The gradient passes through each document's best window alone: its words, then their n-grams.
+            words_in, of = _spans(word_at[best], per_win[best].astype(np.int64))
+            grams_in, in_word = _spans(gram_at[word[words_in]], per_word[word[words_in]].astype(np.int64))
+            g_word = (miss / per_win[best])[of] / per_word[word[words_in]]
+            g_bucket = np.bincount(bucket[grams_in], weights=g_word[in_word], minlength=s.buckets)
         grads = (np.outer(g_bucket, u) + s.decay * e, e.T @ g_bucket + s.decay * u, np.array([miss.sum()]))
         for x, g, (m, v) in zip((e, u, b), grads, moments, strict=True):
             m += 0.1 * (g - m)
