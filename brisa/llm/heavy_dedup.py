@@ -89,10 +89,14 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     Of rows that repeat both id and text one stays.
     """
-    stay = assign(docs, id_col, text_col).filter("kept").select(F.col("doc_id").alias("__id"), F.unhex("text_sha256").alias("__digest"))
-    keyed = docs.withColumns({"__id": F.col(id_col).cast("long"), "__digest": F.unhex(digest(F.col(text_col))), "__n": F.length(store.as_text(text_col))})
-    # A kept (id, digest) is unique but for repeated rows; of those the longest original is the one that stays.
-    twice = stay.groupBy("__id", "__digest").agg(F.count("*").alias("__c")).drop("__c")
-    joined = keyed.join(twice, keyed["__id"].eqNullSafe(twice["__id"]) & (keyed["__digest"] == twice["__digest"]), "left_semi")
-    rank = F.row_number().over(Window.partitionBy("__id", "__digest").orderBy(F.col("__n").desc()))
-    return joined.withColumn("__rank", rank).filter("__rank = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    inner = docs.toDF(*names)
+    text = F.col(names[docs.columns.index(text_col)])
+    keyed = inner.withColumns(
+        {"id": F.col(names[docs.columns.index(id_col)]).cast("long"), "digest": F.unhex(digest(text)), "n": F.length(store.as_text(text))}
+    )
+    stay = assign(docs, id_col, text_col).filter("kept").select(F.col("doc_id").alias("id"), F.unhex("text_sha256").alias("digest"))
+    joined = keyed.join(stay, keyed["id"].eqNullSafe(stay["id"]) & (keyed["digest"] == stay["digest"]), "left_semi")
+    # Several rows with the id and digest that stay are repeats; the longest original is the one.
+    rank = F.row_number().over(Window.partitionBy("id", "digest").orderBy(F.col("n").desc()))
+    return joined.withColumn("rank", rank).filter("rank = 1").select(*names).toDF(*docs.columns)

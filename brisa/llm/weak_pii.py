@@ -290,7 +290,9 @@ def redact(docs: DataFrame, accept: float = 0.5, id_col: str = "doc_id", text_co
     """
     read = docs.select(store.as_text(text_col).alias("text")).withColumn("spans", candidates(F.col("text")))
     model = fit(store.materialise(read.select("spans"), "candidates"))
-    inner = docs.withColumnsRenamed({c: f"__{c}" for c in docs.columns}).withColumn("text", store.as_text(f"__{text_col}"))
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    raw = names[docs.columns.index(text_col)]
+    inner = docs.toDF(*names).withColumn("text", store.as_text(raw))
     marked = inner.withColumn("spans", accepted(candidates(F.col("text")), model, accept))
     rebuilt = F.expr(
         """aggregate(spans, named_struct('at', 0, 'out', ''),
@@ -298,5 +300,5 @@ def redact(docs: DataFrame, accept: float = 0.5, id_col: str = "doc_id", text_co
                ELSE named_struct('at', s.end, 'out', concat(acc.out, substring(text, acc.at + 1, s.start - acc.at), '<', upper(s.kind), '>')) END,
              acc -> concat(acc.out, substring(text, acc.at + 1, length(text))))"""
     )
-    new = F.when(F.col(f"__{text_col}").isNull() | (F.size("spans") == 0), F.col(f"__{text_col}")).otherwise(rebuilt)
-    return marked.select(*[(new if c == text_col else F.col(f"__{c}")).alias(c) for c in docs.columns])
+    new = F.when(F.col(raw).isNull() | (F.size("spans") == 0), F.col(raw)).otherwise(rebuilt)
+    return marked.select(*[new if c == raw else F.col(c) for c in names]).toDF(*docs.columns)
