@@ -135,8 +135,8 @@ def train(texts: list[str], labels: list[int], s: Settings) -> Model:
         win_of.append(wins + np.arange(len(ids)) // s.window)
         doc_of += [d] * k
         wins += k
-    word, win_of, doc_of = np.concatenate(word), np.concatenate(win_of), np.array(doc_of)
-    bucket, owner = grams(list(vocabulary), s)
+    word, win_of, doc_of = (np.concatenate(x).astype(np.int32) for x in (word, win_of, [doc_of]))
+    bucket, owner = (x.astype(np.int32) for x in grams(list(vocabulary), s))
     per_word = np.bincount(owner, minlength=len(vocabulary)).astype(np.float32)
     per_win = np.bincount(win_of, minlength=wins).astype(np.float32)
     # Words hold consecutive n-grams and windows consecutive words.
