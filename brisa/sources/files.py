@@ -7,9 +7,11 @@ only the partitions it produced.
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,13 +25,16 @@ def land_csv(
     null_tokens: Sequence[str] = DEFAULT_NULL_TOKENS,
     header: bool = True,
     partitions: int | None = None,
+    file_name: str | None = None,
 ) -> DataFrame:
     """Read (optionally gzip) CSV with a schema and normalise null tokens.
 
-    Gzip files cannot be split, so each file is one task; ``partitions``
-    redistributes rows afterwards for the downstream stages.
+    With a header the columns are found by name (see ``read_csv``). Gzip files
+    cannot be split, so each file is one task; ``partitions`` redistributes
+    rows afterwards for the downstream stages. ``file_name`` adds a column with
+    the source file's name (headered files).
     """
-    df = spark.read.schema(schema).option("header", header).option("mode", "FAILFAST").csv(path)
+    df = read_csv(spark, path, schema, file_name) if header else read_csv_headerless(spark, path, schema)
     string_cols = [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
     df = df.select(*[normalize_nulls(c, null_tokens).alias(c) if c in string_cols else F.col(c) for c in df.columns])
     return df.repartition(partitions) if partitions else df
@@ -113,9 +118,75 @@ def read_csv_headerless(spark: SparkSession, path: str | Sequence[str], schema:
     return spark.read.schema(schema).option("header", False).option("mode", "FAILFAST").csv(path)
 
 
-def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType) -> DataFrame:
-    """Headered CSV with an explicit schema."""
-    return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
+def read_csv(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    schema: T.StructType,
+    file_name: str | None = None,
+    also: dict[str, str] | None = None,
+) -> DataFrame:
+    """Headered CSV with columns found by name, whatever their order.
+
+    All fields are read as text under the file's own header, then the columns
+    of ``schema`` are selected and cast; extra columns are ignored, a missing
+    one is an error, and so is a value that its type cannot hold. ``also`` names
+    a second header name of a column. Epoch columns
+    (LONG, named ``firstseen`` or ``lastseen``) may hold timestamp text instead
+    of a number. Files whose headers differ are read one header at a time.
+    """
+    paths = [path] if isinstance(path, str) else list(path)
+    headers = _headers(spark, paths)
+    frames = [_by_name(spark, group, names, schema, file_name, also or {}) for names, group in headers]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def _headers(spark: SparkSession, paths: Sequence[str]) -> list[tuple[list[str], list[str]]]:
+    """Column names of the files, each with the files that share them (first line of each file only)."""
+    listed = [r["path"] for r in spark.read.format("binaryFile").load(list(paths)).filter("length > 0").select("path").collect()]
+    if not listed:
+        raise FileNotFoundError(str(paths))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for f in sorted(listed):
+        names = spark.read.option("header", True).option("inferSchema", False).csv(_plain(f)).columns
+        groups.setdefault(tuple(names), []).append(_plain(f))
+    return [(list(names), group) for names, group in groups.items()]
+
+
+def _plain(path: str) -> str:
+    """A listed path as a literal: glob characters in it are not patterns."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
+def _by_name(
+    spark: SparkSession,
+    paths: Sequence[str],
+    names: Sequence[str],
+    schema: T.StructType,
+    file_name: str | None,
+    also: dict[str, str],
+) -> DataFrame:
+    found = {f.name: f.name if f.name in names else also.get(f.name) for f in schema.fields}
+    missing = [n for n, source in found.items() if source not in names]
+    if missing:
+        raise ValueError(f"columns {missing} are not in the header of {list(paths)[:3]}: {list(names)}")
+    text = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    df = spark.read.schema(text).option("header", True).option("mode", "FAILFAST").csv(list(paths))
+    source = [F.col("_metadata.file_name").alias(file_name)] if file_name else []
+    return df.select(*[_typed(found[f.name], f) for f in schema.fields], *source)
+
+
+EPOCH_COLUMNS = ("firstseen", "lastseen")
+
+
+def _typed(name: str, f: T.StructField) -> Column:
+    c = F.col(f"`{name}`")
+    if isinstance(f.dataType, T.LongType) and f.name in EPOCH_COLUMNS:
+        text = F.unix_millis(c.cast("timestamp"))
+        return F.when(c.rlike(r"^\s*[0-9]{4}-[0-9]{2}-[0-9]{2}"), text).otherwise(c.cast("long")).alias(f.name)
+    return c.cast(f.dataType).alias(f.name)
 
 
 SEED_SCHEMA = T.StructType(
@@ -131,8 +202,8 @@ SEED_SCHEMA = T.StructType(
 
 
 def read_seed(spark: SparkSession, path: str, schema: T.StructType = SEED_SCHEMA) -> DataFrame:
-    """Seed CSV (S12); the caller broadcasts it where it is joined."""
-    return read_csv(spark, path, schema)
+    """Seed CSV (S12); its key column may be headed ``airport_icao`` instead of ``station``."""
+    return read_csv(spark, path, schema, also={"station": "airport_icao"})
 
 
 def write_small_csv(df: DataFrame, path: str, max_rows: int = 10_000) -> None:
@@ -168,16 +239,16 @@ def write_layout(
     month_name: str = "month",
     mode: str = "overwrite",
     max_records_per_file: int = 5_000_000,
-) -> None:
+) -> int:
     """Partition by month of a date column and cluster by up to four keys.
 
-    Rows are range-partitioned on (month, cluster keys) and sorted inside each
-    task, so a month is spread over as many writer tasks as its size needs (a
-    hash on the month alone would send a whole month to one task) and each
-    Parquet row group carries tight min/max statistics on the cluster keys.
-    Without cluster keys a hash of the row breaks ties inside a month. The
-    range bounds come from a sampling pass over the input, so this is meant
-    for tables written once per build.
+    Rows are rebalanced by (month, cluster keys) and sorted inside each task:
+    adaptive execution splits what is larger than its advisory size, a heavy
+    (month, keys) combination included, and merges what is smaller, so no
+    sampling pass runs the input twice and no key fills one task. Each Parquet
+    row group carries tight min/max statistics on the cluster keys. Without
+    cluster keys a hash of the row spreads a month. Returns the number of rows
+    written, counted during the write.
     """
     if len(cluster) > 4:
         raise ValueError("at most four cluster keys")
@@ -189,11 +260,13 @@ def write_layout(
         writer_keys = [month_name]
         order = [F.col(month_name)] + (order or [F.xxhash64(*[F.col(c) for c in df.columns])])
     if order:
-        out = out.repartitionByRange(*order).sortWithinPartitions(*order)
-    w = out.write.mode(mode).option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", max_records_per_file)
+        out = out.hint("rebalance", *order).sortWithinPartitions(*order)
+    obs = Observation(f"layout_{uuid.uuid4().hex[:8]}")
+    w = out.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", max_records_per_file)
     if writer_keys:
         w = w.partitionBy(*writer_keys)
     w.parquet(path)
+    return int(obs.get["rows"])
 
 
 def write_clustered(df: DataFrame, path: str, by: Sequence[str], mode: str = "overwrite") -> None:

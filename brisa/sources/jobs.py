@@ -6,44 +6,89 @@ and uploads are outside its scope.
 
 from __future__ import annotations
 
+import logging
 import os
+import re
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.scalars import file_month
 from . import files, schemas
 
 
-def _landed(spark: SparkSession, out_dir: str, key: str) -> DataFrame | None:
-    """Partition values already present under ``out_dir`` (None when nothing is landed)."""
+log = logging.getLogger(__name__)
+
+
+def _files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame | None:
+    """Paths of the data files under ``path``, by listing alone (contents are not read).
+
+    None when the path does not exist; any other failure is raised.
+    """
+    paths = [path] if isinstance(path, str) else list(path)
     try:
-        return spark.read.parquet(out_dir).select(key).distinct()
-    except Exception:  # noqa: BLE001 - an absent or empty folder means nothing landed yet
-        return None
+        return spark.read.format("binaryFile").load(paths).select("path")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def landed_partitions(spark: SparkSession, out_dir: str, key: str) -> set[str]:
+    """Partition values already present under ``out_dir``, from its folder names.
+
+    Files that cannot be read do not hide a partition: it counts as landed as
+    long as its folder holds a file.
+    """
+    found = _files(spark, out_dir)
+    if found is None:
+        return set()
+    value = F.regexp_extract("path", rf"/{re.escape(key)}=([^/]+)/", 1)
+    return {r[0] for r in found.select(value).distinct().collect() if r[0]}
 
 
 def land_flight_files(
-    spark: SparkSession, source_glob: str, out_dir: str, resume: bool = True, partitions: int | None = None
+    spark: SparkSession,
+    source_glob: str,
+    out_dir: str,
+    resume: bool = True,
+    partitions: int | None = None,
+    unmatched: str = "fail",
 ) -> int:
     """Monthly gzip CSV movement files -> Parquet partitioned by ``dt``.
 
-    ``dt`` is the month in the file name. With ``resume`` months already landed
-    are skipped (anti-join on ``dt``); otherwise the months present in the
-    input replace their own partitions (dynamic overwrite). Gzip files are not
-    splittable, so rows are redistributed before the write when
-    ``partitions`` is given. Returns the number of rows written, counted
-    during the write.
+    ``dt`` is the month in the file name. A file without one is an error that
+    names it, unless ``unmatched="skip"``: then it is left out and reported
+    with its row count. With ``resume`` files of landed months are not opened;
+    otherwise the months in the input replace their own partitions (dynamic
+    overwrite). Gzip files are not splittable, so rows are redistributed
+    before the write when ``partitions`` is given. Returns the number of rows
+    written, counted during the write.
     """
-    df = files.with_file_month(files.land_csv(spark, source_glob, schemas.FLIGHTS_RAW, partitions=partitions))
-    df = df.filter(F.col("dt").isNotNull())
-    if resume:
-        landed = _landed(spark, out_dir, "dt")
-        if landed is not None:
-            df = files.only_new_partitions(df, landed, "dt")
+    if unmatched not in ("fail", "skip"):
+        raise ValueError("unmatched is 'fail' or 'skip'")
+    listed = _files(spark, source_glob)
+    if listed is None:
+        raise FileNotFoundError(source_glob)
+    # One row per source file, not per record.
+    names = listed.select("path", file_month(F.element_at(F.split("path", "/"), -1)).cast("string").alias("dt")).collect()
+    strange = sorted(r["path"] for r in names if r["dt"] is None)
+    if strange:
+        rows = files.land_csv(spark, strange, schemas.FLIGHTS_RAW).count() if unmatched == "skip" else None
+        if unmatched == "fail":
+            raise ValueError(f"{len(strange)} files without a month in their name: {strange[:20]}")
+        log.warning("skipped %d files (%d rows) without a month in their name: %s", len(strange), rows, strange[:20])
+    done = landed_partitions(spark, out_dir, "dt") if resume else set()
+    todo = sorted(r["path"] for r in names if r["dt"] is not None and r["dt"] not in done)
+    if not todo:
+        return 0
+    df = files.land_csv(spark, todo, schemas.FLIGHTS_RAW, partitions=partitions, file_name="__file")
+    df = df.withColumn("dt", file_month("__file")).drop("__file")
     obs = Observation("landed_rows")
     files.write_partitioned(df.observe(obs, F.count(F.lit(1)).alias("rows")), out_dir, ["dt"], mode="append" if resume else "overwrite")
-    return int(obs.get.get("rows", 0))
+    return int(obs.get["rows"])
 
 
 def load_observation_files(spark: SparkSession, paths: Sequence[str], out_dir: str) -> int:
@@ -54,8 +99,7 @@ def load_observation_files(spark: SparkSession, paths: Sequence[str], out_dir: s
     ``harmonise_observation_files`` first.
     """
     df = files.load_parquet(spark, list(paths), schemas.WEATHER_RAW)
-    files.write_layout(df, out_dir, "obs_date", ["airport_icao"], month_name="obs_month")
-    return spark.read.parquet(out_dir).count()
+    return files.write_layout(df, out_dir, "obs_date", ["airport_icao"], month_name="obs_month")
 
 
 def harmonise_observation_files(spark: SparkSession, groups: Sequence[Sequence[str]], out_dir: str) -> DataFrame:

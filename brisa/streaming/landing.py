@@ -9,11 +9,14 @@ failure resumes from the checkpoint instead of re-landing or duplicating rows.
 
 from __future__ import annotations
 
+import threading
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
 from ..functions.scalars import DEFAULT_NULL_TOKENS, normalize_nulls
 
@@ -35,20 +38,55 @@ def read_new_csv(
     return df.select(*[normalize_nulls(c, null_tokens).alias(c) if c in strings else F.col(c) for c in df.columns])
 
 
+class _Rows(StreamingQueryListener):
+    """Rows that one query's micro-batches passed to the sink, from their observed metric."""
+
+    def __init__(self, metric: str):
+        self.metric, self.rows, self.ended = metric, 0, threading.Event()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        seen = event.progress.observedMetrics.get(self.metric)
+        if seen is not None:
+            self.rows += seen["rows"]
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.set()
+
+
 def land_available(
     df: DataFrame, sink_dir: str, checkpoint_dir: str, partition_by: Sequence[str] = (), timeout_s: int | None = None
 ) -> int:
-    """Land every file available now into Parquet and stop; returns rows landed in this run.
+    """Land every file available now into Parquet and stop; returns rows written in this run.
 
     The checkpoint records which files were consumed, so calling this again
-    lands only files that arrived since (S3) and never rewrites old ones.
+    lands only files that arrived since (S3) and never rewrites old ones. Rows
+    are counted by a listener over every micro-batch of the run. If
+    ``timeout_s`` passes first the query is stopped and ``TimeoutError`` is
+    raised; what was committed stays, and the next run goes on from there.
     """
-    w = df.writeStream.format("parquet").option("checkpointLocation", checkpoint_dir).trigger(availableNow=True)
+    spark = df.sparkSession
+    metric = f"landed_{uuid.uuid4().hex[:8]}"
+    rows = _Rows(metric)
+    w = df.observe(metric, F.count(F.lit(1)).alias("rows")).writeStream.format("parquet")
+    w = w.option("checkpointLocation", checkpoint_dir).trigger(availableNow=True)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    q = w.start(sink_dir)
-    q.awaitTermination(timeout_s)
-    landed = 0
-    for p in q.recentProgress:
-        landed += int(p.get("numInputRows", 0) if isinstance(p, dict) else getattr(p, "numInputRows", 0))
-    return landed
+    spark.streams.addListener(rows)
+    try:
+        q = w.start(sink_dir)
+        done = q.awaitTermination(timeout_s) if timeout_s is not None else (q.awaitTermination(), True)[1]
+        if not done:
+            q.stop()
+            raise TimeoutError(f"landing into {sink_dir} did not finish in {timeout_s} s")
+        # Events arrive in order, the end last.
+        if not rows.ended.wait(60):
+            raise RuntimeError("the end of the landing query was not reported")
+    finally:
+        spark.streams.removeListener(rows)
+    return rows.rows

@@ -95,6 +95,29 @@ def test_incremental_landing_exactly_once(spark, tmp_dir):
     assert got == [(1, "a"), (2, None), (3, "c")]
 
 
+def test_streaming_landing_counts_every_batch(spark, tmp_dir):
+    src, sink, ck = f"{tmp_dir}/many", f"{tmp_dir}/many-sink", f"{tmp_dir}/many-ck"
+    os.makedirs(src)
+    for i in range(110):
+        with open(f"{src}/f{i:03d}.csv", "w") as f:
+            f.write(",".join(SCHEMA.fieldNames()) + "\n" + ",".join("1" for _ in SCHEMA.fieldNames()) + "\n")
+    stream = landing.read_new_csv(spark, src, SCHEMA, max_files_per_trigger=1)
+    assert landing.land_available(stream, sink, ck) == 110
+    assert spark.read.parquet(sink).count() == 110
+
+
+def test_streaming_landing_raises_on_timeout(spark, tmp_dir):
+    src = f"{tmp_dir}/slow"
+    os.makedirs(src)
+    for i in range(60):
+        with open(f"{src}/f{i:03d}.csv", "w") as f:
+            f.write(",".join(SCHEMA.fieldNames()) + "\n" + ",".join("1" for _ in SCHEMA.fieldNames()) + "\n")
+    stream = landing.read_new_csv(spark, src, SCHEMA, max_files_per_trigger=1)
+    with pytest.raises(TimeoutError):
+        landing.land_available(stream, f"{tmp_dir}/slow-sink", f"{tmp_dir}/slow-ck", timeout_s=1)
+    assert not spark.streams.active
+
+
 def test_quality_checks_on_broken_rows(spark):
     df = spark.createDataFrame(
         [(1, "a", 5.0, "clear"), (1, None, -1.0, "hail"), (2, "b", 50.0, "hail"), (None, "c", 10.0, None)],
