@@ -33,7 +33,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         bd.add_argument(a)
     bd.add_argument("--seed")
     bd.add_argument("--weather-json", action="store_true")
-    ap.add_argument("--master", default="local[*]")
+    ap.add_argument("--master", help="only without spark-submit, e.g. local[*]")
     args = ap.parse_args(argv)
 
     from .session import build_session

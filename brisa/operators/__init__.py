@@ -2,9 +2,6 @@ from .aggregates import avg_of_counts, collapse_duplicates, group_count, profile
 from .joins import (
     anti_join,
     baseline_join,
-    bounded,
-    checked_broadcast,
-    size_check,
     equi_join,
     full_outer_counts,
     range_lookup,
@@ -22,9 +19,6 @@ __all__ = [
     "anti_join",
     "avg_of_counts",
     "baseline_join",
-    "bounded",
-    "checked_broadcast",
-    "size_check",
     "collapse_duplicates",
     "dedup_latest",
     "equi_join",

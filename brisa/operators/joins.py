@@ -1,63 +1,33 @@
 """Join operators.
 
-Broadcast policy: a side is hinted for broadcast only when its size is bounded
-by construction (a top-N result, a literal lookup) or after ``checked_broadcast``
-has counted it against an explicit row bound. Anything larger is left to the
-planner, which shuffles both sides on the join keys; AQE's skew-join handling
-then splits hot key partitions.
+No side is hinted for broadcast: the planner's size estimates and AQE's
+measured bytes choose the strategy (a top-N result or a literal lookup is
+estimated small and broadcast; a set of any other length is not assumed to
+be). Where both sides are shuffled AQE splits hot key partitions.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import hour_bucket
 
-# Default row bound for broadcasting a derived table. The hourly observation
-# grid of the reference (20 stations x 4 years) is about 0.7 M rows.
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def size_check(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Persist ``df`` and report whether it holds at most ``max_rows`` rows.
-
-    The frame is persisted (memory and disk; lost blocks are recomputed from
-    lineage if an executor dies) so the count and the later join read it once.
-    """
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = kept.limit(max_rows + 1).count()
-    return kept, n <= max_rows
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if it holds at most ``max_rows`` rows.
-
-    Beyond the bound the frame is returned unhinted and the planner shuffles
-    both sides of the join on its keys.
-    """
-    kept, small = size_check(df, max_rows)
-    return F.broadcast(kept) if small else kept
-
-
-def bounded(df: DataFrame) -> DataFrame:
-    """Broadcast a side whose size is bounded by construction (top-N, literals)."""
-    return F.broadcast(df)
+# Tasks over which facts without a join key are spread in a shuffle.
+NULL_KEY_SALTS = 256
 
 
 def with_membership_flag(df: DataFrame, key: str, set_df: DataFrame, set_key: str, name: str) -> DataFrame:
     """Add ``name`` = key is in ``set_df`` (P13); null keys give false.
 
-    ``set_df`` must be small (bounded); it is de-duplicated and broadcast so
-    the fact side is not shuffled. The key set always carries the same column
-    name, so repeated flags against one set share a single broadcast (the
-    planner reuses the identical exchange) and the set is computed once.
+    The set is de-duplicated. It always carries the same column name, so
+    repeated flags against one set share one exchange (the planner reuses the
+    identical one) and the set is computed once.
     """
     keys = set_df.select(F.col(set_key).alias("__in_set")).distinct()
-    joined = df.join(bounded(keys), df[key] == F.col("__in_set"), "left")
+    joined = df.join(keys, df[key] == F.col("__in_set"), "left")
     return joined.withColumn(name, F.col("__in_set").isNotNull()).drop("__in_set")
 
 
@@ -76,12 +46,12 @@ def touches_any(df: DataFrame, cols: Sequence[str], set_df: DataFrame, set_key:
 
 
 def semi_join(df: DataFrame, key: str, set_df: DataFrame, set_key: str) -> DataFrame:
-    """``key in (select set_key from set_df)`` (J8) against a bounded set.
+    """``key in (select set_key from set_df)``.
 
     A semi-join never multiplies rows, so the set is not de-duplicated.
     """
     keys = set_df.select(F.col(set_key).alias("__semi_key"))
-    return df.join(bounded(keys), df[key] == F.col("__semi_key"), "left_semi")
+    return df.join(keys, df[key] == F.col("__semi_key"), "left_semi")
 
 
 def anti_join(df: DataFrame, key: str, other: DataFrame, other_key: str) -> DataFrame:
@@ -102,46 +72,46 @@ def time_bucket_join(
     unit: str = "hour",
     matched_name: str | None = None,
     broadcast: bool | None = None,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Left-join facts to the observation of their station and time bucket.
 
     ``obs`` must be unique on ``(obs_station, obs_bucket)`` (see
     ``collapse_duplicates``) so the join is 1:1 and never multiplies facts.
     Measures arrive as ``{prefix}{measure}``; ``matched_name`` (default
-    ``{prefix}matched``) records whether an observation was found.
-    ``broadcast=None`` checks the observation size here; callers that join the
-    same observations twice check once (``size_check``) and pass the outcome.
+    ``{prefix}matched``) records whether an observation was found. Facts
+    without a station or time match nothing; in a shuffle a salt spreads them
+    over tasks, as they would otherwise all share one key. ``broadcast`` is for
+    callers that know the observations' size; by default the planner decides.
     """
     matched_name = matched_name or f"{prefix}matched"
-    st, bk = f"__{prefix}station", f"__{prefix}bucket"
+    st, bk, salt = f"__{prefix}station", f"__{prefix}bucket", f"__{prefix}salt"
     right = obs.select(
         F.col(obs_station).alias(st),
         F.col(obs_bucket).alias(bk),
+        F.lit(0).alias(salt),
         *[F.col(m).alias(f"{prefix}{m}") for m in measures],
     )
-    if broadcast is None:
-        right = checked_broadcast(right, max_broadcast_rows)
-    elif broadcast:
+    if broadcast:
         right = F.broadcast(right)
     bucket = hour_bucket(fact_ts) if unit == "hour" else F.date_trunc(unit, F.col(fact_ts))
-    left = facts.withColumn(bk + "_l", bucket)
+    keyless = F.col(fact_station).isNull() | F.col(fact_ts).isNull()
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]), F.lit(NULL_KEY_SALTS)).cast("int")
+    left = facts.withColumns({bk + "_l": bucket, salt + "_l": F.when(keyless, spread).otherwise(F.lit(0))})
     joined = left.join(
         right,
-        (left[fact_station] == right[st]) & (left[bk + "_l"] == right[bk]),
+        (left[fact_station] == right[st]) & (left[bk + "_l"] == right[bk]) & (left[salt + "_l"] == right[salt]),
         "left",
     )
-    return joined.withColumn(matched_name, F.col(st).isNotNull()).drop(st, bk, bk + "_l")
+    return joined.withColumn(matched_name, F.col(st).isNotNull()).drop(st, bk, salt, bk + "_l", salt + "_l")
 
 
 def range_lookup(df: DataFrame, date_col: str, ranges: DataFrame, start: str, end: str, how: str = "left") -> DataFrame:
     """Join each row to the ranges with ``start <= date <= end``.
 
-    ``ranges`` is a small literal lookup (bounded); the join is a broadcast
-    nested-loop join, so the fact side is never shuffled.
+    A join on a range compares every row with every range, so ``df`` should be
+    aggregated to its distinct dates first and ``ranges`` be a literal lookup.
     """
-    r = bounded(ranges)
-    return df.join(r, df[date_col].between(r[start], r[end]), how)
+    return df.join(ranges, df[date_col].between(ranges[start], ranges[end]), how)
 
 
 def full_outer_counts(
@@ -194,8 +164,7 @@ def baseline_join(
 def restrict_to_top(df: DataFrame, key: str, measure: str, n: int) -> DataFrame:
     """Keep rows whose ``key`` is among the top ``n`` by ``sum(measure)``.
 
-    Ties on the total are broken by the key so the set is deterministic. The
-    top-N set is bounded by ``n`` and broadcast.
+    Ties on the total are broken by the key so the set is deterministic.
     """
     top = (
         df.groupBy(key)
@@ -204,7 +173,7 @@ def restrict_to_top(df: DataFrame, key: str, measure: str, n: int) -> DataFrame:
         .limit(n)
         .select(F.col(key).alias("__top_key"))
     )
-    return df.join(bounded(top), df[key] == F.col("__top_key"), "inner").drop("__top_key")
+    return df.join(top, df[key] == F.col("__top_key"), "inner").drop("__top_key")
 
 
 def equi_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]] | Column, how: str = "inner") -> DataFrame:

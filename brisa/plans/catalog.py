@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.classify import classify, prefixed
-from ..operators.joins import anti_join, semi_join, size_check, time_bucket_join, touches_any, with_membership_flag
+from ..operators.joins import anti_join, semi_join, time_bucket_join, touches_any, with_membership_flag
 from . import dims, marts, serving
 from .oracle_sql import rules_case
 from .oracle_sql import B, rnd, sdiv, sql
@@ -176,10 +176,10 @@ LEFT JOIN grid gd ON s.destination = gd.station AND date_trunc('hour', s.last_se
 def two_end_bucket_join(spark, d):
     """J5 at both ends with two timestamps, over all staged movements (no hub filter)."""
     m = M(spark, d)
-    grid, small = size_check(marts.observation_grid(m.stg_observations(), OBS_MEASURES))
+    grid = marts.observation_grid(m.stg_observations(), OBS_MEASURES)
     f = m.stg_movements().select("movement_id", "origin", "destination", "first_seen_at", "last_seen_at")
-    j = time_bucket_join(f, grid, "origin", "first_seen_at", OBS_MEASURES, "origin_", broadcast=small)
-    j = time_bucket_join(j, grid, "destination", "last_seen_at", OBS_MEASURES, "destination_", broadcast=small)
+    j = time_bucket_join(f, grid, "origin", "first_seen_at", OBS_MEASURES, "origin_")
+    j = time_bucket_join(j, grid, "destination", "last_seen_at", OBS_MEASURES, "destination_")
     return j.select(
         "movement_id",
         "origin_price",
@@ -189,6 +189,26 @@ def two_end_bucket_join(spark, d):
     )
 
 
+@register(
+    "null_station_bucket_join",
+    sql(
+        """SELECT s.movement_id, g.price AS origin_price, g.station IS NOT NULL AS origin_matched
+FROM stg_movements s
+LEFT JOIN grid g ON CASE WHEN s.asset_type = 'F' THEN NULL ELSE s.origin END = g.station
+  AND date_trunc('hour', s.first_seen_at) = g.observation_hour"""
+    ),
+)
+def null_station_bucket_join(spark, d):
+    """J5 where about half of the facts have no station, both sides shuffled and sorted."""
+    m = M(spark, d)
+    grid = marts.observation_grid(m.stg_observations(), OBS_MEASURES).hint("merge")
+    f = m.stg_movements().select(
+        "movement_id", F.when(F.col("asset_type") != "F", F.col("origin")).alias("station"), "first_seen_at"
+    )
+    j = time_bucket_join(f, grid, "station", "first_seen_at", OBS_MEASURES, "origin_")
+    return j.select("movement_id", "origin_price", "origin_matched")
+
+
 @register("movements_with_conditions", sql("SELECT * FROM cond"))
 def movements_with_conditions(spark, d):
     """C6 (J9, A14, J5 x2, P14 x2): hub-touching movements with conditions at both ends."""
@@ -406,8 +426,9 @@ def phase_lookup(spark, d):
     from ..operators.joins import range_lookup
 
     m = M(spark, d)
-    j = range_lookup(m.stg_movements().select("movement_date"), "movement_date", m.phases(), "phase_start_date", "phase_end_date")
-    return j.groupBy("phase", "sort_order").agg(F.count(F.lit(1)).alias("movements"))
+    days = m.stg_movements().groupBy("movement_date").agg(F.count(F.lit(1)).alias("n"))
+    j = range_lookup(days, "movement_date", m.phases(), "phase_start_date", "phase_end_date")
+    return j.groupBy("phase", "sort_order").agg(F.sum("n").alias("movements"))
 
 
 @register(

@@ -1,8 +1,8 @@
 """Conditions join and marts.
 
 Input is the standard movement frame of ``staging.stg_movements``. Hubs are a
-bounded frame with a ``station`` column (a top-N result or a seed), so every
-hub membership test is a broadcast join that never shuffles the facts.
+frame with a ``station`` column (a top-N result or a seed); where its size is
+small the planner broadcasts it and the facts are not shuffled.
 """
 
 from __future__ import annotations
@@ -14,16 +14,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.classify import DEFAULT_LABEL, WEATHER_RULES, Rule, classify, prefixed
-from ..functions.conditional import cond_avg, cond_count_distinct, count_where, share
+from ..functions.conditional import cond_avg, count_where, share
 from ..functions.scalars import between_dates, in_year, month_start, safe_divide
 from ..operators.aggregates import collapse_duplicates, profile_stats
 from ..operators.joins import (
-    DEFAULT_BROADCAST_ROWS,
     baseline_join,
-    bounded,
     full_outer_counts,
     range_lookup,
-    size_check,
     time_bucket_join,
     touches_any,
     with_membership_flag,
@@ -78,7 +75,10 @@ def rank_hubs(
     counted per station with map-side partial aggregation; the ranking is a
     TakeOrderedAndProject, never a full sort.
     """
-    in_base = raw_flights.filter(F.col(date_col).cast("string").startswith(f"{year:04d}-"))
+    if dict(raw_flights.dtypes)[date_col] == "string":
+        in_base = raw_flights.filter(F.col(date_col).between(f"{year:04d}-", f"{year:04d}-~"))
+    else:  # a range on the column itself reaches the Parquet reader
+        in_base = raw_flights.filter(in_year(date_col, year))
     ends = in_base.select(F.explode(F.array(F.col(origin), F.col(destination))).alias("station"))
     counts = ends.filter(F.col("station").isNotNull()).groupBy("station").agg(F.count(F.lit(1)).alias("total_movements"))
     scoped = places.filter(F.col(country_col).isin(list(countries))).select(
@@ -99,20 +99,12 @@ def movements_with_conditions(
     hubs: DataFrame,
     measures: Sequence[str] = WEATHER_MEASURES,
     rules: Sequence[Rule] = WEATHER_RULES,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-    checked_grid: tuple[DataFrame, bool] | None = None,
 ) -> DataFrame:
     """Hub-touching movements with the observation at both ends.
 
     Origin end: (origin, hour of first_seen_at). Destination end:
     (destination, hour of last_seen_at). Each end is classified with the
     ordered rules; an end with no observation gets a null event (T5).
-
-    The hourly grid is checked once against ``max_broadcast_rows``; when it
-    fits, both joins are broadcast hash joins and the movements are never
-    shuffled. ``checked_grid`` passes a grid already built and checked with
-    ``size_check`` (persisted), so the caller can unpersist it once the result
-    is written.
     """
     facts = touches_any(
         stg.select(
@@ -133,10 +125,10 @@ def movements_with_conditions(
         hubs,
         "station",
     )
-    grid, small = checked_grid or size_check(observation_grid(observations, measures), max_broadcast_rows)
-    out = time_bucket_join(facts, grid, "origin", "first_seen_at", measures, "origin_", broadcast=small)
+    grid = observation_grid(observations, measures)
+    out = time_bucket_join(facts, grid, "origin", "first_seen_at", measures, "origin_")
     out = out.withColumn("origin_event", classify(rules, F.col("origin_matched"), prefixed("origin_")))
-    out = time_bucket_join(out, grid, "destination", "last_seen_at", measures, "destination_", broadcast=small)
+    out = time_bucket_join(out, grid, "destination", "last_seen_at", measures, "destination_")
     out = out.withColumn("destination_event", classify(rules, F.col("destination_matched"), prefixed("destination_")))
     return out.drop("origin_matched", "destination_matched")
 
@@ -166,7 +158,7 @@ def traffic_baseline(stg: DataFrame, hubs: DataFrame, base_year: int = 2019) ->
 def baseline_by_full_outer(stg: DataFrame, hubs: DataFrame, base_year: int = 2019) -> DataFrame:
     """M2 in the two-count shape: departures and arrivals, full outer joined."""
     base = stg.filter(between_dates("movement_date", f"{base_year}-01-01", f"{base_year}-12-31"))
-    h = bounded(hubs.select(F.col("station").alias("__h")))
+    h = hubs.select(F.col("station").alias("__h"))
     month = month_start("movement_date").alias("month")
     dep = base.join(h, F.col("origin") == F.col("__h")).groupBy(F.col("origin").alias("hub"), month).agg(
         F.count(F.lit(1)).alias("departures_base")
@@ -254,15 +246,22 @@ def condition_sensitivity(
     daily = daily if daily is not None else _pair_daily(cond, end, unknown_as, hubs)
     clear = F.col("hub_event") == unknown_as
     bad = F.col("hub_event") != unknown_as
+    base = daily.filter(in_year("movement_date", calendar.base_year))
+    # One row per pair and day first: days with clear (bad) movements are then a plain sum, not a distinct count.
+    by_day = base.groupBy("origin", "destination", "movement_date").agg(
+        F.sum(F.when(clear, F.col("daily_flights"))).alias("clear_sum"),
+        F.sum(F.when(bad, F.col("daily_flights"))).alias("bad_sum"),
+        F.count_if(clear).alias("clear_rows"),
+        F.count_if(bad).alias("bad_rows"),
+    )
     weather = (
-        daily.filter(in_year("movement_date", calendar.base_year))
-        .groupBy("origin", "destination")
+        by_day.groupBy("origin", "destination")
         .agg(
-            cond_avg(clear, "daily_flights").alias("avg_flights_clear"),
-            cond_avg(bad, "daily_flights").alias("avg_flights_bad"),
-            cond_count_distinct(clear, "movement_date").alias("clear_days_base"),
-            cond_count_distinct(bad, "movement_date").alias("bad_days_base"),
-            F.sum("daily_flights").alias("total_flights_base"),
+            safe_divide(F.sum("clear_sum"), F.sum("clear_rows")).alias("avg_flights_clear"),
+            safe_divide(F.sum("bad_sum"), F.sum("bad_rows")).alias("avg_flights_bad"),
+            F.count_if(F.col("clear_rows") > 0).alias("clear_days_base"),
+            F.count_if(F.col("bad_rows") > 0).alias("bad_days_base"),
+            (F.coalesce(F.sum("clear_sum"), F.lit(0)) + F.coalesce(F.sum("bad_sum"), F.lit(0))).alias("total_flights_base"),
         )
         .filter(F.col("total_flights_base") >= min_flights)
     )

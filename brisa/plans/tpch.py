@@ -22,13 +22,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.classify import Rule
 from ..functions.scalars import epoch_millis
-from ..operators.joins import size_check
 from ..session import scratch_path
 from ..sources import files
 from . import dims, marts, serving, staging
@@ -55,30 +53,24 @@ def carrier_code(brand: Column) -> Column:
     return F.concat(F.lit("B"), F.lpad(F.substring_index(brand, "#", -1), 2, "0"))
 
 
-# Fact tables and the key each is spread on when its scan is too coarse.
-SPREAD_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id"}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read a test table; fact tables are spread when the scan is too coarse.
+    """Read a test table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
-    A Parquet file is split by row group. When the scan yields fewer tasks than
-    the cluster has cores (here: one row group per file) the table is
-    hash-partitioned on its key so the joins after the scan run in parallel.
-    With the many files of a large dataset the scan already has more tasks
-    than cores and nothing is added.
-    """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    key = SPREAD_KEYS.get(name)
-    if key is not None:
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
-            df = df.repartition(cores, key)
-    return df
+
+def input_identity(spark: SparkSession, sf_dir: str) -> tuple:
+    """Path, size and modification time of every file under ``sf_dir``, from one listing."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+    out = []
+    while found.hasNext():
+        f = found.next()
+        out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(out))
 
 
-# Intermediate tables written once per (application, data directory, model).
-_TABLES: dict[tuple[str, str, str], str] = {}
+# Intermediate tables written once per (application, input files, model).
+_TABLES: dict[tuple, str] = {}
 
 
 @dataclass
@@ -87,10 +79,11 @@ class Model:
 
     The intermediate models read by several marts (staged movements, hub
     list, movements with conditions) are written once per Spark application
-    and data directory to the shared checkpoint folder and read back, as the
-    warehouse materialises its intermediate models: later queries read the
-    table instead of re-running the joins, and the written files survive the
-    loss of any executor. ``materialize=False`` keeps everything lazy.
+    and state of the input files to the shared checkpoint folder and read back,
+    as the warehouse materialises its intermediate models: later queries read
+    the table instead of re-running the joins, the written files survive the
+    loss of any executor, and a replaced input file leads to new tables.
+    ``materialize=False`` keeps everything lazy.
     """
 
     spark: SparkSession
@@ -102,7 +95,7 @@ class Model:
         """Build once, write (range-clustered on ``cluster`` when given) and read back."""
         if not self.materialize:
             return build()
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        key = (self.spark.sparkContext.applicationId, self._memo("identity", lambda: input_identity(self.spark, self.sf_dir)), name)
         path = _TABLES.get(key)
         if path is None:
             path = scratch_path(self.spark, f"model-{name}")
@@ -246,27 +239,17 @@ class Model:
 
     # marts ----------------------------------------------------------------
     def conditions(self) -> DataFrame:
-        """Recovery, resilience, route risk and carrier marts all read it.
-
-        Materialised: the persisted observation grid is released as soon as the
-        table is written. Lazy: the result itself is persisted instead.
-        """
-        held: dict = {}
-
-        def build():
-            held["grid"] = size_check(marts.observation_grid(self.stg_observations(), OBS_MEASURES))
-            cond = marts.movements_with_conditions(
-                self.stg_movements(), self.stg_observations(), self.hubs(), OBS_MEASURES, RULES, checked_grid=held["grid"]
-            )
-            return cond if self.materialize else cond.persist(StorageLevel.MEMORY_AND_DISK)
-
-        def build_and_release():
-            out = self._table("conditions", build, ("movement_date", "origin", "destination"))
-            if self.materialize and "grid" in held:
-                held["grid"][0].unpersist()
-            return out
-
-        return self._memo("cond", build_and_release)
+        """Recovery, resilience, route risk and carrier marts all read it."""
+        return self._memo(
+            "cond",
+            lambda: self._table(
+                "conditions",
+                lambda: marts.movements_with_conditions(
+                    self.stg_movements(), self.stg_observations(), self.hubs(), OBS_MEASURES, RULES
+                ),
+                ("movement_date", "origin", "destination"),
+            ),
+        )
 
     def baseline(self) -> DataFrame:
         return marts.traffic_baseline(self.stg_movements(), self.hubs(), BASE_YEAR)

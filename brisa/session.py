@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -16,17 +17,27 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Quantile sketches per hub, month and event: more groups than the default of 128 a task must not fall back to sorting.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
 
 
 def build_session(
-    master: str = "local[*]", shuffle_partitions: int = 8, app: str = "brisa", extra: dict | None = None
+    master: str | None = None, shuffle_partitions: int | None = None, app: str = "brisa", extra: dict | None = None
 ) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app)
+    """A session with the settings every job relies on.
+
+    Without ``master`` and ``shuffle_partitions`` the launcher's settings hold
+    (``spark-submit``, the defaults file, ``cluster_conf``).
+    """
+    builder = SparkSession.builder.appName(app)
+    if master is not None:
+        builder = builder.master(master)
     conf = dict(BASE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -39,8 +50,9 @@ def build_session(
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is only read. When it
-    is unset (local runs and tests) a private folder is created and set.
+    On a cluster this setting points at shared storage and is only read; it is
+    an error there to leave it unset. Under a local master (tests, one machine)
+    a private folder is created and set instead.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -48,6 +60,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="brisa-ckpt-", dir=os.environ.get("BRISA_SCRATCH", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)

@@ -63,18 +63,17 @@ def test_time_bucket_join_one_to_one_after_collapse(spark):
     assert got == {1: (2.0, True), 2: (None, False), 3: (None, False)}
 
 
-def test_checked_broadcast_respects_bound(spark):
-    small = spark.range(10).withColumnRenamed("id", "k")
-    big = spark.range(1000).withColumnRenamed("id", "k2")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        hinted = big.join(op.checked_broadcast(small, 100), F.col("k2") == F.col("k"))
-        unhinted = big.join(op.checked_broadcast(small, 5), F.col("k2") == F.col("k"))
-        assert "BroadcastHashJoin" in _plan(hinted)
-        assert "BroadcastHashJoin" not in _plan(unhinted)
-        assert hinted.count() == unhinted.count() == 10
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def test_bucket_join_spreads_facts_without_a_key(spark):
+    import datetime as dt
+
+    hour = dt.datetime(2019, 1, 1, 10, 0)
+    facts = spark.createDataFrame([(i, None if i % 2 else "H", None if i % 3 == 0 else hour) for i in range(600)], "id int, st string, ts timestamp")
+    obs = spark.createDataFrame([("H", hour, 2.0), (None, hour, 9.0), ("H", None, 9.0)], "station string, observation_hour timestamp, m double")
+    out = op.time_bucket_join(facts, obs.hint("merge"), "st", "ts", ["m"], "o_")
+    assert "SortMergeJoin" in _plan(out)
+    rows = out.collect()
+    assert len(rows) == 600 and out.columns == ["id", "st", "ts", "o_m", "o_matched"]
+    assert all(r.o_matched == (r.id % 2 == 0 and r.id % 3 != 0) and r.o_m == (2.0 if r.o_matched else None) for r in rows)
 
 
 def test_full_outer_counts_zero_fill(spark):
@@ -160,8 +159,8 @@ def test_phase_layout_relative_to_base_year(spark):
 
 
 def test_time_bucket_join_shuffle_fallback_with_hot_key(spark):
-    # A third of the facts on one station: the unbroadcast path (grid over the
-    # row bound) must give the same rows as the broadcast path.
+    # A third of the facts on one station: the unbroadcast path (no broadcast
+    # by estimate) must give the same rows as the broadcast path.
     facts = spark.range(3000).select(
         F.col("id"),
         F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("S"), (F.col("id") % 50).cast("string"))).alias("st"),
@@ -175,7 +174,7 @@ def test_time_bucket_join_shuffle_fallback_with_hot_key(spark):
     a = op.time_bucket_join(facts, grid, "st", "ts", ["m"], "o_", broadcast=True)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        b = op.time_bucket_join(facts, grid, "st", "ts", ["m"], "o_", max_broadcast_rows=10)
+        b = op.time_bucket_join(facts, grid, "st", "ts", ["m"], "o_")
         assert "BroadcastHashJoin" not in _plan(b)
         key = lambda r: (r.id, r.o_m, r.o_matched)
         assert sorted(map(key, a.collect())) == sorted(map(key, b.collect()))

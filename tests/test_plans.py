@@ -30,15 +30,49 @@ def model(spark):
     return Model(spark, SF)
 
 
-def test_hour_bucket_joins_are_broadcast(spark, model):
+def test_conditions_plan(spark, model):
     lazy = Model(spark, SF, materialize=False)
     c6 = marts.movements_with_conditions(lazy.stg_movements(), lazy.stg_observations(), lazy.hubs(), OBS_MEASURES, RULES)
     p = plan(c6)
-    assert "SortMergeJoin" not in p
-    assert p.count("BroadcastHashJoin") >= 4  # two hub flags and two hour-bucket joins
+    assert "NestedLoop" not in p and "Cartesian" not in p
     assert "WindowGroupLimit" in p  # dedup forwards one row per key and task
 
 
+def test_route_risk_counts_days_without_expand(model):
+    assert "Expand" not in plan(model.route_risk())
+
+
+def test_phase_lookup_joins_days_not_movements(spark):
+    from brisa.plans import catalog
+
+    p = plan(catalog.QUERIES["phase_lookup"][0](spark, SF))
+    assert p.index("NestedLoopJoin") < p.rindex("HashAggregate")  # an aggregate lies below the range join
+
+
+def test_replaced_input_gives_new_tables(spark, tmp_path):
+    import shutil
+
+    import pyarrow.parquet as pq
+
+    d = tmp_path / "tables"
+    shutil.copytree(SF, d)
+    (d / "lineitem.parquet").chmod(0o644)
+    first = Model(spark, str(d)).stg_movements().count()
+    half = pq.read_table(f"{SF}/lineitem.parquet")
+    pq.write_table(half.slice(0, half.num_rows // 2), d / "lineitem.parquet", coerce_timestamps="us")
+    second = Model(spark, str(d)).stg_movements().count()
+    lazy = Model(spark, str(d), materialize=False).stg_movements().count()
+    assert second == lazy < first
+
+
+def test_no_cached_frame_stays(spark):
+    from brisa.plans import catalog
+
+    for name in ("hour_bucket_join", "two_end_bucket_join", "movements_with_conditions"):
+        catalog.QUERIES[name][0](spark, SF).count()
+    assert spark._jsc.sc().getPersistentRDDs().isEmpty()
+
+
 def test_marts_scan_conditions_once(model):
     for df in (model.recovery(), model.resilience(), model.carrier_performance()):
         assert scans_of(df, "model-conditions") == 1
