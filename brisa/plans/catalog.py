@@ -65,17 +65,12 @@ def traffic_baseline(spark, d):
 @register(
     "baseline_full_outer",
     sql(
-        f"""SELECT coalesce(d.hub, a.hub) AS hub, coalesce(d.month, a.month) AS month,
-       coalesce(d.departures_base, 0) AS departures_base, coalesce(a.arrivals_base, 0) AS arrivals_base,
-       coalesce(d.departures_base, 0) + coalesce(a.arrivals_base, 0) AS total_base
-FROM (SELECT origin AS hub, CAST(date_trunc('month', movement_date) AS DATE) AS month, count(*) AS departures_base
-      FROM stg_movements WHERE movement_date BETWEEN DATE '{B}-01-01' AND DATE '{B}-12-31'
-        AND origin IN (SELECT station FROM hubs) GROUP BY 1, 2) d
-FULL OUTER JOIN
-     (SELECT destination AS hub, CAST(date_trunc('month', movement_date) AS DATE) AS month, count(*) AS arrivals_base
-      FROM stg_movements WHERE movement_date BETWEEN DATE '{B}-01-01' AND DATE '{B}-12-31'
-        AND destination IN (SELECT station FROM hubs) GROUP BY 1, 2) a
-ON d.hub = a.hub AND d.month = a.month"""
+        f"""SELECT hub, month, count(*) FILTER (WHERE side = 'from') AS departures_base,
+       count(*) FILTER (WHERE side = 'to') AS arrivals_base, count(*) AS total_base
+FROM (SELECT unnest([origin, destination]) AS hub, unnest(['from', 'to']) AS side,
+             make_date({B}, month(movement_date)::INT, 1) AS month
+      FROM stg_movements WHERE date_part('year', movement_date) = {B}) ends
+SEMI JOIN hubs ON hubs.station = ends.hub GROUP BY ALL"""
     ),
 )
 def baseline_full_outer(spark, d):

@@ -73,6 +73,11 @@ def input_identity(spark: SparkSession, sf_dir: str) -> tuple:
 _TABLES: dict[tuple, str] = {}
 
 
+def forget_tables() -> None:
+    """Let the next model write its intermediate tables anew."""
+    _TABLES.clear()
+
+
 @dataclass
 class Model:
     """Frames of the mapped models for one data directory.
