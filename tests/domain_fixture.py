@@ -9,7 +9,7 @@ import os
 
 from brisa.sources import schemas
 
-HUBS = ["EGLL", "EDDF", "LFPG"]
+HUBS = ["EAAC", "EAAB", "LAAD"]
 
 
 def ms(y, mo, d, h=0, mi=0) -> int:
@@ -28,28 +28,28 @@ def flight(cs, o, d, first, last, day=None, num="1", icao24="a1", reg="R1", typ=
 
 def flights() -> list[tuple]:
     rows = [
-        flight("BAW1", "EGLL", "EDDF", ms(2019, 3, 10, 10, 15), ms(2019, 3, 10, 11, 45)),  # snow at origin
-        flight("BAW1", "EGLL", "EDDF", ms(2019, 3, 10, 10, 15), ms(2019, 3, 10, 11, 45)),  # exact duplicate
-        flight("BAW1", "EGLL", "EDDF", ms(2019, 3, 10, 10, 15), ms(2019, 3, 10, 11, 45), day="2019-03-10 00:00:00+00:00"),
-        flight("DLH2", "EDDF", "LFPG", ms(2019, 3, 10, 8, 0), ms(2019, 3, 10, 9, 0), icao24="b2", reg="R2"),
-        flight("DLH2", "EDDF", "LFPG", ms(2019, 3, 10, 8, 0), ms(2019, 3, 10, 9, 30), icao24="b2", reg="R2"),  # later last seen wins
+        flight("BAW1", "EAAC", "EAAB", ms(2019, 3, 10, 10, 15), ms(2019, 3, 10, 11, 45)),  # snow at origin
+        flight("BAW1", "EAAC", "EAAB", ms(2019, 3, 10, 10, 15), ms(2019, 3, 10, 11, 45)),  # exact duplicate
+        flight("BAW1", "EAAC", "EAAB", ms(2019, 3, 10, 10, 15), ms(2019, 3, 10, 11, 45), day="2019-03-10 00:00:00+00:00"),
+        flight("DLH2", "EAAB", "LAAD", ms(2019, 3, 10, 8, 0), ms(2019, 3, 10, 9, 0), icao24="b2", reg="R2"),
+        flight("DLH2", "EAAB", "LAAD", ms(2019, 3, 10, 8, 0), ms(2019, 3, 10, 9, 30), icao24="b2", reg="R2"),  # later last seen wins
         flight("XXX9", None, "", ms(2019, 3, 12, 8, 0), ms(2019, 3, 12, 9, 0)),  # no endpoint ('' is a null token)
-        flight("AFR3", "LFPG", "EGLL", ms(2019, 3, 11, 10, 0), ms(2019, 3, 11, 9, 0)),  # lands before take-off
-        flight("AFR8", "LFPG", "EGLL", 300_000_000_000_000, 300_000_000_100_000, day="2019-03-11"),  # epoch out of range
-        flight(None, "EGLL", "KJFK", ms(2019, 4, 1, 10, 0), ms(2019, 4, 1, 18, 0)),  # null call sign
-        flight("BAW4", "EGLL", "LFPG", ms(2019, 3, 10, 23, 30), ms(2019, 3, 11, 0, 45), day="2019-03-10"),  # over midnight
-        flight("BAW5", "EGLL", "KJFK", ms(2019, 5, 1, 9, 0), ms(2019, 5, 1, 17, 0)),  # hub to other
-        flight("UAL6", "KJFK", "LFPG", ms(2019, 5, 2, 9, 0), ms(2019, 5, 2, 16, 0)),  # other to hub
+        flight("AFR3", "LAAD", "EAAC", ms(2019, 3, 11, 10, 0), ms(2019, 3, 11, 9, 0)),  # lands before take-off
+        flight("AFR8", "LAAD", "EAAC", 300_000_000_000_000, 300_000_000_100_000, day="2019-03-11"),  # epoch out of range
+        flight(None, "EAAC", "KJFK", ms(2019, 4, 1, 10, 0), ms(2019, 4, 1, 18, 0)),  # null call sign
+        flight("BAW4", "EAAC", "LAAD", ms(2019, 3, 10, 23, 30), ms(2019, 3, 11, 0, 45), day="2019-03-10"),  # over midnight
+        flight("BAW5", "EAAC", "KJFK", ms(2019, 5, 1, 9, 0), ms(2019, 5, 1, 17, 0)),  # hub to other
+        flight("UAL6", "KJFK", "LAAD", ms(2019, 5, 2, 9, 0), ms(2019, 5, 2, 16, 0)),  # other to hub
         flight("UAL7", "KJFK", "KBOS", ms(2019, 5, 3, 9, 0), ms(2019, 5, 3, 10, 0)),  # other to other
-        flight("BAW9", "EGLL", "LFPG", ms(2019, 1, 5, 15, 0), ms(2019, 1, 5, 16, 10)),  # same day as a snow flight
+        flight("BAW9", "EAAC", "LAAD", ms(2019, 1, 5, 15, 0), ms(2019, 1, 5, 16, 10)),  # same day as a snow flight
     ]
-    # Route A: EGLL -> LFPG, 12 days in January 2019 at 07:00, plus two in the collapse window.
-    rows += [flight(f"BAW{10 + d}", "EGLL", "LFPG", ms(2019, 1, d, 7, 0), ms(2019, 1, d, 8, 10)) for d in range(1, 13)]
-    rows += [flight(f"BAW{40 + d}", "EGLL", "LFPG", ms(2020, 2, d, 7, 0), ms(2020, 2, d, 8, 10)) for d in (3, 4)]
-    # Route B: EDDF -> EGLL, 11 days in February 2019, nothing in the collapse window.
-    rows += [flight(f"DLH{20 + d}", "EDDF", "EGLL", ms(2019, 2, d, 12, 0), ms(2019, 2, d, 13, 20)) for d in range(1, 12)]
-    # 2022: three EGLL departures in March.
-    rows += [flight(f"BAW{60 + d}", "EGLL", "EDDF", ms(2022, 3, 5, 9, d), ms(2022, 3, 5, 10, 30 + d)) for d in range(3)]
+    # Route A: EAAC -> LAAD, 12 days in January 2019 at 07:00, plus two in the collapse window.
+    rows += [flight(f"BAW{10 + d}", "EAAC", "LAAD", ms(2019, 1, d, 7, 0), ms(2019, 1, d, 8, 10)) for d in range(1, 13)]
+    rows += [flight(f"BAW{40 + d}", "EAAC", "LAAD", ms(2020, 2, d, 7, 0), ms(2020, 2, d, 8, 10)) for d in (3, 4)]
+    # Route B: EAAB -> EAAC, 11 days in February 2019, nothing in the collapse window.
+    rows += [flight(f"DLH{20 + d}", "EAAB", "EAAC", ms(2019, 2, d, 12, 0), ms(2019, 2, d, 13, 20)) for d in range(1, 12)]
+    # 2022: three EAAC departures in March.
+    rows += [flight(f"BAW{60 + d}", "EAAC", "EAAB", ms(2022, 3, 5, 9, d), ms(2022, 3, 5, 10, 30 + d)) for d in range(3)]
     return rows
 
 
@@ -58,21 +58,21 @@ def weather() -> list[tuple]:
         return (st, ns(y, mo, d, h, mi), dt.date(y, mo, d), 10.0, hum, speed, gust, 180.0, 0.0, 0.0, snow, 0.0, cloud, pres, 0.0, 0.0)
 
     rows = [
-        obs("EGLL", 2019, 3, 10, 10, snow=0.5),
-        obs("EGLL", 2019, 3, 10, 10, 30, snow=0.0),  # sub-hour duplicate: mean snowfall 0.25 -> snow
-        obs("EDDF", 2019, 3, 10, 11, speed=10.0, gust=15.0, pres=990.0, hum=90.0, cloud=80.0),  # all on thresholds -> clear
-        obs("EDDF", 2019, 3, 10, 8, gust=25.0, pres=980.0),  # storm
-        obs("LFPG", 2019, 3, 11, 0, hum=95.0, cloud=90.0),  # fog
-        obs("EGLL", 2022, 3, 5, 9, speed=12.0),  # windy
+        obs("EAAC", 2019, 3, 10, 10, snow=0.5),
+        obs("EAAC", 2019, 3, 10, 10, 30, snow=0.0),  # sub-hour duplicate: mean snowfall 0.25 -> snow
+        obs("EAAB", 2019, 3, 10, 11, speed=10.0, gust=15.0, pres=990.0, hum=90.0, cloud=80.0),  # all on thresholds -> clear
+        obs("EAAB", 2019, 3, 10, 8, gust=25.0, pres=980.0),  # storm
+        obs("LAAD", 2019, 3, 11, 0, hum=95.0, cloud=90.0),  # fog
+        obs("EAAC", 2022, 3, 5, 9, speed=12.0),  # windy
     ]
-    rows += [obs("EGLL", 2019, 1, d, 7, snow=1.0 if d == 5 else 0.0) for d in range(1, 13)]
+    rows += [obs("EAAC", 2019, 1, d, 7, snow=1.0 if d == 5 else 0.0) for d in range(1, 13)]
     return rows
 
 
 AIRPORTS = [
-    ["EGLL", "LHR", "London Heathrow Airport", "large_airport", "51.47", "-0.45", "83", "GB", "GB-ENG", "London", "yes", "EGLL"],
-    ["EDDF", "FRA", "Frankfurt am Main Airport", "large_airport", "50.03", "8.56", "364", "DE", "DE-HE", "Frankfurt", "yes", "EDDF"],
-    ["LFPG", "CDG", "Charles de Gaulle International Airport", "large_airport", "49.01", "2.55", "392", "FR", "FR-IDF", "Paris", "yes", "LFPG"],
+    ["EAAC", "NMF", "North Meadow Field", "large_airport", "51.25", "-0.5", "83", "GB", "GB-ENG", "Northtown", "yes", "EAAC"],
+    ["EAAB", "ERF", "East Ridge Field", "large_airport", "50.5", "8.25", "364", "DE", "DE-HE", "Eastridge", "yes", "EAAB"],
+    ["LAAD", "SBF", "South Basin Field", "large_airport", "48.75", "2.25", "392", "FR", "FR-IDF", "Southbasin", "yes", "LAAD"],
     ["KJFK", "JFK", "John F Kennedy International Airport", "large_airport", "40.64", "-73.78", "13", "US", "US-NY", "New York", "yes", "KJFK"],
     ["KBOS", "BOS", "Logan International Airport", "large_airport", "42.36", "-71.01", "20", "US", "US-MA", "Boston", "yes", "KBOS"],
 ]
@@ -86,17 +86,17 @@ AIRLINES = [
 ]
 
 ROUTES = [
-    'BA,1,LHR,507,FRA,340,,0,320',
-    'LH,2,FRA,340,CDG,1382,Y,0,321',
-    'BA,1,\\N,\\N,CDG,1382,,0,320',
+    'BA,1,NMF,507,ERF,340,,0,320',
+    'LH,2,ERF,340,SBF,1382,Y,0,321',
+    'BA,1,\\N,\\N,SBF,1382,,0,320',
     'UA,5,JFK,3797,\\N,\\N,Y,0,777',
 ]
 
 SEED = [
     "airport_icao,iata,name,country,latitude,longitude",
-    "EGLL,LHR,London Heathrow Airport,GB,51.470748,-0.459909",
-    "EDDF,FRA,Frankfurt Main Airport,DE,50.026706,8.55835",
-    "LFPG,CDG,Charles de Gaulle International Airport,FR,49.00896,2.554117",
+    "EAAC,NMF,North Meadow Field,GB,51.25,-0.5",
+    "EAAB,ERF,East Ridge Field,DE,50.5,8.25",
+    "LAAD,SBF,South Basin Field,FR,48.75,2.25",
 ]
 
 

@@ -21,12 +21,12 @@ def _csv(path, rows):
 def test_land_flight_files_resume_and_overwrite(spark, tmp_dir):
     src, out = f"{tmp_dir}/src", f"{tmp_dir}/landed"
     os.makedirs(src)
-    jan = [fx.flight("A1", "EGLL", "EDDF", fx.ms(2019, 1, 2, 8), fx.ms(2019, 1, 2, 9))] * 2
-    feb = [fx.flight("B1", "nan", "LFPG", fx.ms(2019, 2, 2, 8), fx.ms(2019, 2, 2, 9))]
+    jan = [fx.flight("A1", "EAAC", "EAAB", fx.ms(2019, 1, 2, 8), fx.ms(2019, 1, 2, 9))] * 2
+    feb = [fx.flight("B1", "nan", "LAAD", fx.ms(2019, 2, 2, 8), fx.ms(2019, 2, 2, 9))]
     _csv(f"{src}/flightlist_20190101_20190131.csv.gz", jan)
     _csv(f"{src}/flightlist_20190201_20190228.csv.gz", feb)
     assert jobs.land_flight_files(spark, f"{src}/*.csv.gz", out) == 3
-    mar = [fx.flight("C1", "EDDF", "EGLL", fx.ms(2019, 3, 2, 8), fx.ms(2019, 3, 2, 9))]
+    mar = [fx.flight("C1", "EAAB", "EAAC", fx.ms(2019, 3, 2, 8), fx.ms(2019, 3, 2, 9))]
     _csv(f"{src}/flightlist_20190301_20190331.csv.gz", mar)
     assert jobs.land_flight_files(spark, f"{src}/*.csv.gz", out) == 1  # January and February are skipped
     assert jobs.land_flight_files(spark, f"{src}/*.csv.gz", out) == 0
@@ -41,7 +41,7 @@ def test_land_flight_files_resume_and_overwrite(spark, tmp_dir):
 def test_unmatched_names_are_an_error_unless_skipping_is_asked_for(spark, tmp_dir, caplog):
     src, out = f"{tmp_dir}/src", f"{tmp_dir}/landed"
     os.makedirs(src)
-    rows = [fx.flight("A1", "EGLL", "EDDF", fx.ms(2019, 1, 2, 8), fx.ms(2019, 1, 2, 9))]
+    rows = [fx.flight("A1", "EAAC", "EAAB", fx.ms(2019, 1, 2, 8), fx.ms(2019, 1, 2, 9))]
     _csv(f"{src}/flightlist_20190101_20190131.csv.gz", rows * 3)
     _csv(f"{src}/extra.csv.gz", rows * 5)
     with pytest.raises(ValueError, match="extra.csv.gz"):
@@ -56,7 +56,7 @@ def test_unmatched_names_are_an_error_unless_skipping_is_asked_for(spark, tmp_di
 def test_an_unreadable_landed_file_does_not_double_a_month(spark, tmp_dir):
     src, out = f"{tmp_dir}/src", f"{tmp_dir}/landed"
     os.makedirs(src)
-    _csv(f"{src}/flightlist_20190101_20190131.csv.gz", [fx.flight("A1", "EGLL", "EDDF", fx.ms(2019, 1, 2, 8), fx.ms(2019, 1, 2, 9))] * 3)
+    _csv(f"{src}/flightlist_20190101_20190131.csv.gz", [fx.flight("A1", "EAAC", "EAAB", fx.ms(2019, 1, 2, 8), fx.ms(2019, 1, 2, 9))] * 3)
     assert jobs.land_flight_files(spark, f"{src}/*.csv.gz", out) == 3
     with open(f"{out}/dt=2019-01-01/part-99999.parquet", "w") as f:
         f.write("not a table")
@@ -69,7 +69,7 @@ def test_columns_are_found_by_name(spark, tmp_dir):
     src, out = f"{tmp_dir}/src", f"{tmp_dir}/landed"
     os.makedirs(src)
     names = schemas.FLIGHTS_RAW.fieldNames()
-    row = dict(zip(names, fx.flight("A1", "EGLL", "EDDF", fx.ms(2019, 1, 2, 8), fx.ms(2019, 1, 2, 9)), strict=True))
+    row = dict(zip(names, fx.flight("A1", "EAAC", "EAAB", fx.ms(2019, 1, 2, 8), fx.ms(2019, 1, 2, 9)), strict=True))
     turned = [*reversed(names), "extra"]
     with gzip.open(f"{src}/flightlist_20190101_20190131.csv.gz", "wt") as f:
         f.write(",".join(turned) + "\n")
@@ -80,7 +80,7 @@ def test_columns_are_found_by_name(spark, tmp_dir):
         f.write(",".join("" if row[n] is None else str(row[n]) for n in names) + "\n")
     assert jobs.land_flight_files(spark, f"{src}/*.csv.gz", out) == 2
     landed = spark.read.parquet(out).drop("dt").distinct().collect()
-    assert len(landed) == 1 and landed[0].origin == "EGLL" and landed[0].firstseen == fx.ms(2019, 1, 2, 8)
+    assert len(landed) == 1 and landed[0].origin == "EAAC" and landed[0].firstseen == fx.ms(2019, 1, 2, 8)
     with gzip.open(f"{src}/flightlist_20190301_20190331.csv.gz", "wt") as f:
         f.write(",".join(names[1:]) + "\n")
     with pytest.raises(ValueError, match=names[0]):

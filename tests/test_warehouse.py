@@ -41,7 +41,7 @@ def test_staging_reference_files(build):
     routes = build["stg_routes"].collect()
     assert len(routes) == 2 and {r.is_codeshare for r in routes} == {False, True}
     places = {r.station: r.is_hub for r in build["dim_place"].collect()}
-    assert places == {"EGLL": True, "EDDF": True, "LFPG": True, "KJFK": False, "KBOS": False}
+    assert places == {"EAAC": True, "EAAB": True, "LAAD": True, "KJFK": False, "KBOS": False}
 
 
 def test_conditions_join(build):
@@ -57,28 +57,28 @@ def test_conditions_join(build):
 
 def test_baseline_and_recovery(build):
     base = {(r.hub, r.month): (r.departures_base, r.arrivals_base, r.total_base) for r in build["traffic_baseline"].collect()}
-    assert base[("EGLL", dt.date(2019, 1, 1))] == (13, 0, 13)
-    assert base[("EGLL", dt.date(2019, 2, 1))] == (0, 11, 11)
+    assert base[("EAAC", dt.date(2019, 1, 1))] == (13, 0, 13)
+    assert base[("EAAC", dt.date(2019, 2, 1))] == (0, 11, 11)
     rec = {(r.hub, r.month): r for r in build["hub_recovery"].collect()}
-    assert rec[("EGLL", dt.date(2019, 1, 1))].recovery_ratio == 1.0  # a base-year month against itself (T9)
-    r22 = rec[("EGLL", dt.date(2022, 3, 1))]
+    assert rec[("EAAC", dt.date(2019, 1, 1))].recovery_ratio == 1.0  # a base-year month against itself (T9)
+    r22 = rec[("EAAC", dt.date(2022, 3, 1))]
     assert (r22.total_movements, r22.baseline_movements, r22.recovery_ratio, r22.phase) == (3, 2, 1.5, "recovery")
-    assert rec[("EGLL", dt.date(2020, 2, 1))].phase == "collapse"
-    assert rec[("EGLL", dt.date(2020, 2, 1))].movement_delta == 2 - 11  # against 11 February base-year arrivals
+    assert rec[("EAAC", dt.date(2020, 2, 1))].phase == "collapse"
+    assert rec[("EAAC", dt.date(2020, 2, 1))].movement_delta == 2 - 11  # against 11 February base-year arrivals
 
 
 def test_resilience_profile(build):
     res = {(r.hub, r.month, r.event): r for r in build["hub_resilience"].collect()}
-    jan = res[("EGLL", dt.date(2019, 1, 1), "snow")]
+    jan = res[("EAAC", dt.date(2019, 1, 1), "snow")]
     assert jan.total_movements == 1 and jan.stddev_duration_minutes is None
-    clear = res[("EGLL", dt.date(2019, 1, 1), "clear")]
+    clear = res[("EAAC", dt.date(2019, 1, 1), "clear")]
     assert clear.total_movements == 12 and clear.p50_duration_minutes == 70.0
 
 
 def test_route_risk(build):
     rr = {(r.origin, r.destination): r for r in build["route_risk"].collect()}
-    assert ("EDDF", "EGLL") not in rr  # 11 base-year flights < 12
-    a = rr[("EGLL", "LFPG")]
+    assert ("EAAB", "EAAC") not in rr  # 11 base-year flights < 12
+    a = rr[("EAAC", "LAAD")]
     assert a.total_flights_base == 14
     assert (a.clear_days_base, a.bad_days_base) == (13, 1)  # the mixed day counts on both sides (T7)
     assert a.avg_monthly_base == 7.0 and a.avg_monthly_collapse == 2.0 and a.shock_sensitivity_index == 0.7143
@@ -88,7 +88,7 @@ def test_shock_null_without_collapse_flights(spark, build):
     from brisa.plans import marts
 
     s = {(r.origin, r.destination): r for r in marts.shock_sensitivity(build["movements_with_conditions"]).collect()}
-    assert s[("EDDF", "EGLL")].avg_monthly_collapse is None and s[("EDDF", "EGLL")].shock_sensitivity_index is None
+    assert s[("EAAB", "EAAC")].avg_monthly_collapse is None and s[("EAAB", "EAAC")].shock_sensitivity_index is None
 
 
 def test_carrier_performance(build):
@@ -159,6 +159,6 @@ def test_build_hub_seed_ranks_within_scope(spark, tmp_path_factory):
     seed = warehouse.build_hub_seed(spark, inp.flights, inp.airports, f"{base}/seed", year=2019, n=3, countries=["GB", "DE", "FR"])
     got = [(r.station, r.iata, r.country) for r in seed.collect()]
     # ordered by raw 2019 movements (duplicates included, as in the ranking query); KJFK is out of scope
-    assert got == [("EGLL", "LHR", "GB"), ("LFPG", "CDG", "FR"), ("EDDF", "FRA", "DE")]
+    assert got == [("EAAC", "NMF", "GB"), ("LAAD", "SBF", "FR"), ("EAAB", "ERF", "DE")]
     default_scope = warehouse.build_hub_seed(spark, inp.flights, inp.airports, n=20)
-    assert {r.station for r in default_scope.collect()} == {"EGLL", "EDDF", "LFPG"}
+    assert {r.station for r in default_scope.collect()} == {"EAAC", "EAAB", "LAAD"}
