@@ -11,6 +11,7 @@ from ..operators.joins import equi_join, with_membership_flag
 from ..operators.topn import total_order
 from ..operators.windows import dedup_latest, first_per_key, mode_per_key
 from ..session import scratch_path
+from ..functions.scalars import file_month
 from ..sources import files
 from ..streaming import landing
 from . import tpch_quality
@@ -527,7 +528,55 @@ def q_harmonised(spark, d):
     b = scratch_path(spark, "li_double")
     li.filter(F.col("l_returnflag") == "R").withColumn("l_quantity", F.col("l_quantity").cast("long")).write.parquet(a)
     li.filter(F.col("l_returnflag") != "R").write.parquet(b)
-    return files.read_harmonised(spark, [[a], [b]], ["l_quantity"], schema=li.schema)
+    return files.read_harmonised(spark, [a, b], ["l_quantity"], schema=li.schema)
+
+
+@register("landed_row_count", sql("SELECT count(*) AS rows_written FROM customer"))
+def q_landed_row_count(spark, d):
+    """The number of rows that a load reports, counted while it writes."""
+    rows = files.load_summary(table(spark, d, "customer"), scratch_path(spark, "customer_counted"))
+    return spark.range(1).select(F.lit(rows).cast("long").alias("rows_written"))
+
+
+@register("materialised_table", sql("SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1"))
+def q_materialised(spark, d):
+    """X1 + S6: a model written as a table and read back with its schema."""
+    counts = table(spark, d, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
+    path = scratch_path(spark, "orders_per_customer")
+    files.materialise(counts, "orders_per_customer", kind="table", path=path)
+    return files.load_parquet(spark, path, counts.schema)
+
+
+@register(
+    "seed_columns_by_name",
+    sql("SELECT 'N' || n_nationkey AS station, n_name AS iata, n_name AS name, 'C' || n_regionkey AS country, "
+        "n_nationkey / 4.0 AS latitude, n_regionkey / 2.0 AS longitude FROM nation"),
+)
+def q_seed_by_name(spark, d):
+    """S11 + S12: a headered file with its columns in another order, one renamed and one to spare."""
+    n = table(spark, d, "nation")
+    path = scratch_path(spark, "turned_seed")
+    n.select(
+        (F.col("n_regionkey") / 2).alias("longitude"),
+        F.lit("spare").alias("remark"),
+        F.concat(F.lit("C"), F.col("n_regionkey")).alias("country"),
+        F.concat(F.lit("N"), F.col("n_nationkey")).alias("airport_icao"),
+        F.col("n_name").alias("name"),
+        (F.col("n_nationkey") / 4).alias("latitude"),
+        F.col("n_name").alias("iata"),
+    ).write.option("header", True).csv(path)
+    return files.read_seed(spark, path)
+
+
+@register("file_months", sql("SELECT make_date(1995, 1 + n_regionkey::INT, 1) AS dt, count(*) AS n FROM nation GROUP BY 1"))
+def q_file_months(spark, d):
+    """The month of each row from its source file's path, one folder per month."""
+    n = table(spark, d, "nation")
+    path = scratch_path(spark, "monthly")
+    n.withColumn("file", F.format_string("flightlist_1995%02d01_1995%02d28", F.col("n_regionkey") + 1, F.col("n_regionkey") + 1)).write.partitionBy("file").parquet(path)
+    src = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+    rows = spark.read.parquet(path).withColumn("dt", file_month(F.concat(F.regexp_replace(src, "^file=", ""), F.lit(".csv.gz"))))
+    return rows.groupBy("dt").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("only_new_partitions", sql("SELECT *, CAST(year(o_orderdate) AS INTEGER) AS yr FROM orders WHERE year(o_orderdate) > 1997"))

@@ -86,6 +86,9 @@ def read_inputs(spark: SparkSession, inp: Inputs, calendar: marts.Calendar = mar
     flights = read_flights(spark, inp.flights)
     if inp.weather_format == "json":
         payload = spark.read.schema(schemas.WEATHER_PAYLOAD).option("multiLine", True).json(inp.weather)
+        # The payload does not name its station; the file does (four capitals standing alone).
+        named = F.nullif(F.regexp_extract(F.col("_metadata.file_name"), "(?:^|[^A-Za-z])([A-Z]{4})(?:[^A-Za-z]|$)", 1), F.lit(""))
+        payload = payload.withColumn("airport_icao", F.coalesce("airport_icao", named))
         weather = files.explode_parallel_arrays(payload, "hourly", keep=["airport_icao", "latitude", "longitude"])
         weather = weather.withColumn("obs_time", F.unix_micros(F.col("time").cast("timestamp")) * F.lit(1000))
     else:
@@ -123,21 +126,22 @@ def run(
 
     hubs = raw["hubs"].select("station", "iata", F.col("name").alias("place_name"), "country")
     t["stg_movements"] = table("stg_movements", staging.stg_movements(raw["flights"]), "movement_date", ("origin", "destination"))
-    t["stg_observations"] = staging.stg_observations(raw["weather"], OBS_MEASURES)
+    t["stg_observations"] = staging.stg_observations(raw["weather"], schemas.WEATHER_MEASURE_FIELDS)
     t["stg_places"] = staging.stg_places(raw["airports"])
     t["stg_carriers"] = staging.stg_carriers(raw["airlines"])
     t["stg_routes"] = staging.stg_routes(raw["routes"])
 
-    t["dim_place"] = dims.dim_place(t["stg_places"], hubs)
-    t["dim_carrier"] = dims.dim_carrier(t["stg_carriers"])
-    t["dim_asset"] = dims.dim_asset(t["stg_movements"])
-    t["dim_date"] = dims.dim_date(spark, f"{calendar.base_year}-01-01", f"{calendar.recovery_year + 1}-01-01")
-    t["dim_event"] = dims.dim_event(spark)
-    t["dim_phase"] = dims.dim_phase(spark, calendar.base_year)
+    # Dimensions and the baseline are tables too: the quality checks read each of them several times.
+    t["dim_place"] = table("dim_place", dims.dim_place(t["stg_places"], hubs))
+    t["dim_carrier"] = table("dim_carrier", dims.dim_carrier(t["stg_carriers"]))
+    t["dim_asset"] = table("dim_asset", dims.dim_asset(t["stg_movements"]))
+    t["dim_date"] = table("dim_date", dims.dim_date(spark, f"{calendar.base_year}-01-01", f"{calendar.recovery_year + 1}-01-01"))
+    t["dim_event"] = table("dim_event", dims.dim_event(spark))
+    t["dim_phase"] = table("dim_phase", dims.dim_phase(spark, calendar.base_year))
 
     cond = marts.movements_with_conditions(t["stg_movements"], t["stg_observations"], hubs, OBS_MEASURES, rules)
     t["movements_with_conditions"] = table("movements_with_conditions", cond, "movement_date", ("origin", "destination"))
-    t["traffic_baseline"] = marts.traffic_baseline(t["stg_movements"], hubs, calendar.base_year)
+    t["traffic_baseline"] = table("traffic_baseline", marts.traffic_baseline(t["stg_movements"], hubs, calendar.base_year))
     t["hub_recovery"] = marts.recovery(t["movements_with_conditions"], hubs, t["traffic_baseline"], t["dim_phase"])
     t["hub_resilience"] = marts.resilience_profile(t["movements_with_conditions"], hubs)
     t["route_risk"] = marts.route_risk(t["movements_with_conditions"], calendar)

@@ -77,19 +77,47 @@ def load_parquet(spark: SparkSession, path: str | Sequence[str], schema: T.Struc
     return reader.parquet(*paths)
 
 
+def schema_groups(spark: SparkSession, paths: str | Sequence[str]) -> list[tuple[T.StructType, list[str]]]:
+    """Files under ``paths`` grouped by the types in their own footers.
+
+    Nanosecond timestamps, which Spark has no type for, are taken as LONG
+    epoch nanoseconds. One footer is read per file; no data is.
+    """
+    listed = spark.read.format("binaryFile").load([paths] if isinstance(paths, str) else list(paths))
+    found = sorted(_plain(r["path"]) for r in listed.filter("length > 0").select("path").collect())
+    key = "spark.sql.legacy.parquet.nanosAsLong"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        groups: dict[str, tuple[T.StructType, list[str]]] = {}
+        for f in found:
+            schema = spark.read.parquet(f).schema
+            groups.setdefault(schema.json(), (schema, []))[1].append(f)
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+    return list(groups.values())
+
+
 def read_harmonised(
-    spark: SparkSession, groups: Sequence[Sequence[str]], double_cols: Sequence[str], schema: T.StructType | None = None
+    spark: SparkSession,
+    groups: str | Sequence[str] | Sequence[Sequence[str]],
+    double_cols: Sequence[str],
+    schema: T.StructType | None = None,
 ) -> DataFrame:
-    """Read file groups whose numeric types drifted and unify them as DOUBLE.
+    """Read files whose numeric types drifted and unify them as DOUBLE.
 
-    Files with the same physical types form one group; each group is read on
-    its own, cast, and the groups are unioned by name.
+    The files are grouped by the types in their footers (a given grouping is
+    only a list of them); each group is read with its own types, cast, and the
+    groups are unioned by name.
     """
+    paths = [groups] if isinstance(groups, str) else [p for g in groups for p in ([g] if isinstance(g, str) else g)]
     frames = []
-    for paths in groups:
-        df = spark.read.parquet(*paths)
+    for own, found in schema_groups(spark, paths):
+        df = spark.read.schema(own).parquet(*found)
         df = df.select(*[F.col(c).cast("double").alias(c) if c in double_cols else F.col(c) for c in df.columns])
         frames.append(df)
+    if not frames:
+        raise FileNotFoundError(str(paths))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)

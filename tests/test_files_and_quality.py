@@ -148,3 +148,34 @@ def test_quality_checks_on_broken_rows(spark):
     assert (fk.failures, fk.status) == (1, "warn")
     s = {r.status: r.n_checks for r in q.summary([q.relation_checks(df, spec), q.unique(df, "t", ["name"])]).collect()}
     assert s == {"error": 6, "warn": 1, "pass": 1}
+
+
+def test_harmonised_finds_the_groups_and_reads_nanoseconds(spark, tmp_dir):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    os.makedirs(f"{tmp_dir}/drift")
+    when = [1_552_176_000_000_000_000, 1_552_179_600_000_000_123]
+    pq.write_table(pa.table({"station": ["A", "B"], "obs_time": pa.array(when, pa.timestamp("ns")), "m": pa.array([1, 2], pa.int64())}), f"{tmp_dir}/drift/a.parquet")
+    pq.write_table(pa.table({"station": ["C"], "obs_time": pa.array([7], pa.int64()), "m": pa.array([0.5], pa.float64())}), f"{tmp_dir}/drift/b.parquet")
+    pq.write_table(pa.table({"station": ["D"], "obs_time": pa.array([8], pa.int64()), "m": pa.array([3], pa.int32())}), f"{tmp_dir}/drift/c.parquet")
+    schema = T.StructType([T.StructField("station", T.StringType()), T.StructField("obs_time", T.LongType()), T.StructField("m", T.DoubleType())])
+    before = spark.conf.get("spark.sql.legacy.parquet.nanosAsLong")
+    got = sorted(tuple(r) for r in files.read_harmonised(spark, f"{tmp_dir}/drift", ["m"], schema).collect())
+    assert got == [("A", when[0], 1.0), ("B", when[1], 2.0), ("C", 7, 0.5), ("D", 8, 3.0)]
+    assert spark.conf.get("spark.sql.legacy.parquet.nanosAsLong") == before
+
+
+def test_foreign_keys_and_accepted_values_without_expand(spark):
+    child = spark.createDataFrame([("x", 1)] * 5 + [("y", 2)] * 3 + [(None, 3)], "k string, v int")
+    parent = spark.createDataFrame([("x",)], "k string")
+    assert q.relationships(child, "c", "k", parent, "k").first().failures == 3
+    assert q.relationships(child.filter("k = 'x'"), "c", "k", parent, "k").first().failures == 0
+    spec = q.RelationChecks("c", not_null=["k"], accepted={"k": ["x"], "v": [1]})
+    checks = q.relation_checks(child, spec)
+    assert "Expand" not in checks._jdf.queryExecution().toString()
+    assert {(r.check_name, r.column_name): r.failures for r in checks.collect()} == {
+        ("not_null", "k"): 1,
+        ("accepted_values", "k"): 1,
+        ("accepted_values", "v"): 2,
+    }

@@ -33,7 +33,7 @@ def test_staging_filters_and_dedup(build):
 
 def test_staging_reference_files(build):
     carriers = {r.carrier: r for r in build["stg_carriers"].collect()}
-    assert set(carriers) == {"BAW", "DLH", "UAL"} or len(build["stg_carriers"].collect()) == 4
+    assert set(carriers) == {"BAW", "DLH", "UAL"} and len(build["stg_carriers"].collect()) == 4
     dim = {r.carrier: (r.carrier_id, r.carrier_name) for r in build["dim_carrier"].collect()}
     assert dim["BAW"] == (1, "British Airways") and dim["UAL"][1] == "Padded"
     ual = [r for r in build["stg_carriers"].collect() if r.carrier == "UAL"][0]
@@ -44,6 +44,12 @@ def test_staging_reference_files(build):
     assert places == {"EAAC": True, "EAAB": True, "LAAD": True, "KJFK": False, "KBOS": False}
 
 
+def test_all_measures_are_staged(build):
+    from brisa.sources import schemas
+
+    assert set(schemas.WEATHER_MEASURE_FIELDS) <= set(build["stg_observations"].columns)
+
+
 def test_conditions_join(build):
     cond = {r.callsign: r for r in build["movements_with_conditions"].collect() if r.callsign}
     assert "UAL7" not in cond  # neither end is a hub
