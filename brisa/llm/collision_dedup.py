@@ -108,9 +108,9 @@ def link(
     threshold: float = 0.9,
     projections: int = 32,
     window: float = 0.8,
-    margin: float = 0.25,
+    margin: float = 0.05,
     recall: float = 0.995,
-    per_tile: int = 256,
+    per_tile: int = 512,
     block: int = 2048,
     seed: int = 11,
     id_col: str = "vec_id",
@@ -185,7 +185,7 @@ def _links(nodes, threshold, projections, window, margin, recall, per_tile, bloc
         a, b = _collided(unit @ directions(v.shape[1], projections, seed), window, enough)
         same = int(part["b1"].iloc[0]) == int(part["b2"].iloc[0])
         # Pairs inside a block belong to that block's own task.
-        ok = (a < b) & ((side[a] != side[b]) | same)
+        ok = (side[a] != side[b]) | same
         a, b = a[ok], b[ok]
         cosine = np.concatenate([np.einsum("ij,ij->i", unit[a[i : i + 50_000]], unit[b[i : i + 50_000]]) for i in range(0, len(a), 50_000)] or [np.zeros(0)])
         a, b = a[cosine >= threshold], b[cosine >= threshold]
@@ -224,30 +224,41 @@ def _links(nodes, threshold, projections, window, margin, recall, per_tile, bloc
 def _collided(value: np.ndarray, window: float, enough: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs whose projections collide on at least ``enough`` directions.
 
-    Rows are taken in slices so that the table of counts stays small. On each
-    direction the rows are sorted once, and a row's window is a run of ranks:
-    +1 where it begins and -1 where it ends, summed along the ranks.
+    On each direction the rows are sorted once, and a row's window is a run of
+    ranks. Rows are taken in slices so that the table of counts stays small;
+    each pair ``a < b`` is counted once, by the window of ``a``.
     """
     n, m = value.shape
     order = np.argsort(value, axis=0, kind="stable")
-    found_a, found_b = [], []
-    ranked = [value[order[:, j], j] for j in range(m)]
-    rank = np.empty_like(order)
+    rank = np.empty((m, n), dtype=np.uint32 if n > 1 << 16 else np.uint16)
+    low, width = np.empty_like(rank), np.empty_like(rank)
     for j in range(m):
-        rank[order[:, j], j] = np.arange(n)
-    step = max(1, (1 << 21) // max(1, n))
+        ranked = value[order[:, j], j]
+        rank[j, order[:, j]] = np.arange(n)
+        low[j] = first = np.searchsorted(ranked, value[:, j] - window, "left")
+        width[j] = np.searchsorted(ranked, value[:, j] + window, "right") - first
+    found_a, found_b = [], []
+    step, most = max(1, (1 << 19) // max(1, n)), 3 * m // 4
     for at in range(0, n, step):
-        rows = np.arange(at, min(n, at + step))
-        count = np.zeros((len(rows), n), dtype=np.int8 if m < 128 else np.int32)
-        for j in range(m):
-            low = np.searchsorted(ranked[j], value[rows, j] - window, "left")
-            high = np.searchsorted(ranked[j], value[rows, j] + window, "right")
-            # A row is in the window when its rank is.
-            count += (rank[None, :, j] >= low[:, None]) & (rank[None, :, j] < high[:, None])
-        a, b = np.nonzero(count >= enough)
-        found_a.append(rows[a])
+        rows = slice(at, min(n, at + step))
+        # A rank is in the window if, counted from the window's begin (wrapping below 0), it is under its width.
+        count = np.zeros((rows.stop - at, n - at), dtype=np.uint8 if most < 256 else np.uint16)
+        for j in range(most):
+            inside = (rank[j, None, at:] - low[j, rows, None]) < width[j, rows, None]
+            count += inside.view(np.uint8)
+        # The last directions only for pairs that can still reach the count.
+        a, b = np.nonzero(count >= max(0, enough - (m - most)))
+        later = b > a
+        a, b = a[later], b[later]
+        total = count[a, b].astype(np.int64)
+        a, b = a + at, b + at
+        for j in range(most, m):
+            total += (rank[j, b] - low[j, a]) < width[j, a]
+            can = total >= enough - (m - 1 - j)
+            a, b, total = a[can], b[can], total[can]
+        found_a.append(a)
         found_b.append(b)
-    return np.concatenate(found_a), np.concatenate(found_b)
+    return (np.concatenate(found_a), np.concatenate(found_b)) if found_a else (np.zeros(0, int), np.zeros(0, int))
 
 
 def _forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
