@@ -89,8 +89,7 @@ def op7_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
-    back = simple8b.round_trip(_table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"))
-    return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    return simple8b.round_trip(_table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"), digests=True)
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,6 +23,7 @@ to 2**60 - 1 pack; larger ones (up to 2**64 - 1) are escaped.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,39 +45,50 @@ STRIDE = 4096
 FILE_SCHEMA = "part int, at long, n_ids long, doc_ids array<long>, doc_tokens array<int>, offsets array<int>, words binary"
 
 
+# How to build the largest need over each count of ids from smaller windows: count = first + second.
+_SPLITS = {2: (1, 1), 3: (2, 1), 4: (2, 2), 5: (4, 1), 6: (3, 3), 7: (6, 1), 8: (4, 4), 10: (5, 5), 12: (6, 6), 15: (10, 5), 20: (10, 10), 30: (15, 15), 60: (30, 30)}
+_LIMITS = np.array([1 << b for b in BITS], dtype=np.uint64)
+_NEED = np.searchsorted(_LIMITS, np.arange(1 << 16, dtype=np.uint64), side="right").astype(np.uint8)
+
+
 def encode_words(ids: np.ndarray, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray]:
     """Packed words, and the word offset at which each stride of ids begins.
 
-    Greedy: each word takes as many ids as its widest one allows. For every
-    selector the reach of a word starting at each id follows from the next id
-    that is too wide, so the choice for all starts is vectorised and only the
-    walk from word to word is a loop.
+    Greedy: each word takes as many ids as its widest one allows. The need of
+    an id is the first selector with enough bits for it; running maxima of the
+    needs tell for every start which selector holds there, so only the walk
+    from word to word is a loop. No word crosses a stride.
     """
     ids = np.asarray(ids, dtype=np.uint64)
-    words, offsets = [], []
-    for at in range(0, len(ids), stride):
-        offsets.append(sum(map(len, words)))
-        words.append(_encode_stride(ids[at : at + stride]))
-    return (np.concatenate(words) if words else np.zeros(0, np.uint64)), np.array(offsets, dtype=np.int32)
-
-
-def _encode_stride(ids: np.ndarray) -> np.ndarray:
     n = len(ids)
-    choice = np.full(n, ESCAPE, dtype=np.int64)
-    at = np.arange(n)
+    if not n:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int32)
+    need = _NEED[ids] if ids.max() < 1 << 16 else np.searchsorted(_LIMITS, ids, side="right").astype(np.uint8)
+    rows = -(-n // stride)
+    # What lies behind a stride's end needs nothing: the last word may be filled with zeros.
+    window = {1: np.zeros((rows, stride + 60), dtype=np.uint8)}
+    flat = np.zeros(rows * stride, dtype=np.uint8)
+    flat[:n] = need
+    window[1][:, :stride] = flat.reshape(rows, stride)
+    for count, (a, b) in _SPLITS.items():
+        w = window[a].copy()
+        np.maximum(w[:, :-a], window[b][:, a:], out=w[:, :-a])
+        window[count] = w
+    choice = np.full((rows, stride), ESCAPE, dtype=np.uint8)
     for s in range(len(COUNTS) - 1, -1, -1):
-        # Position of the next id that needs more bits than this selector has.
-        wide = np.where(ids >> np.uint64(BITS[s]) != 0, at, n) if BITS[s] < 64 else np.full(n, n)
-        reach = np.minimum.accumulate(wide[::-1])[::-1] - at
-        # The last word of a stride may be filled with zeros only where its ids run out.
-        fits = (reach >= COUNTS[s]) | ((reach == n - at) & (reach > 0) & (COUNTS[s] <= 2 * reach))
-        choice[fits] = s
-    starts, p, step = [], 0, np.array([*COUNTS, 0, 1])[choice].tolist()
-    while p < n:
-        starts.append(p)
-        p += step[p]
+        choice[window[COUNTS[s]][:, :stride] <= s] = s
+    choice = choice.ravel()[:n]
+    step = np.array([*COUNTS, 0, 1], dtype=np.int64)[choice].tolist()
+    starts: list[int] = []
+    firsts = []
+    for at in range(0, n, stride):
+        firsts.append(len(starts))
+        p, end = at, min(n, at + stride)
+        while p < end:
+            starts.append(p)
+            p += step[p]
     starts = np.array(starts, dtype=np.int64)
-    sel = choice[starts]
+    sel = choice[starts].astype(np.int64)
     width = 1 + (sel == ESCAPE)
     place = np.cumsum(width) - width
     out = np.zeros(int(width.sum()), dtype=np.uint64)
@@ -85,12 +97,13 @@ def _encode_stride(ids: np.ndarray) -> np.ndarray:
         mine = starts[sel == s]
         if len(mine):
             index = mine[:, None] + np.arange(count)[None, :]
-            lanes = np.where(index < n, ids[np.minimum(index, n - 1)], np.uint64(0))
+            ends = np.minimum((mine // stride + 1) * stride, n)[:, None]
+            lanes = np.where(index < ends, ids[np.minimum(index, n - 1)], np.uint64(0))
             shift = (np.arange(count) * bits).astype(np.uint64)
             out[place[sel == s]] |= np.bitwise_or.reduce(lanes << shift, axis=1)
     raw = sel == ESCAPE
     out[place[raw] + 1] = ids[starts[raw]]
-    return out
+    return out, place[firsts].astype(np.int32)
 
 
 def decode_words(words: np.ndarray, offsets: np.ndarray, n: int, stride: int = STRIDE) -> np.ndarray:
@@ -177,8 +190,11 @@ def write_ids(
     ordered.mapInArrow(run, FILE_SCHEMA).write.option("compression", "none").parquet(path)
 
 
-def read_ids(spark: SparkSession, path: str) -> DataFrame:
-    """One row per document from the files: ``doc_id, start, n_tokens, ids`` (ids as packed little-endian uint32)."""
+def read_ids(spark: SparkSession, path: str, digests: bool = False) -> DataFrame:
+    """One row per document from the files: ``doc_id, start, n_tokens, ids`` (ids as packed little-endian uint32).
+
+    With ``digests`` the ids leave as their unsigned CRC-32, ``ids_crc32``.
+    """
     files = spark.read.schema(FILE_SCHEMA).parquet(path)
     # One row per written partition (their number is the writer's shuffle setting, not the data's size).
     parts = files.groupBy("part").agg(F.sum("n_ids").alias("n"))
@@ -191,21 +207,24 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
                 words = np.frombuffer(row["words"], "<u8")
                 ids = decode_words(words, np.array(row["offsets"], dtype=np.int64), int(lengths.sum())).astype("<u4")
                 ends = np.cumsum(lengths)
+                each = [ids[b - k : b] for b, k in zip(ends.tolist(), lengths.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(row["doc_ids"], pa.int64()),
                         pa.array(row["part_start"] + row["at"] + ends - lengths, pa.int64()),
                         pa.array(lengths, pa.int64()),
-                        pa.array([ids[b - k : b].tobytes() for b, k in zip(ends.tolist(), lengths.tolist(), strict=True)], pa.binary()),
+                        pa.array([zlib.crc32(x) for x in each], pa.int64()) if digests else pa.array([x.tobytes() for x in each], pa.binary()),
                     ],
-                    names=["doc_id", "start", "n_tokens", "ids"],
+                    names=["doc_id", "start", "n_tokens", last],
                 )
 
-    return files.join(F.broadcast(before), "part").mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
+    last = "ids_crc32" if digests else "ids"
+    schema = f"doc_id long, start long, n_tokens long, {last} {'long' if digests else 'binary'}"
+    return files.join(F.broadcast(before), "part").mapInArrow(run, schema)
 
 
-def round_trip(docs: DataFrame, vocabulary: str, end_id: int = 2) -> DataFrame:
+def round_trip(docs: DataFrame, vocabulary: str, end_id: int = 2, digests: bool = False) -> DataFrame:
     """Write ``docs`` and read the files back."""
     path = scratch_path(docs.sparkSession, "simple8b")
     write_ids(docs, vocabulary, path, end_id)
-    return read_ids(docs.sparkSession, path)
+    return read_ids(docs.sparkSession, path, digests)
