@@ -24,7 +24,7 @@ _WS = r"\t-\r \x85\xa0  -     　"
 _RUNS = re.compile(rf"[{_WS}]+(?![^{_WS}])| ?[^{_WS}]+|[{_WS}]+")
 _TOUCHING = re.compile(r"\s | \s")
 _TAIL = re.compile(r"[a-zA-Z][.,]+\Z")
-CACHE_WORDS = 600_000
+CACHE_WORDS = 1_000_000
 LONGEST_KEPT = 64
 
 
@@ -123,7 +123,7 @@ def library_encoder(path: str) -> TextEncoder:
     def kept(text: str) -> list[int]:
         ids = parts.get(text)
         if ids is None:
-            if len(parts) >= CACHE_WORDS // 6:
+            if len(parts) >= CACHE_WORDS // 10:
                 parts.clear()
             ids = parts[text] = piece(text)
         return ids
