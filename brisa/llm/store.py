@@ -7,6 +7,7 @@ import tempfile
 import uuid
 import zipfile
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,3 +60,31 @@ def as_text(column: Column | str) -> Column:
 def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The two columns the operators read, under fixed names."""
     return df.select(F.col(id_col).cast("long").alias("doc_id"), as_text(text_col).alias("text"))
+
+
+BITMAP_BITS = 26
+
+
+def bitmap(df: DataFrame, value: Column) -> np.ndarray:
+    """One bit per slot of a 64-bit value (2 ** BITMAP_BITS slots, 8 MB, whatever the input's size).
+
+    Built from partial bitmaps on the executors. A map task can so tell which
+    rows surely do not matter without a join; rows that share a slot pass too.
+    """
+    slot = value.bitwiseAND(F.lit((1 << BITMAP_BITS) - 1)) + 1
+    chunks = (
+        df.groupBy(F.bitmap_bucket_number(slot).alias("chunk"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))
+        .toArrow()
+    )
+    out = np.zeros((1 << BITMAP_BITS) // 8, dtype=np.uint8)
+    for chunk, bits in zip(chunks.column("chunk").to_pylist(), chunks.column("bits").to_pylist(), strict=True):
+        at = (chunk - 1) * len(bits)
+        out[at : at + len(bits)] = np.frombuffer(bits, dtype=np.uint8)
+    return out
+
+
+def in_bitmap(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Whether the slots of 64-bit values are set."""
+    slot = (values.astype(np.uint64) & np.uint64((1 << BITMAP_BITS) - 1)).astype(np.int64)
+    return (bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)

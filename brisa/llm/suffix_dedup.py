@@ -47,7 +47,6 @@ from pyspark.sql import functions as F
 from brisa.llm import store
 
 GRAM = 32
-MAP_BITS = 26
 PIECE = 1 << 22  # windows handled at once inside one text
 _LOW = np.uint64((1 << 24) - 1)
 
@@ -95,12 +94,19 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 
 def _scan(docs: DataFrame, length: int) -> DataFrame:
-    """Pass 1: ``key, around, text_key, a, first, last`` per anchor of each text a task meets first."""
+    """Pass 1: ``key, around, text_key, a, back, ahead, met`` per anchor of each text a task meets first.
+
+    Stretches that a task meets again and again are known to repeat: only two
+    of them carry their key (two, so that each finds its like), the others are
+    marked ``met`` and get a key of their own, so no frequent line or passage
+    fills one partition.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         met: set[int] = set()
+        often: set[int] = set()
         for batch in batches:
             cols: list[list[np.ndarray]] = [[], [], [], [], [], []]
             for text_key, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -119,35 +125,49 @@ def _scan(docs: DataFrame, length: int) -> DataFrame:
                     c.append(x)
             if cols[0]:
                 key, around, text, at, first, last = (np.concatenate(c) for c in cols)
+                turn = _turn(around, often, 2)
+                spare = turn >= 2
+                own = _signed(_mix(text.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + at.astype(np.uint64)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key), pa.array(around), pa.array(text), pa.array(at.astype(np.int32)), pa.array((at - first).astype(np.int16)), pa.array((last - at).astype(np.int16))],
-                    names=["key", "around", "text_key", "a", "back", "ahead"],
+                    [pa.array(np.where(spare, own, key)), pa.array(around), pa.array(text), pa.array(at.astype(np.int32)), pa.array((at - first).astype(np.int16)), pa.array((last - at).astype(np.int16)), pa.array(spare)],
+                    names=["key", "around", "text_key", "a", "back", "ahead", "met"],
                 )
 
-    return docs.select("text_key", "raw").mapInArrow(run, "key long, around long, text_key long, a int, back short, ahead short")
+    return docs.select("text_key", "raw").mapInArrow(run, "key long, around long, text_key long, a int, back short, ahead short, met boolean")
 
 
-def _bitmap(keys: DataFrame) -> np.ndarray:
-    """One bit per slot of ``key`` (2 ** MAP_BITS of them, whatever the input's size)."""
-    slot = F.col("key").bitwiseAND(F.lit((1 << MAP_BITS) - 1)) + 1
-    chunks = (
-        keys.groupBy(F.bitmap_bucket_number(slot).alias("chunk"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))
-        .toArrow()
-    )
-    out = np.zeros((1 << MAP_BITS) // 8, dtype=np.uint8)
-    for chunk, bits in zip(chunks.column("chunk").to_pylist(), chunks.column("bits").to_pylist(), strict=True):
-        at = (chunk - 1) * len(bits)
-        out[at : at + len(bits)] = np.frombuffer(bits, dtype=np.uint8)
-    return out
+OFTEN_KEPT = 200_000
+
+
+def _turn(around: np.ndarray, often: set[int], sent: int) -> np.ndarray:
+    """Which occurrence (from 0) of its stretch each row is, as far as the task knows.
+
+    ``often`` remembers stretches that already occurred ``sent`` times in one
+    batch; it is bounded, and forgetting one only sends a few more rows.
+    """
+    order = np.argsort(around, kind="stable")
+    head = np.append(True, around[order][1:] != around[order][:-1])
+    start = np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))
+    turn = np.empty(len(order), dtype=np.int64)
+    turn[order] = np.arange(len(order)) - start
+    if often:
+        turn[np.isin(around, np.fromiter(often, dtype=np.int64, count=len(often)))] += sent
+    again = np.unique(around[turn == sent - 1]).tolist() if sent else []
+    if len(often) + len(again) > OFTEN_KEPT:
+        often.clear()
+    often.update(again[:OFTEN_KEPT])
+    return turn
 
 
 def _stretches(docs: DataFrame, bitmap, length: int) -> DataFrame:
-    """Pass 2: the bytes around the anchors whose gram is in the bitmap."""
+    """Pass 2: the bytes around the anchors whose gram is in the bitmap, each distinct stretch once or so per task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
         bits = bitmap.value
         met: set[int] = set()
+        often: set[int] = set()
         for batch in batches:
             rows: list[tuple] = []
             for text_key, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -156,10 +176,13 @@ def _stretches(docs: DataFrame, bitmap, length: int) -> DataFrame:
                 met.add(text_key)
                 raw = raw.as_py()
                 at, first, last, gram = anchors(raw, length)
-                slot = (gram & np.uint64((1 << MAP_BITS) - 1)).astype(np.int64)
-                hit = np.flatnonzero(bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1)
+                hit = np.flatnonzero(store.in_bitmap(bits, gram))
                 for a, p, q, k in zip(at[hit].tolist(), first[hit].tolist(), last[hit].tolist(), _signed(gram[hit]).tolist(), strict=True):
                     rows.append((k, text_key, a, a - p, q - a, raw[p : q + length]))
+            if rows:
+                # Equal stretches are settled already; one is enough to compare others with.
+                around = np.array([xxhash.xxh3_64_intdigest(r[5], seed=r[3]) for r in rows], dtype=np.uint64).view(np.int64)
+                rows = [rows[i] for i in np.flatnonzero(_turn(around, often, 1) < 1).tolist()]
             if rows:
                 kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int16(), pa.int16(), pa.binary())
                 yield pa.RecordBatch.from_arrays(
@@ -317,16 +340,16 @@ def repeated_spans(texts: DataFrame, length: int = 200, chunk: int = 20_000, hot
     met = store.materialise(
         _scan(long_enough, length)
         .withColumns({"n_key": F.count("*").over(key), "n_around": F.count("*").over(stretch)})
-        .filter("n_key > 1")
+        .filter("met or n_key > 1")
         .drop("around"),
         "anchors",
     )
-    full = met.filter("n_around > 1").select(
+    full = met.filter("met or n_around > 1").select(
         "text_key", (F.col("a") - F.col("back")).alias("start"), (F.col("a") + F.col("ahead") + length).alias("end")
     )
-    open_keys = met.filter("n_around = 1").select("key", "n_key").distinct()
+    open_keys = met.filter("not met and n_around = 1").select("key", "n_key").distinct()
     spans = [full, whole.select("text_key", F.lit(0).alias("start"), "end")]
-    bitmap = spark.sparkContext.broadcast(_bitmap(open_keys))
+    bitmap = spark.sparkContext.broadcast(store.bitmap(open_keys, F.col("key")))
     suffixes = store.materialise(_stretches(long_enough, bitmap, length), "suffixes")
     frequent = open_keys.filter(F.col("n_key") >= hot).select("key")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
