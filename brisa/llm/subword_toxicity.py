@@ -86,6 +86,15 @@ def grams(words: list[str], s: Settings) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(found) % np.uint64(s.buckets)).astype(np.int64)[order], owner[order]
 
 
+def _grams_of(words: list[str], s: Settings, chunk: int = 20_000) -> tuple[np.ndarray, np.ndarray]:
+    """``grams`` of a long list, a chunk at a time, in 32-bit integers."""
+    parts = []
+    for at in range(0, len(words), chunk):
+        bucket, owner = grams(words[at : at + chunk], s)
+        parts.append((bucket.astype(np.int32), (owner + at).astype(np.int32)))
+    return np.concatenate([b for b, _ in parts]), np.concatenate([o for _, o in parts])
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -136,7 +145,7 @@ def train(texts: list[str], labels: list[int], s: Settings) -> Model:
         doc_of += [d] * k
         wins += k
     word, win_of, doc_of = (np.concatenate(x).astype(np.int32) for x in (word, win_of, [doc_of]))
-    bucket, owner = (x.astype(np.int32) for x in grams(list(vocabulary), s))
+    bucket, owner = _grams_of(list(vocabulary), s)
     per_word = np.bincount(owner, minlength=len(vocabulary)).astype(np.float32)
     per_win = np.bincount(win_of, minlength=wins).astype(np.float32)
     # Words hold consecutive n-grams and windows consecutive words.
