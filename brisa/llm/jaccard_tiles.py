@@ -13,15 +13,17 @@ link when the Jaccard similarity of their sets reaches ``percent``.
    in this order: those are the tokens a node is filed under.
 3. Nodes of one token and neighbouring size bands (factor 1 / t) form a tile;
    others cannot link. Tokens met by one node alone vanish here.
-4. Each node is compared with its tile's first node. A pair goes on only if
+4. Each node is compared with a few nodes of its tile; in a group of up to nine
+   these are all pairs. A pair goes on only if
    the sizes allow the link and the signatures' bit counts, which bound the
-   overlap from above, do; then the sorted hash arrays are intersected.
-5. Links found so far give components. Only tiles that still hold several
-   components go on: nodes outside the component of the tile's first node are
-   compared, under the same bounds, with the tile's nodes of other components.
-   Every pair of linked nodes is thus either compared or already connected.
-
-So groups of near copies cost one comparison per node and tile, not all pairs;
+   overlap from above, do; sets too large for 512 bits have a second signature
+   of about four bits a shingle. Then the sorted hash arrays are intersected.
+5. Links found so far give components. Only larger groups that still hold
+   several components go on: nodes outside one of them are compared, under the
+   same bounds, with the tile's nodes of other components. Every pair of linked
+   nodes is thus either compared or already connected.
+
+So groups of near copies cost a few comparisons per node, not all pairs;
 no tile is ever collected in one place except by sorting (spilling) or joining
 (which splits skewed keys); tokens that are frequent by the slot table go
 through aggregates with map-side combine and a join instead of the sort.
@@ -48,7 +50,10 @@ from brisa.llm.components import components
 
 WORDS = 8  # 64-bit words of a signature
 SLOT_BITS = 24
-SCHEMA = "doc_id long, n int, key long, " + ", ".join(f"b{i} long" for i in range(WORDS)) + ", slot int, seen long"
+SCHEMA = "doc_id long, n int, key long, " + ", ".join(f"b{i} long" for i in range(WORDS)) + ", wide binary, slot int, seen long"
+WIDE_FROM = 192  # sets of more shingles have a wide signature
+WIDE_MOST = 1 << 16
+NEIGHBOURS = 8
 HOT_LEVEL = 40  # about 2 ** (40 / 4) documents
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -91,6 +96,27 @@ def _signature(found: np.ndarray) -> np.ndarray:
     return np.packbits(bits).view("<i8")
 
 
+def _wide(found: np.ndarray) -> bytes | None:
+    """Signature of at least four bits a shingle (a power of two, at most WIDE_MOST) of a large set."""
+    if len(found) <= WIDE_FROM:
+        return None
+    size = min(WIDE_MOST, 1 << (4 * len(found) - 1).bit_length())
+    bits = np.zeros(size, dtype=np.uint8)
+    bits[(found >> np.uint64(40)).astype(np.int64) % size] = 1
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def _overlap_bound(nx: int, ny: int, x: bytes, y: bytes) -> int:
+    """Most shingles that two sets can share: a bit that one has and the other lacks is a shingle the other lacks."""
+    p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    while len(p) != len(q):  # fold the longer: its places modulo half its size
+        if len(p) > len(q):
+            p = p[: len(p) // 2] | p[len(p) // 2 :]
+        else:
+            q = q[: len(q) // 2] | q[len(q) // 2 :]
+    return min(nx - int(np.bitwise_count(p & ~q).sum()), ny - int(np.bitwise_count(q & ~p).sum()))
+
+
 def _slots(found: np.ndarray) -> np.ndarray:
     return (found & np.uint64((1 << SLOT_BITS) - 1)).astype(np.int64)
 
@@ -103,12 +129,13 @@ def _describe(docs: DataFrame, words: int) -> DataFrame:
         met: set[int] = set()
         total = 0
         for batch in batches:
-            n, keys, bits = [], [], []
+            n, keys, bits, wide = [], [], [], []
             for text in batch.column(1):
                 found = shingles(text.as_py(), words)
                 n.append(len(found))
                 keys.append(_key(found) if len(found) else None)
                 bits.append(_signature(found))
+                wide.append(_wide(found))
                 if len(found) and keys[-1] not in met:
                     met.add(keys[-1])
                     total += len(found)
@@ -119,7 +146,7 @@ def _describe(docs: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int32()), pa.array(keys, pa.int64())]
                 + [pa.array(table[:, i]) for i in range(WORDS)]
-                + [none, pa.nulls(len(n), pa.int64())],
+                + [pa.array(wide, pa.binary()), none, pa.nulls(len(n), pa.int64())],
                 names=_columns(),
             )
         # What chance puts into a slot stays below this.
@@ -129,7 +156,7 @@ def _describe(docs: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [nothing, pa.nulls(len(often), pa.int32()), nothing]
                 + [nothing] * WORDS
-                + [pa.array(often.astype(np.int32)), pa.array(counts[often].astype(np.int64))],
+                + [pa.nulls(len(often), pa.binary()), pa.array(often.astype(np.int32)), pa.array(counts[often].astype(np.int64))],
                 names=_columns(),
             )
 
@@ -193,25 +220,34 @@ def _filed(docs: DataFrame, levels, words: int, percent: int, hot: bool) -> Data
 
 
 def _tiles(docs: DataFrame, levels, words: int, percent: int) -> DataFrame:
-    """``token, band, key, first``: rows of tokens that several nodes share, with the first node of the tile."""
+    """``token, band, key, others, many``: rows of tokens that several nodes share.
+
+    ``others`` are nodes to compare with first: the ``NEIGHBOURS`` before it in
+    the token's order by size band, which in a small group is everyone before
+    it; ``many`` marks larger groups, of which other pairs remain. Frequent
+    tokens are not sorted in one place: their nodes are compared with as many
+    nodes drawn by hash from the tile, found by aggregates.
+    """
     cold = _filed(docs, levels, words, percent, hot=False)
     token = Window.partitionBy("token")
-    near = token.orderBy("band").rangeBetween(-1, 0)
+    before = [F.lag("key", i).over(token.orderBy("band", "key")) for i in range(1, NEIGHBOURS + 1)]
     cold = (
-        cold.withColumns({"lo": F.min("key").over(token), "hi": F.max("key").over(token)})
+        cold.withColumns({"lo": F.min("key").over(token), "hi": F.max("key").over(token), "rows": F.count("*").over(token)})
         .filter("lo <> hi")
-        .withColumn("first", F.first("key").over(near))
-        .select("token", "band", "key", "first")
+        .withColumns({"others": F.array(*before), "many": F.col("rows") > NEIGHBOURS + 1})
+        .select("token", "band", "key", "others", "many")
     )
     if not (levels.value >= HOT_LEVEL).any():
         return store.materialise(cold, "tiles")
     hot = store.materialise(_filed(docs, levels, words, percent, hot=True).distinct(), "hot_tiles")
     shared = hot.groupBy("token").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).filter("lo <> hi").select("token")
-    # A tile reaches one band down, so its first node may be the lower band's.
-    least = hot.groupBy("token", "band").agg(F.min("key").alias("first"))
-    reach = least.unionByName(least.withColumn("band", F.col("band") + 1)).groupBy("token", "band").agg(F.min("first").alias("first"))
-    hot = hot.join(shared, "token", "left_semi").join(reach, ["token", "band"]).select("token", "band", "key", "first")
-    return store.materialise(cold.unionByName(hot), "tiles")
+    names = [f"d{i}" for i in range(NEIGHBOURS)]
+    drawn = hot.groupBy("token", "band").agg(*[F.min(F.struct(F.xxhash64(F.lit(i), "key"), "key")).alias(d) for i, d in enumerate(names)])
+    # A tile reaches one band down, so its drawn nodes may be the lower band's.
+    reach = drawn.unionByName(drawn.withColumn("band", F.col("band") + 1))
+    reach = reach.groupBy("token", "band").agg(F.array(*[F.min(d)["key"] for d in names]).alias("others"))
+    hot = hot.join(shared, "token", "left_semi").join(reach, ["token", "band"])
+    return store.materialise(cold.unionByName(hot.select("token", "band", "key", "others", F.lit(True).alias("many"))), "tiles")
 
 
 def _may_link(x: str, y: str, percent: int) -> Column:
@@ -239,26 +275,50 @@ def _bounded(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _sets(docs: DataFrame, nodes: DataFrame, keys: DataFrame, words: int) -> DataFrame:
-    """``key, found`` (the packed sorted hashes) of the given nodes, from one document of each."""
-    wanted = nodes.join(keys, "key", "left_semi").select("doc_id", "key")
+def _bounded_wide(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs that the wide signatures let through too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shingles(t.as_py(), words).tobytes() for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["key", "found"])
+            nx, ny = batch.column(2).to_pylist(), batch.column(4).to_pylist()
+            keep = []
+            for i, (x, y) in enumerate(zip(batch.column(3), batch.column(5), strict=True)):
+                x, y = x.as_py(), y.as_py()
+                bound = min(nx[i], ny[i]) if x is None or y is None else _overlap_bound(nx[i], ny[i], x, y)
+                keep.append((100 + percent) * bound >= percent * (nx[i] + ny[i]))
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    x = nodes.select(F.col("key").alias("a"), F.col("n").alias("nx"), F.col("wide").alias("wx"))
+    y = nodes.select(F.col("key").alias("b"), F.col("n").alias("ny"), F.col("wide").alias("wy"))
+    return pairs.join(x, "a").join(y, "b").select("a", "b", "nx", "wx", "ny", "wy").mapInArrow(run, "a long, b long")
+
 
-    # The key is checked again, should several rows share the document's id.
-    rows = docs.join(wanted, "doc_id").select("key", "text").mapInArrow(run, "key long, found binary")
-    return store.materialise(rows.filter(_key_of("found") == F.col("key")).dropDuplicates(["key"]), "sets")
+def _sets(docs: DataFrame, nodes: DataFrame, keys: DataFrame, words: int) -> DataFrame:
+    """``key, found`` (the packed sorted hashes) of the given nodes, from one document of each.
 
+    The texts are not shuffled: a bitmap of fixed size tells each task which of
+    its documents may stand for a wanted node. A few others pass by chance, and
+    documents that repeat an id; their rows join with nothing or give the same
+    links again.
+    """
+    wanted = nodes.select("key", "doc_id").join(keys, "key", "left_semi")
+    bits = docs.sparkSession.sparkContext.broadcast(store.bitmap(wanted, F.col("key").bitwiseXOR(F.coalesce("doc_id", F.lit(-1)))))
 
-def _key_of(column: str) -> Column:
-    @F.pandas_udf("long")
-    def key(found):
-        return found.map(lambda x: _key(np.frombuffer(x, dtype=np.uint64)))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = bits.value
+        for batch in batches:
+            key, found = [], []
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                have = shingles(text.as_py(), words)
+                if len(have):
+                    k = _key(have)
+                    if store.in_bitmap(table, np.array([k ^ (-1 if doc is None else doc)], dtype=np.int64))[0]:
+                        key.append(k)
+                        found.append(have.tobytes())
+            if key:
+                yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(found, pa.binary())], names=["key", "found"])
 
-    return key(F.col(column))
+    return store.materialise(docs.mapInArrow(run, "key long, found binary"), "sets")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -281,12 +341,13 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _crossing(tiles: DataFrame, nodes: DataFrame, label: DataFrame, percent: int) -> DataFrame:
     """Pairs of one tile that are in different components so far and that the bounds let through."""
+    tiles = tiles.filter("many")
     named = tiles.join(label, tiles["key"] == label["node"], "left").select(
-        "token", "band", "key", "first", F.coalesce("component", "key").alias("component")
+        "token", "band", "key", F.coalesce("component", "key").alias("component")
     )
     mixed = named.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
     open_rows = store.materialise(
-        named.join(mixed.select("token", "lo"), "token").join(nodes.drop("doc_id"), "key"), "open_tiles"
+        named.join(mixed.select("token", "lo"), "token").join(nodes.drop("doc_id", "wide"), "key"), "open_tiles"
     )
     # One component of each token (the smallest) needs no comparison inside; the others look at everything else.
     outside = open_rows.filter("component <> lo").withColumn("probe", F.explode(F.array(*[F.col("band") + d for d in (-1, 0, 1)])))
@@ -312,19 +373,21 @@ def link(
     levels = spark.sparkContext.broadcast(_levels(described))
     bits = [F.first(f"b{i}").alias(f"b{i}") for i in range(WORDS)]
     nodes = store.materialise(
-        rows.filter("n > 0").groupBy("key", "n").agg(F.min("doc_id").alias("doc_id"), *bits), "nodes"
+        rows.filter("n > 0").groupBy("key", "n").agg(F.min("doc_id").alias("doc_id"), *bits, F.first("wide").alias("wide")), "nodes"
     )
     tiles = _tiles(read, levels, words, percent)
-    pairs = tiles.filter("key <> first").select(F.least("key", "first").alias("a"), F.greatest("key", "first").alias("b"))
+    pairs = tiles.select("key", F.explode("others").alias("other")).filter("key <> other")
+    pairs = pairs.select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b"))
     pairs = store.materialise(_bounded(pairs.distinct(), nodes, percent), "first_pairs")
-    sets = _sets(read, nodes, _ends(pairs), words)
-    edges = store.materialise(_verified(pairs, sets, percent), "first_links")
+    near = store.materialise(_bounded_wide(pairs, nodes, percent), "first_near")
+    edges = store.materialise(_verified(near, _sets(read, nodes, _ends(near), words), percent), "first_links")
     label = components(edges)
-    more = store.materialise(_crossing(tiles, nodes, label, percent).join(pairs, ["a", "b"], "left_anti"), "more_pairs")
+    more = _crossing(tiles, nodes, label, percent).join(pairs, ["a", "b"], "left_anti")
+    more = store.materialise(_bounded_wide(more, nodes, percent), "more_near")
     if not more.isEmpty():
-        missing = _ends(more).join(sets, "key", "left_anti")
-        sets = sets.unionByName(_sets(read, nodes, missing, words))
-        label = components(edges.unionByName(_verified(more, sets, percent)))
+        found = store.materialise(_verified(more, _sets(read, nodes, _ends(more), words), percent), "more_links")
+        if not found.isEmpty():
+            label = components(found.unionByName(label.select(F.col("node").alias("a"), F.col("component").alias("b"))))
     # From nodes to documents: the smallest id of each component, then of each row.
     named = nodes.join(label, nodes["key"] == label["node"], "left").select("key", "doc_id", F.coalesce("component", "key").alias("component"))
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
