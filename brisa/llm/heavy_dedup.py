@@ -92,11 +92,14 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     names = [f"c{i}" for i in range(len(docs.columns))]
     inner = docs.toDF(*names)
     text = F.col(names[docs.columns.index(text_col)])
+    # A null id is a value like any other; spelled out, the join and the window below share one exchange of the rows.
+    plain = [F.coalesce("id", F.lit(0)).alias("id"), F.col("id").isNull().alias("none"), "digest"]
+    number = F.col(names[docs.columns.index(id_col)]).cast("long")
     keyed = inner.withColumns(
-        {"id": F.col(names[docs.columns.index(id_col)]).cast("long"), "digest": F.unhex(digest(text)), "n": F.length(store.as_text(text))}
+        {"id": F.coalesce(number, F.lit(0)), "none": number.isNull(), "digest": F.unhex(digest(text)), "n": F.length(store.as_text(text))}
     )
     stay = assign(docs, id_col, text_col).filter("kept").select(F.col("doc_id").alias("id"), F.unhex("text_sha256").alias("digest"))
-    joined = keyed.join(stay, keyed["id"].eqNullSafe(stay["id"]) & (keyed["digest"] == stay["digest"]), "left_semi")
+    joined = keyed.join(stay.select(*plain), ["id", "none", "digest"], "left_semi")
     # Several rows with the id and digest that stay are repeats; the longest original is the one.
-    rank = F.row_number().over(Window.partitionBy("id", "digest").orderBy(F.col("n").desc()))
+    rank = F.row_number().over(Window.partitionBy("id", "none", "digest").orderBy(F.col("n").desc()))
     return joined.withColumn("rank", rank).filter("rank = 1").select(*names).toDF(*docs.columns)
