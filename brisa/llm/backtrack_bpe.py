@@ -42,7 +42,8 @@ DIGEST_SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 s
 
 # Fixed value: the published splitting pattern of byte-level vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-PAIRS_KEPT = 2_000_000
+PAIRS_KEPT = 500_000
+CHUNKS_KEPT = 500_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -233,7 +234,7 @@ def backtracking_encoder(path: str) -> TextEncoder:
             out += ids
         return out
 
-    return TextEncoder(chunk, True, v.special, v.size)
+    return TextEncoder(chunk, True, v.special, v.size, CHUNKS_KEPT)
 
 
 def encode_decode(

@@ -35,16 +35,16 @@ class _Cache(dict):
     occur again, and the generation before that goes: frequent chunks stay.
     """
 
-    def __init__(self, encode: Callable[[str], bytes]):
+    def __init__(self, encode: Callable[[str], bytes], most: int):
         super().__init__()
-        self.encode, self.older = encode, {}
+        self.encode, self.most, self.older = encode, most, {}
 
     def __missing__(self, chunk: str) -> bytes:
         packed = self.older.get(chunk)
         if packed is None:
             packed = self.encode(chunk)
         if len(chunk) <= LONGEST_KEPT:
-            if len(self) >= CACHE_WORDS:
+            if len(self) >= self.most:
                 self.older = dict(self)
                 self.clear()
             self[chunk] = packed
@@ -57,15 +57,23 @@ class TextEncoder:
     ``encode_chunk`` gives the ids of one chunk; ``spaced`` says whether a space
     is part of the chunk after it (byte vocabulary) or dropped (word vocabulary);
     ``special`` lists strings that the vocabulary maps to one id wherever they
-    occur, so texts are cut around them first.
+    occur, so texts are cut around them first. Each of two generations of the
+    cache keeps up to ``most`` chunks.
     """
 
-    def __init__(self, encode_chunk: Callable[[str], list[int]], spaced: bool, special: dict[str, int], size: int):
+    def __init__(
+        self,
+        encode_chunk: Callable[[str], list[int]],
+        spaced: bool,
+        special: dict[str, int],
+        size: int,
+        most: int = CACHE_WORDS,
+    ):
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self._chunk, self.spaced, self.special = encode_chunk, spaced, special
         self._any_special = re.compile("|".join(map(re.escape, special))) if special else None
-        self._whole = _Cache(lambda c: self._pack(encode_chunk(c)))
-        self._after_space = _Cache(lambda c: self._pack(encode_chunk(" " + c)))
+        self._whole = _Cache(lambda c: self._pack(encode_chunk(c)), most)
+        self._after_space = _Cache(lambda c: self._pack(encode_chunk(" " + c)), most)
 
     def _pack(self, ids) -> bytes:
         return np.asarray(ids, dtype=self.dtype).tobytes()
