@@ -11,11 +11,14 @@ from brisa.llm import (
     cost_packing,
     heavy_dedup,
     jaccard_tiles,
+    prefix_targets,
+    reversed_search,
     simple8b,
     store,
     stratified_shards,
     subword_toxicity,
     suffix_dedup,
+    token_alignment,
     weak_pii,
 )
 
@@ -100,6 +103,56 @@ def op10_jaccard_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_tiles.link(_table(spark, sf_dir, "documents"))
 
 
+PROBE_ID, PROBE_TEXT = -7, r"\### Assistant: </turn> ok"
+
+
+def op11_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame([(PROBE_ID, k, role, PROBE_TEXT) for k, role in enumerate(("user", "assistant"))], turns.schema)
+    return prefix_targets.round_trip(turns.unionByName(probe))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(
+        _table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"), vocabulary_path("piece_bpe_32k.model")
+    )
+
+
+def op13_reversed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reversed_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+_TERMS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+SQL_OP13 = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS terms FROM documents
+), sizes AS (
+  SELECT r, doc_id, len(terms) AS n FROM d WHERE len(terms) > 0
+), totals AS (
+  SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM sizes
+), wanted AS (
+  SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark
+), counts AS (
+  SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM d)
+  WHERE term IN (SELECT term FROM wanted) GROUP BY r, term
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM counts, totals GROUP BY term, docs
+), scores AS (
+  SELECT item_id, r, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + ((90 * n * docs) // total))))) AS BIGINT) AS score
+  FROM wanted JOIN weights USING (term) JOIN counts USING (term) JOIN sizes USING (r), totals
+  GROUP BY item_id, r
+), ranked AS (
+  SELECT item_id, doc_id, score,
+         CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank
+  FROM scores JOIN sizes USING (r) WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
 # name -> (query, DuckDB SQL or None)
 QUERIES = {
     "op1_weak_pii": (op1_weak_pii, None),
@@ -112,4 +165,7 @@ QUERIES = {
     "op8_simple8b": (op8_simple8b, None),
     "op9_suffix_dedup": (op9_suffix_dedup, None),
     "op10_jaccard_tiles": (op10_jaccard_tiles, None),
+    "op11_prefix_targets": (op11_prefix_targets, None),
+    "op12_token_alignment": (op12_token_alignment, None),
+    "op13_reversed_search": (op13_reversed_search, SQL_OP13),
 }
