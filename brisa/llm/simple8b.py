@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from brisa.llm import store
-from brisa.llm.wordpieces import library_encoder, worker_encoder
+from brisa.llm.wordpieces import RankEncoder, worker_encoder
 from brisa.session import scratch_path
 
 # Ids per word by selector (60 data bits); 15 is the escape.
@@ -154,7 +154,7 @@ def write_ids(
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_encoder(library_encoder, vocabulary)
+        encoder = worker_encoder(RankEncoder, vocabulary)
         end = np.array([end_id], dtype=encoder.dtype).tobytes()
         part = TaskContext.get().partitionId() if TaskContext.get() else 0
         written, doc_ids, packed, held = 0, [], [], 0
