@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from brisa.llm import store
 from brisa.llm.wordpieces import RankEncoder
 
-ALIGNED = "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, a array<int>, b array<int>"
+ALIGNED = "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, a binary, b binary"
 COUNTED = "a int, b int, n long"
 WEIGHED = (
     "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
@@ -179,11 +179,25 @@ def align_slice(texts: list[str], a_side: Side, b_side: Side, labels: pa.Array)
         "n_groups": pa.array(np.bincount(cuts >> END_BITS, minlength=rows), pa.int64()),
         "n_links": pa.array(n_links, pa.int64()),
         "groups_sha256": pa.array(_digests(a, b, cuts, rows, labels), pa.string()),
-        "a": pa.ListArray.from_arrays(offsets, links.column("a").combine_chunks()),
-        "b": pa.ListArray.from_arrays(offsets, links.column("b").combine_chunks()),
+        "a": _packed(links.column("a"), offsets),
+        "b": _packed(links.column("b"), offsets),
     }
 
 
+def _packed(ids: pa.ChunkedArray, offsets: np.ndarray) -> pa.Array:
+    """The ids of each document as bytes, 16 or 32 bits an id: in Spark's rows these cost far less than arrays."""
+    values = ids.to_numpy()
+    values = values.astype("<u2" if not len(values) or values.max() < 1 << 16 else "<u4")
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer((offsets * values.itemsize).astype(np.int32)), pa.py_buffer(values)])
+
+
+def _ids(packed: pa.Array, n_links: pa.Array) -> pa.ListArray:
+    """The inverse of ``_packed``, for rows that need not agree in their width."""
+    each = [np.frombuffer(x, f"<u{len(x) // n}") if n else () for x, n in zip(packed.to_pylist(), n_links.to_pylist(), strict=True)]
+    offsets = np.concatenate([[0], np.cumsum(n_links.to_numpy())]).astype(np.int32)
+    return pa.ListArray.from_arrays(offsets, np.concatenate([np.zeros(0, np.int32), *each]).astype(np.int32))
+
+
 def _slices(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
     """Runs of texts of a million characters, or one longer text."""
     held: list[str] = []
@@ -226,7 +240,7 @@ def pair_counts(aligned: DataFrame) -> DataFrame:
         held: list[pa.Table] = []
         rows = 0
         for batch in batches:
-            pairs = pa.table({"a": pc.list_flatten(batch.column(0)), "b": pc.list_flatten(batch.column(1))})
+            pairs = pa.table({c: pc.list_flatten(_ids(batch.column(c), batch.column("n_links"))) for c in ("a", "b")})
             counts = pairs.group_by(["a", "b"], use_threads=False).aggregate([([], "count_all")]).rename_columns(["a", "b", "n"])
             held.append(counts)
             rows += len(counts)
@@ -239,7 +253,7 @@ def pair_counts(aligned: DataFrame) -> DataFrame:
         if held:
             yield from _merged(held, "sum").to_batches()
 
-    return aligned.select("a", "b").mapInArrow(run, COUNTED).groupBy("a", "b").agg(F.sum("n").alias("n"))
+    return aligned.select("a", "b", "n_links").mapInArrow(run, COUNTED).groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
 def align(
@@ -262,10 +276,10 @@ def align(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs, numbers, best = known.value
         for batch in batches:
-            lists = batch.column("a")
-            rows = len(lists)
-            doc = pc.list_parent_indices(lists).to_numpy()
-            key = pc.list_flatten(lists).to_numpy().astype(np.int64) << 32 | pc.list_flatten(batch.column("b")).to_numpy()
+            a_lists, b_lists = (_ids(batch.column(c), batch.column("n_links")) for c in ("a", "b"))
+            rows = len(a_lists)
+            doc = pc.list_parent_indices(a_lists).to_numpy()
+            key = pc.list_flatten(a_lists).to_numpy().astype(np.int64) << 32 | pc.list_flatten(b_lists).to_numpy()
             at = np.minimum(np.searchsorted(pairs, key), max(len(pairs) - 1, 0))
             here = pairs[at] == key if len(pairs) else np.zeros(len(key), dtype=bool)
             total = np.zeros(rows, dtype=np.int64)
