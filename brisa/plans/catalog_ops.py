@@ -12,7 +12,7 @@ from ..operators.topn import total_order
 from ..operators.windows import dedup_latest, first_per_key, mode_per_key
 from ..session import scratch_path
 from ..functions.scalars import file_month
-from ..sources import files
+from ..sources import files, jobs, ledger
 from ..streaming import landing
 from . import tpch_quality
 from .catalog import M, ntz, register
@@ -522,12 +522,13 @@ def q_partitioned(spark, d):
 
 @register("harmonised_types", sql("SELECT * FROM lineitem"))
 def q_harmonised(spark, d):
-    """Files whose quantity column drifted to BIGINT are unified as DOUBLE."""
+    """Files whose quantity column drifted to BIGINT are unified as DOUBLE; 250 files of either type, whose footers one job reads."""
     li = table(spark, d, "lineitem")
     a = scratch_path(spark, "li_int")
     b = scratch_path(spark, "li_double")
-    li.filter(F.col("l_returnflag") == "R").withColumn("l_quantity", F.col("l_quantity").cast("long")).write.parquet(a)
-    li.filter(F.col("l_returnflag") != "R").write.parquet(b)
+    returned = F.col("l_returnflag").eqNullSafe("R")
+    li.filter(returned).withColumn("l_quantity", F.col("l_quantity").cast("long")).repartition(250).write.parquet(a)
+    li.filter(~returned).repartition(250).write.parquet(b)
     return files.read_harmonised(spark, [a, b], ["l_quantity"], schema=li.schema)
 
 
@@ -579,6 +580,76 @@ def q_file_months(spark, d):
     return rows.groupBy("dt").agg(F.count(F.lit(1)).alias("n"))
 
 
+ORDERS_CSV_SCHEMA = T.StructType(
+    [
+        T.StructField("o_orderkey", T.LongType()),
+        T.StructField("o_custkey", T.LongType()),
+        T.StructField("o_orderstatus", T.StringType()),
+        T.StructField("o_totalprice", T.DoubleType()),
+        T.StructField("o_orderdate", T.TimestampNTZType()),
+        T.StructField("o_orderpriority", T.StringType()),
+    ]
+)
+
+
+@register(
+    "ledger_landing",
+    sql("""WITH landed AS (
+  SELECT *, CAST(date_trunc('quarter', o_orderdate) AS DATE) AS dt FROM orders
+  UNION ALL
+  SELECT * REPLACE ('again' AS o_orderstatus), make_date(1970, 1, 1) AS dt FROM orders
+  WHERE o_orderpriority IN ('3-MEDIUM', '4-NOT SPECIFIED')
+)
+SELECT *, count(*) OVER (PARTITION BY dt) AS month_rows FROM landed"""),
+)
+def q_ledger_landing(spark, d):
+    """S1 + S3: deliveries of CSV files landed through the file ledger.
+
+    The first delivery is landed. The second brings a further file for every
+    month; its landing is cut off between the data and the ledger and then run
+    again. One more month has two files; the landing of the second is cut off
+    between the ledger and the month folders and then run again. Each order must
+    be there once, with its month's rows as the ledger has them.
+    """
+    o = table(spark, d, "orders")
+    src, out = scratch_path(spark, "delivered"), scratch_path(spark, "ledger_landed")
+    month = F.date_format(F.date_trunc("quarter", "o_orderdate"), "yyyyMM")
+    urgent = F.coalesce(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.lit(False))
+
+    def deliver(rows, folder):
+        named = rows.withColumn("file", F.concat(F.lit("flightlist_"), F.coalesce(month, F.lit("none")), F.lit("01_19700101")))
+        # One file a month and delivery; a gzip file is read by one task in any case.
+        named.repartition("file").write.mode("overwrite").partitionBy("file").option("header", True).option("compression", "gzip").csv(f"{src}/{folder}")
+
+    def month_of(path):
+        return file_month(F.element_at(F.split(path, "/"), -2))
+
+    def land(paths):
+        return jobs.land_files(spark, paths, out, ORDERS_CSV_SCHEMA, month_of=month_of)
+
+    def staged_only(paths):
+        """What a run leaves behind that is killed after it wrote its data."""
+        about = {"dt": month_of(F.col("_metadata.file_path")), "source": ledger.source_identity()}
+        load = ledger.new_load(spark, out)
+        ledger.stage(files.land_csv(spark, paths, ORDERS_CSV_SCHEMA, about=about), out, load)
+        return load
+
+    deliver(o.filter(urgent), "a")
+    land(f"{src}/a/*/*.csv.gz")
+    deliver(o.filter(~urgent), "b")
+    staged_only(f"{src}/b/*/*.csv.gz")
+    land(f"{src}/[ab]/*/*.csv.gz")
+    for priority in ("3-MEDIUM", "4-NOT SPECIFIED"):
+        again = o.filter(F.col("o_orderpriority") == priority).withColumns({"o_orderstatus": F.lit("again"), "file": F.lit("flightlist_19700101_19700131")})
+        again.repartition("file").write.partitionBy("file").option("header", True).option("compression", "gzip").csv(f"{src}/{priority[0]}")
+    land(f"{src}/3/*/*.csv.gz")
+    load = staged_only(f"{src}/4/*/*.csv.gz")
+    ledger.commit(ledger.listing(spark, f"{src}/4/*/*.csv.gz", month_of), out, load)
+    land(f"{src}/*/*/*.csv.gz")
+    counted = ledger.landed(spark, out).groupBy("dt").agg(F.sum("rows").alias("month_rows"))
+    return spark.read.parquet(out).join(counted, "dt").select(*o.columns, "dt", "month_rows")
+
+
 @register("only_new_partitions", sql("SELECT *, CAST(year(o_orderdate) AS INTEGER) AS yr FROM orders WHERE year(o_orderdate) > 1997"))
 def q_only_new(spark, d):
     """S3: rows of partitions not landed yet, by anti-join on the partition key."""
@@ -629,10 +700,11 @@ def q_incremental(spark, d):
     src = scratch_path(spark, "landing_src")
     sink = scratch_path(spark, "landing_sink")
     ckpt = scratch_path(spark, "landing_ckpt")
-    c.filter(F.col("c_nationkey") < 12).write.option("header", True).csv(src + "/part_a")
+    early = F.coalesce(F.col("c_nationkey") < 12, F.lit(False))
+    c.filter(early).write.option("header", True).csv(src + "/part_a")
     stream = landing.read_new_csv(spark, src + "/*", CUSTOMER_SCHEMA)
     landing.land_available(stream, sink, ckpt)
-    c.filter(F.col("c_nationkey") >= 12).write.option("header", True).csv(src + "/part_b")
+    c.filter(~early).write.option("header", True).csv(src + "/part_b")
     landing.land_available(landing.read_new_csv(spark, src + "/*", CUSTOMER_SCHEMA), sink, ckpt)
     landing.land_available(landing.read_new_csv(spark, src + "/*", CUSTOMER_SCHEMA), sink, ckpt)
     return spark.read.schema(CUSTOMER_SCHEMA).parquet(sink)

@@ -7,7 +7,6 @@ only the partitions it produced.
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections.abc import Sequence
 
@@ -16,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import DEFAULT_NULL_TOKENS, file_month, month_start, normalize_nulls
+from . import probe
 
 
 def land_csv(
@@ -25,16 +25,16 @@ def land_csv(
     null_tokens: Sequence[str] = DEFAULT_NULL_TOKENS,
     header: bool = True,
     partitions: int | None = None,
-    file_name: str | None = None,
+    about: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Read (optionally gzip) CSV with a schema and normalise null tokens.
 
     With a header the columns are found by name (see ``read_csv``). Gzip files
     cannot be split, so each file is one task; ``partitions`` redistributes
-    rows afterwards for the downstream stages. ``file_name`` adds a column with
-    the source file's name (headered files).
+    rows afterwards for the downstream stages. ``about`` adds columns computed
+    from ``_metadata``, such as the source file's name (headered files).
     """
-    df = read_csv(spark, path, schema, file_name) if header else read_csv_headerless(spark, path, schema)
+    df = read_csv(spark, path, schema, about) if header else read_csv_headerless(spark, path, schema)
     string_cols = [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
     df = df.select(*[normalize_nulls(c, null_tokens).alias(c) if c in string_cols else F.col(c) for c in df.columns])
     return df.repartition(partitions) if partitions else df
@@ -77,27 +77,6 @@ def load_parquet(spark: SparkSession, path: str | Sequence[str], schema: T.Struc
     return reader.parquet(*paths)
 
 
-def schema_groups(spark: SparkSession, paths: str | Sequence[str]) -> list[tuple[T.StructType, list[str]]]:
-    """Files under ``paths`` grouped by the types in their own footers.
-
-    Nanosecond timestamps, which Spark has no type for, are taken as LONG
-    epoch nanoseconds. One footer is read per file; no data is.
-    """
-    listed = spark.read.format("binaryFile").load([paths] if isinstance(paths, str) else list(paths))
-    found = sorted(_plain(r["path"]) for r in listed.filter("length > 0").select("path").collect())
-    key = "spark.sql.legacy.parquet.nanosAsLong"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "true")
-    try:
-        groups: dict[str, tuple[T.StructType, list[str]]] = {}
-        for f in found:
-            schema = spark.read.parquet(f).schema
-            groups.setdefault(schema.json(), (schema, []))[1].append(f)
-    finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
-    return list(groups.values())
-
-
 def read_harmonised(
     spark: SparkSession,
     groups: str | Sequence[str] | Sequence[Sequence[str]],
@@ -106,13 +85,13 @@ def read_harmonised(
 ) -> DataFrame:
     """Read files whose numeric types drifted and unify them as DOUBLE.
 
-    The files are grouped by the types in their footers (a given grouping is
-    only a list of them); each group is read with its own types, cast, and the
+    The files are grouped by the types in their footers, which one job reads on
+    the executors (a given grouping is only a list of them); each group is read with its own types, cast, and the
     groups are unioned by name.
     """
     paths = [groups] if isinstance(groups, str) else [p for g in groups for p in ([g] if isinstance(g, str) else g)]
     frames = []
-    for own, found in schema_groups(spark, paths):
+    for own, found in probe.type_groups(spark, paths):
         df = spark.read.schema(own).parquet(*found)
         df = df.select(*[F.col(c).cast("double").alias(c) if c in double_cols else F.col(c) for c in df.columns])
         frames.append(df)
@@ -150,7 +129,7 @@ def read_csv(
     spark: SparkSession,
     path: str | Sequence[str],
     schema: T.StructType,
-    file_name: str | None = None,
+    about: dict[str, Column] | None = None,
     also: dict[str, str] | None = None,
 ) -> DataFrame:
     """Headered CSV with columns found by name, whatever their order.
@@ -160,40 +139,25 @@ def read_csv(
     one is an error, and so is a value that its type cannot hold. ``also`` names
     a second header name of a column. Epoch columns
     (LONG, named ``firstseen`` or ``lastseen``) may hold timestamp text instead
-    of a number. Files whose headers differ are read one header at a time.
+    of a number. Files whose headers differ are read one header at a time; the
+    headers are looked up in one job (see ``probe``). ``about`` adds columns
+    computed from ``_metadata``.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    headers = _headers(spark, paths)
-    frames = [_by_name(spark, group, names, schema, file_name, also or {}) for names, group in headers]
+    headers = probe.header_groups(spark, paths)
+    frames = [_by_name(spark, group, names, schema, about or {}, also or {}) for names, group in headers]
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
     return out
 
 
-def _headers(spark: SparkSession, paths: Sequence[str]) -> list[tuple[list[str], list[str]]]:
-    """Column names of the files, each with the files that share them (first line of each file only)."""
-    listed = [r["path"] for r in spark.read.format("binaryFile").load(list(paths)).filter("length > 0").select("path").collect()]
-    if not listed:
-        raise FileNotFoundError(str(paths))
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for f in sorted(listed):
-        names = spark.read.option("header", True).option("inferSchema", False).csv(_plain(f)).columns
-        groups.setdefault(tuple(names), []).append(_plain(f))
-    return [(list(names), group) for names, group in groups.items()]
-
-
-def _plain(path: str) -> str:
-    """A listed path as a literal: glob characters in it are not patterns."""
-    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
-
-
 def _by_name(
     spark: SparkSession,
     paths: Sequence[str],
     names: Sequence[str],
     schema: T.StructType,
-    file_name: str | None,
+    about: dict[str, Column],
     also: dict[str, str],
 ) -> DataFrame:
     found = {f.name: f.name if f.name in names else also.get(f.name) for f in schema.fields}
@@ -202,8 +166,7 @@ def _by_name(
         raise ValueError(f"columns {missing} are not in the header of {list(paths)[:3]}: {list(names)}")
     text = T.StructType([T.StructField(n, T.StringType()) for n in names])
     df = spark.read.schema(text).option("header", True).option("mode", "FAILFAST").csv(list(paths))
-    source = [F.col("_metadata.file_name").alias(file_name)] if file_name else []
-    return df.select(*[_typed(found[f.name], f) for f in schema.fields], *source)
+    return df.select(*[_typed(found[f.name], f) for f in schema.fields], *[c.alias(n) for n, c in about.items()])
 
 
 EPOCH_COLUMNS = ("firstseen", "lastseen")

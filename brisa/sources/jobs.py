@@ -8,87 +8,92 @@ from __future__ import annotations
 
 import logging
 import os
-import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.scalars import file_month
-from . import files, schemas
+from . import files, ledger, probe, schemas
 
 
 log = logging.getLogger(__name__)
 
 
-def _files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame | None:
-    """Paths of the data files under ``path``, by listing alone (contents are not read).
+def name_month(path: Column) -> Column:
+    """Month in a file's own name."""
+    return file_month(F.element_at(F.split(path, "/"), -1))
 
-    None when the path does not exist; any other failure is raised.
-    """
-    paths = [path] if isinstance(path, str) else list(path)
-    try:
-        return spark.read.format("binaryFile").load(paths).select("path")
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-
-
-def landed_partitions(spark: SparkSession, out_dir: str, key: str) -> set[str]:
-    """Partition values already present under ``out_dir``, from its folder names.
 
-    Files that cannot be read do not hide a partition: it counts as landed as
-    long as its folder holds a file.
-    """
-    found = _files(spark, out_dir)
-    if found is None:
-        return set()
-    value = F.regexp_extract("path", rf"/{re.escape(key)}=([^/]+)/", 1)
-    return {r[0] for r in found.select(value).distinct().collect() if r[0]}
-
-
-def land_flight_files(
+def land_files(
     spark: SparkSession,
-    source_glob: str,
+    source: str | Sequence[str],
     out_dir: str,
+    schema: T.StructType,
     resume: bool = True,
     partitions: int | None = None,
     unmatched: str = "fail",
+    month_of: Callable[[Column], Column] = name_month,
 ) -> int:
-    """Monthly gzip CSV movement files -> Parquet partitioned by ``dt``.
-
-    ``dt`` is the month in the file name. A file without one is an error that
-    names it, unless ``unmatched="skip"``: then it is left out and reported
-    with its row count. With ``resume`` files of landed months are not opened;
-    otherwise the months in the input replace their own partitions (dynamic
-    overwrite). Gzip files are not splittable, so rows are redistributed
-    before the write when ``partitions`` is given. Returns the number of rows
-    written, counted during the write.
+    """Monthly CSV files -> Parquet partitioned by ``dt``, through the file ledger.
+
+    With ``resume`` the files whose present state the ledger does not hold are
+    landed, a later file of a landed month included, and a replaced file takes
+    the place of its earlier state; without, the months in the input are
+    replaced by it. A run that was killed is finished or cleared first. ``dt``
+    is what ``month_of`` sees in a path; a file without a month is an error that
+    names it, unless ``unmatched="skip"``: then it is left out and reported with
+    its row count. Gzip files are not splittable, so rows are redistributed
+    before the write when ``partitions`` is given. Returns the rows written.
     """
     if unmatched not in ("fail", "skip"):
         raise ValueError("unmatched is 'fail' or 'skip'")
-    listed = _files(spark, source_glob)
-    if listed is None:
-        raise FileNotFoundError(source_glob)
-    # One row per source file, not per record.
-    names = listed.select("path", file_month(F.element_at(F.split("path", "/"), -1)).cast("string").alias("dt")).collect()
-    strange = sorted(r["path"] for r in names if r["dt"] is None)
+    try:
+        found = ledger.listing(spark, source, month_of)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            raise FileNotFoundError(source) from e
+        raise
+    strange = sorted(r["path"] for r in found.filter(F.col("dt").isNull()).select("path").collect())
     if strange:
-        rows = files.land_csv(spark, strange, schemas.FLIGHTS_RAW).count() if unmatched == "skip" else None
         if unmatched == "fail":
             raise ValueError(f"{len(strange)} files without a month in their name: {strange[:20]}")
+        rows = files.land_csv(spark, [probe.plain(p) for p in strange], schema).count()
         log.warning("skipped %d files (%d rows) without a month in their name: %s", len(strange), rows, strange[:20])
-    done = landed_partitions(spark, out_dir, "dt") if resume else set()
-    todo = sorted(r["path"] for r in names if r["dt"] is not None and r["dt"] not in done)
-    if not todo:
+    ledger.recover(spark, out_dir)
+    found = found.filter(F.col("dt").isNotNull())
+    known = ledger.entries(spark, out_dir)
+    todo = ledger.pending(found, known) if resume else found
+    # One row per new file: the reader needs their paths, and the ledger must not list anew after the data were read.
+    rows = todo.collect()
+    if not rows:
         return 0
-    df = files.land_csv(spark, todo, schemas.FLIGHTS_RAW, partitions=partitions, file_name="__file")
-    df = df.withColumn("dt", file_month("__file")).drop("__file")
-    obs = Observation("landed_rows")
-    files.write_partitioned(df.observe(obs, F.count(F.lit(1)).alias("rows")), out_dir, ["dt"], mode="append" if resume else "overwrite")
-    return int(obs.get["rows"])
+    if resume and (unknown := ledger.unknown_months(spark, out_dir, sorted({str(r["dt"]) for r in rows}), known)):
+        raise ValueError(f"months {unknown} were landed without a ledger: enter their files with ledger.adopt, or land them with resume=False")
+    todo = spark.createDataFrame(rows, todo.schema)
+    load = ledger.new_load(spark, out_dir)
+    about = {"dt": month_of(F.col("_metadata.file_path")), "source": ledger.source_identity()}
+    full = [probe.plain(r["path"]) for r in rows if r["length"]]
+    columns = T.StructType([*schema.fields, T.StructField("dt", T.DateType()), T.StructField("source", T.StringType())])
+    data = files.land_csv(spark, full, schema, partitions=partitions, about=about) if full else spark.createDataFrame([], columns)
+    ledger.stage(data, out_dir, load)
+    written = ledger.commit(todo, out_dir, load, whole=not resume)
+    ledger.publish(spark, out_dir, load)
+    return written
+
+
+def land_flight_files(
+    spark: SparkSession,
+    source_glob: str,
+    out_dir: str,
+    resume: bool = True,
+    partitions: int | None = None,
+    unmatched: str = "fail",
+) -> int:
+    """Monthly gzip CSV movement files -> Parquet by the month in the file name (see ``land_files``)."""
+    return land_files(spark, source_glob, out_dir, schemas.FLIGHTS_RAW, resume, partitions, unmatched)
 
 
 def load_observation_files(spark: SparkSession, paths: Sequence[str], out_dir: str) -> int:
