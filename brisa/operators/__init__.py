@@ -4,6 +4,8 @@ from .joins import (
     baseline_join,
     equi_join,
     full_outer_counts,
+    hot_buckets,
+    interval_join,
     range_lookup,
     restrict_to_top,
     semi_join,
@@ -28,6 +30,8 @@ __all__ = [
     "mode_per_key",
     "movements",
     "profile_stats",
+    "hot_buckets",
+    "interval_join",
     "range_lookup",
     "restrict_to_top",
     "semi_join",

@@ -12,11 +12,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.scalars import hour_bucket
 
 # Tasks over which facts without a join key are spread in a shuffle.
 NULL_KEY_SALTS = 256
+# Keys that a sketch follows as candidates for hot ones, and how much smaller than a task's fair share the pieces of a hot key are.
+HOT_KEYS = 1024
+HOT_PIECES = 64
 
 
 def with_membership_flag(df: DataFrame, key: str, set_df: DataFrame, set_key: str, name: str) -> DataFrame:
@@ -60,6 +64,27 @@ def anti_join(df: DataFrame, key: str, other: DataFrame, other_key: str) -> Data
     return df.join(keys, df[key] == F.col("__anti_key"), "left_anti")
 
 
+def _bucket(ts: str, unit: str) -> Column:
+    return hour_bucket(ts) if unit == "hour" else F.date_trunc(unit, F.col(ts))
+
+
+def hot_buckets(facts: DataFrame, station: str, ts: str, unit: str = "hour", tasks: int | None = None) -> DataFrame:
+    """The (station, time bucket) pairs that hold many of the facts (J5): ``item, pieces``.
+
+    ``item`` is a hash of the pair. One aggregate over two columns: a
+    frequent-items sketch with a fixed number of counters, merged over the
+    tasks, so at most ``HOT_KEYS`` rows come out whatever the input's size. A
+    pair is hot above ``1 / HOT_PIECES`` of a task's fair share of the rows, and
+    is to be cut into pieces of that size. Estimates decide about the cutting
+    only, never about what joins.
+    """
+    tasks = tasks or int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = facts.filter(F.col(station).isNotNull() & F.col(ts).isNotNull()).select(F.xxhash64(F.col(station), _bucket(ts, unit)).alias("item"))
+    found = keyed.agg(F.expr(f"approx_top_k(item, {HOT_KEYS}, {8 * HOT_KEYS})").alias("top"), F.count(F.lit(1)).alias("rows"))
+    pieces = F.ceil(F.col("hot.count") * F.lit(tasks * HOT_PIECES) / F.col("rows")).cast("int")
+    return found.select("rows", F.explode("top").alias("hot")).select(F.col("hot.item").alias("item"), pieces.alias("pieces")).filter("pieces > 1")
+
+
 def time_bucket_join(
     facts: DataFrame,
     obs: DataFrame,
@@ -72,6 +97,7 @@ def time_bucket_join(
     unit: str = "hour",
     matched_name: str | None = None,
     broadcast: bool | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Left-join facts to the observation of their station and time bucket.
 
@@ -82,6 +108,10 @@ def time_bucket_join(
     without a station or time match nothing; in a shuffle a salt spreads them
     over tasks, as they would otherwise all share one key. ``broadcast`` is for
     callers that know the observations' size; by default the planner decides.
+
+    ``hot`` (see ``hot_buckets``) names pairs that hold many facts: their facts
+    are dealt over the pair's pieces, and their one observation is repeated for
+    each piece, so that no pair is one task's work in a shuffle.
     """
     matched_name = matched_name or f"{prefix}matched"
     st, bk, salt = f"__{prefix}station", f"__{prefix}bucket", f"__{prefix}salt"
@@ -91,12 +121,19 @@ def time_bucket_join(
         F.lit(0).alias(salt),
         *[F.col(m).alias(f"{prefix}{m}") for m in measures],
     )
-    if broadcast:
-        right = F.broadcast(right)
-    bucket = hour_bucket(fact_ts) if unit == "hour" else F.date_trunc(unit, F.col(fact_ts))
     keyless = F.col(fact_station).isNull() | F.col(fact_ts).isNull()
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]), F.lit(NULL_KEY_SALTS)).cast("int")
-    left = facts.withColumns({bk + "_l": bucket, salt + "_l": F.when(keyless, spread).otherwise(F.lit(0))})
+    left = facts.withColumns({bk + "_l": _bucket(fact_ts, unit), salt + "_l": F.when(keyless, spread).otherwise(F.lit(0))})
+    if hot is not None:
+        # At most HOT_KEYS rows.
+        small = F.broadcast(hot.select(F.col("item").alias("__item"), F.col("pieces").alias("__pieces")))
+        dealt = F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns], F.monotonically_increasing_id()), F.col("__pieces")).cast("int")
+        left = left.join(small, F.xxhash64(F.col(fact_station), F.col(bk + "_l")) == F.col("__item"), "left")
+        left = left.withColumn(salt + "_l", F.when(F.col("__pieces").isNotNull(), dealt).otherwise(F.col(salt + "_l"))).drop("__item", "__pieces")
+        cut = right.drop(salt).join(small, F.xxhash64(F.col(st), F.col(bk)) == F.col("__item"), "left")
+        right = cut.withColumn(salt, F.explode(F.sequence(F.lit(0), F.coalesce("__pieces", F.lit(1)) - 1))).drop("__item", "__pieces")
+    if broadcast:
+        right = F.broadcast(right)
     joined = left.join(
         right,
         (left[fact_station] == right[st]) & (left[bk + "_l"] == right[bk]) & (left[salt + "_l"] == right[salt]),
@@ -105,13 +142,69 @@ def time_bucket_join(
     return joined.withColumn(matched_name, F.col(st).isNotNull()).drop(st, bk, salt, bk + "_l", salt + "_l")
 
 
-def range_lookup(df: DataFrame, date_col: str, ranges: DataFrame, start: str, end: str, how: str = "left") -> DataFrame:
-    """Join each row to the ranges with ``start <= date <= end``.
+def _position(value: Column, kind: T.DataType) -> Column:
+    """A whole number that orders like the value."""
+    if isinstance(kind, T.DateType):
+        return F.unix_date(value).cast("long")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(value)
+    if isinstance(kind, T.TimestampNTZType):
+        return F.unix_micros(F.to_utc_timestamp(value.cast("timestamp"), "UTC"))
+    if isinstance(kind, T.IntegralType):
+        return value.cast("long")
+    raise TypeError(f"no range join on {kind.simpleString()}: dates, timestamps and whole numbers only")
 
-    A join on a range compares every row with every range, so ``df`` should be
-    aggregated to its distinct dates first and ``ranges`` be a literal lookup.
+
+def interval_join(
+    points: DataFrame, ranges: DataFrame, point: str, start: str, end: str, on: Sequence[tuple[str, str]] = (), how: str = "inner"
+) -> DataFrame:
+    """Rows of ``points`` with every range that holds them, ``start <= point <= end`` (J6), by equality joins only.
+
+    A range of length n is filed under the smallest power of two above n: at
+    that width it touches one bucket or two. A point looks into one bucket of
+    every width that occurs (at most 63). So a range is held twice at most
+    however long it is, long and short ranges can be mixed, and only rows of one
+    bucket are compared. ``on`` adds pairs of equal columns.
+
+    Points are looked up once per distinct value (and ``on`` columns), combined
+    inside each task before the shuffle, so a value that very many rows share is
+    one row in the lookup; the rows then meet their ranges by equality on the
+    value, where AQE splits a hot one. With ``how="left"`` points without a
+    range stay, with nulls. Null points, null ends and ranges that end before
+    they start match nothing; overlapping ranges all match.
     """
-    return df.join(ranges, df[date_col].between(ranges[start], ranges[end]), how)
+    if how not in ("inner", "left"):
+        raise ValueError("how is 'inner' or 'left'")
+    if points.schema[point].dataType != ranges.schema[start].dataType or ranges.schema[start].dataType != ranges.schema[end].dataType:
+        raise TypeError(f"{point}, {start} and {end} differ in type: cast them first")
+    at = _position(F.col(point), points.schema[point].dataType)
+    low, high = (_position(F.col(c), ranges.schema[c].dataType) for c in (start, end))
+    keys = [f"__on_{i}" for i in range(len(on))]
+    spans = ranges.select(
+        F.struct(*[F.col(c) for c in ranges.columns]).alias("__range"), low.alias("__low"), high.alias("__high"), *[F.col(r).alias(k) for k, (_, r) in zip(keys, on, strict=True)]
+    ).filter("__low <= __high")
+    # Binary digits of the length: the width 2 ** digits is above it.
+    spans = spans.withColumn("__level", F.when(F.col("__high") == F.col("__low"), F.lit(0)).otherwise(F.length(F.bin(F.col("__high") - F.col("__low")))))
+    first, last = F.expr("shiftright(__low, __level)"), F.expr("shiftright(__high, __level)")
+    filed = spans.withColumn("__bucket", F.explode(F.when(first == last, F.array(first)).otherwise(F.array(first, last))))
+    # One row: the widths that occur.
+    levels = spans.agg(F.collect_set("__level").alias("__levels"))
+    values = points.filter(F.col(point).isNotNull()).select(at.alias("__at"), *[F.col(c).alias(k) for k, (c, _) in zip(keys, on, strict=True)]).distinct()
+    looking = values.join(F.broadcast(levels), F.lit(True)).withColumn("__level", F.explode("__levels")).drop("__levels")
+    looking = looking.withColumn("__bucket", F.expr("shiftright(__at, __level)"))
+    hits = looking.join(filed, [*keys, "__level", "__bucket"]).filter("__at between __low and __high").select("__at", "__range", *keys)
+    hits = hits.withColumnsRenamed({k: f"{k}_r" for k in keys} | {"__at": "__at_r"})
+    left = points.withColumns({"__at": at} | {k: F.col(c) for k, (c, _) in zip(keys, on, strict=True)})
+    cond = left["__at"] == hits["__at_r"]
+    for k in keys:
+        cond = cond & (left[k] == hits[f"{k}_r"])
+    out = left.join(hits, cond, how)
+    return out.select(*[left[c] for c in points.columns], *[F.col(f"__range.`{c}`").alias(c) for c in ranges.columns])
+
+
+def range_lookup(df: DataFrame, date_col: str, ranges: DataFrame, start: str, end: str, how: str = "left") -> DataFrame:
+    """Join each row to the ranges with ``start <= date <= end`` (J6); no row is compared with every range (see ``interval_join``)."""
+    return interval_join(df, ranges, date_col, start, end, how=how)
 
 
 def full_outer_counts(

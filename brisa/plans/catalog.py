@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.classify import classify, prefixed
-from ..operators.joins import anti_join, semi_join, time_bucket_join, touches_any, with_membership_flag
+from ..operators.joins import anti_join, hot_buckets, interval_join, semi_join, time_bucket_join, touches_any, with_membership_flag
 from . import dims, marts, serving
 from .oracle_sql import rules_case
 from .oracle_sql import B, rnd, sdiv, sql
-from .tpch import CALENDAR, OBS_MEASURES, RULES, Model
+from .tpch import CALENDAR, OBS_MEASURES, RULES, Model, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, tuple[QueryFn, str | None]] = {}
@@ -204,6 +204,86 @@ def null_station_bucket_join(spark, d):
     return j.select("movement_id", "origin_price", "origin_matched")
 
 
+@register(
+    "hot_bucket_join",
+    sql(
+        f"""SELECT f.movement_id, f.origin, go.price AS origin_price, {rules_case("go")} AS origin_event,
+       gd.price AS destination_price, gd.station IS NOT NULL AS destination_matched
+FROM (
+  SELECT s.movement_id,
+         CASE WHEN s.asset_type = 'F' THEN pair.station ELSE s.origin END AS origin,
+         CASE WHEN s.asset_type = 'F' THEN pair.observation_hour + INTERVAL 5 MINUTE ELSE s.first_seen_at END AS first_seen_at,
+         CASE WHEN s.asset_type = 'F' THEN pair.station ELSE s.destination END AS destination,
+         CASE WHEN s.asset_type = 'F' THEN pair.observation_hour + INTERVAL 50 MINUTE ELSE s.last_seen_at END AS last_seen_at
+  FROM stg_movements s, (SELECT station, observation_hour FROM grid ORDER BY observation_hour, station LIMIT 1) pair
+) f
+LEFT JOIN grid go ON f.origin = go.station AND date_trunc('hour', f.first_seen_at) = go.observation_hour
+LEFT JOIN grid gd ON f.destination = gd.station AND date_trunc('hour', f.last_seen_at) = gd.observation_hour"""
+    ),
+)
+def hot_bucket_join(spark, d):
+    """J5 at both ends where one (station, hour) pair holds about half of the movements: hot pairs are found and split, nothing is broadcast."""
+    m = M(spark, d)
+    grid = marts.observation_grid(m.stg_observations(), OBS_MEASURES)
+    pair = grid.orderBy("observation_hour", "station").limit(1).select(F.col("station").alias("hot_station"), F.col("observation_hour").alias("hot_hour"))
+    stg = m.stg_movements().select("movement_id", "asset_type", "origin", "destination", "first_seen_at", "last_seen_at")
+    chosen = F.col("asset_type") == "F"
+    facts = stg.join(F.broadcast(pair)).select(
+        "movement_id",
+        F.when(chosen, F.col("hot_station")).otherwise(F.col("origin")).alias("origin"),
+        F.when(chosen, F.col("hot_hour") + F.expr("INTERVAL 5 MINUTE")).otherwise(F.col("first_seen_at")).alias("first_seen_at"),
+        F.when(chosen, F.col("hot_station")).otherwise(F.col("destination")).alias("destination"),
+        F.when(chosen, F.col("hot_hour") + F.expr("INTERVAL 50 MINUTE")).otherwise(F.col("last_seen_at")).alias("last_seen_at"),
+    )
+    grid = grid.hint("merge")
+    hot = [hot_buckets(facts, "origin", "first_seen_at"), hot_buckets(facts, "destination", "last_seen_at")]
+    j = time_bucket_join(facts, grid, "origin", "first_seen_at", OBS_MEASURES, "origin_", hot=hot[0])
+    j = j.withColumn("origin_event", classify(RULES, F.col("origin_matched"), prefixed("origin_")))
+    j = time_bucket_join(j, grid, "destination", "last_seen_at", OBS_MEASURES, "destination_", hot=hot[1])
+    return j.select("movement_id", "origin", "origin_price", "origin_event", "destination_price", "destination_matched")
+
+
+@register(
+    "interval_join",
+    """SELECT p.p_partkey, count(*) AS orders, count(DISTINCT CAST(o.o_orderdate AS DATE)) AS days, min(o.o_orderkey) AS first_order
+FROM part p JOIN orders o ON CAST(o.o_orderdate AS DATE)
+  BETWEEN CAST(DATE '1995-01-01' + CAST((p.p_partkey * 37) % 2000 AS INTEGER) AS DATE)
+  AND CAST(DATE '1995-01-01' + CAST((p.p_partkey * 37) % 2000 AS INTEGER) + CASE WHEN p.p_partkey % 50 = 0 THEN 700 ELSE p.p_size % 20 END AS DATE)
+GROUP BY 1""",
+)
+def interval_join_query(spark, d):
+    """Every order with every part whose sales window (short for most, two years for some) holds its date, counted per part."""
+    windows = table(spark, d, "part").select(
+        "p_partkey",
+        F.date_add(F.lit("1995-01-01").cast("date"), (F.col("p_partkey") * 37 % 2000).cast("int")).alias("starts"),
+        F.when(F.col("p_partkey") % 50 == 0, F.lit(700)).otherwise(F.col("p_size") % 20).cast("int").alias("length"),
+    )
+    windows = windows.select("p_partkey", "starts", F.date_add("starts", F.col("length")).alias("ends"))
+    orders = table(spark, d, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("day"))
+    pairs = interval_join(orders, windows, "day", "starts", "ends")
+    return pairs.groupBy("p_partkey").agg(F.count(F.lit(1)).alias("orders"), F.countDistinct("day").alias("days"), F.min("o_orderkey").alias("first_order"))
+
+
+@register(
+    "keyed_interval_join",
+    """SELECT a.o_orderkey, count(b.o_orderkey) AS earlier, min(b.o_orderkey) AS first_earlier
+FROM orders a LEFT JOIN orders b ON a.o_custkey = b.o_custkey AND a.o_orderkey <> b.o_orderkey
+  AND a.o_orderdate BETWEEN b.o_orderdate + INTERVAL 1 MICROSECOND AND b.o_orderdate + INTERVAL 60 DAY
+GROUP BY 1""",
+)
+def keyed_interval_join(spark, d):
+    """J6 with an equal column and points that match nothing: a customer's orders in the 60 days before each order."""
+    o = table(spark, d, "orders").withColumn("at", F.col("o_orderdate").cast("timestamp"))
+    after = o.select(
+        F.col("o_custkey").alias("customer"),
+        F.col("o_orderkey").alias("earlier_key"),
+        (F.col("at") + F.expr("INTERVAL 0.000001 SECOND")).alias("starts"),
+        (F.col("at") + F.expr("INTERVAL 60 DAY")).alias("ends"),
+    )
+    j = interval_join(o, after, "at", "starts", "ends", on=[("o_custkey", "customer")], how="left")
+    return j.groupBy("o_orderkey").agg(F.count("earlier_key").alias("earlier"), F.min("earlier_key").alias("first_earlier"))
+
+
 @register("movements_with_conditions", sql("SELECT * FROM cond"))
 def movements_with_conditions(spark, d):
     """C6 (J9, A14, J5 x2, P14 x2): hub-touching movements with conditions at both ends."""

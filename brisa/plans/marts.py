@@ -20,6 +20,7 @@ from ..operators.aggregates import collapse_duplicates, profile_stats
 from ..operators.joins import (
     baseline_join,
     full_outer_counts,
+    hot_buckets,
     range_lookup,
     time_bucket_join,
     touches_any,
@@ -99,12 +100,16 @@ def movements_with_conditions(
     hubs: DataFrame,
     measures: Sequence[str] = WEATHER_MEASURES,
     rules: Sequence[Rule] = WEATHER_RULES,
+    split_hot: bool = False,
 ) -> DataFrame:
     """Hub-touching movements with the observation at both ends.
 
     Origin end: (origin, hour of first_seen_at). Destination end:
     (destination, hour of last_seen_at). Each end is classified with the
-    ordered rules; an end with no observation gets a null event (T5).
+    ordered rules; an end with no observation gets a null event (T5). With
+    ``split_hot`` two more passes over a station and a time column look for
+    (station, hour) pairs that hold many movements and split them; for grids too
+    large to broadcast.
     """
     facts = touches_any(
         stg.select(
@@ -126,9 +131,10 @@ def movements_with_conditions(
         "station",
     )
     grid = observation_grid(observations, measures)
-    out = time_bucket_join(facts, grid, "origin", "first_seen_at", measures, "origin_")
+    hot = [hot_buckets(facts, *end) if split_hot else None for end in (("origin", "first_seen_at"), ("destination", "last_seen_at"))]
+    out = time_bucket_join(facts, grid, "origin", "first_seen_at", measures, "origin_", hot=hot[0])
     out = out.withColumn("origin_event", classify(rules, F.col("origin_matched"), prefixed("origin_")))
-    out = time_bucket_join(out, grid, "destination", "last_seen_at", measures, "destination_")
+    out = time_bucket_join(out, grid, "destination", "last_seen_at", measures, "destination_", hot=hot[1])
     out = out.withColumn("destination_event", classify(rules, F.col("destination_matched"), prefixed("destination_")))
     return out.drop("origin_matched", "destination_matched")
 

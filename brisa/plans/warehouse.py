@@ -139,7 +139,7 @@ def run(
     t["dim_event"] = table("dim_event", dims.dim_event(spark))
     t["dim_phase"] = table("dim_phase", dims.dim_phase(spark, calendar.base_year))
 
-    cond = marts.movements_with_conditions(t["stg_movements"], t["stg_observations"], hubs, OBS_MEASURES, rules)
+    cond = marts.movements_with_conditions(t["stg_movements"], t["stg_observations"], hubs, OBS_MEASURES, rules, split_hot=True)
     t["movements_with_conditions"] = table("movements_with_conditions", cond, "movement_date", ("origin", "destination"))
     t["traffic_baseline"] = table("traffic_baseline", marts.traffic_baseline(t["stg_movements"], hubs, calendar.base_year))
     t["hub_recovery"] = marts.recovery(t["movements_with_conditions"], hubs, t["traffic_baseline"], t["dim_phase"])
