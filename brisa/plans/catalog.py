@@ -14,6 +14,8 @@ from pyspark.sql import types as T
 
 from ..functions.classify import classify, prefixed
 from ..operators.joins import anti_join, hot_buckets, interval_join, semi_join, time_bucket_join, touches_any, with_membership_flag
+from ..session import scratch_path
+from ..sources.files import write_layout
 from . import dims, marts, serving
 from .oracle_sql import rules_case
 from .oracle_sql import B, rnd, sdiv, sql
@@ -296,6 +298,42 @@ def resilience_profile(spark, d):
     return M(spark, d).resilience()
 
 
+def _stored(df, name):
+    """Written by month and read back, as the full build does."""
+    path = scratch_path(df.sparkSession, name)
+    write_layout(df, path, "month", ("hub", "event"), month_name="layout_month")
+    return df.sparkSession.read.parquet(path).drop("layout_month")
+
+
+@register(
+    "resilience_by_year",
+    sql(
+        f"""SELECT hub, CAST(date_trunc('year', movement_date) AS DATE) AS period, coalesce(event, 'clear') AS event,
+       count(duration_minutes) AS total_movements, {rnd("avg(duration_minutes)", 2)} AS avg_duration_minutes,
+       {rnd("quantile_disc(duration_minutes, 0.5)", 2)} AS p50_duration_minutes,
+       {rnd("quantile_disc(duration_minutes, 0.95)", 2)} AS p95_duration_minutes
+FROM res_ends GROUP BY 1, 2, 3"""
+    ),
+)
+def resilience_by_year(spark, d):
+    """A5 + M4 -> M11: yearly duration quantiles merged from stored monthly sketches (exact up to 2,048 movements a group)."""
+    m = M(spark, d)
+    return serving.resilience_by_period(_stored(marts.resilience_sketches(m.conditions(), m.hubs()), "resilience_sketches"))
+
+
+@register(
+    "active_days_by_year",
+    sql(
+        """SELECT hub, CAST(date_trunc('year', movement_date) AS DATE) AS period, coalesce(event, 'clear') AS event,
+       count(DISTINCT movement_date) AS active_days FROM res_ends WHERE movement_date IS NOT NULL GROUP BY 1, 2, 3"""
+    ),
+)
+def active_days_by_year(spark, d):
+    """Exact distinct days per year, OR-ed from stored monthly bitmaps."""
+    m = M(spark, d)
+    return serving.active_days_by_period(_stored(marts.hub_day_bitmaps(m.conditions(), m.hubs()), "hub_day_bitmaps"))
+
+
 @register(
     "condition_sensitivity",
     sql(

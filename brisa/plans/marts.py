@@ -27,6 +27,7 @@ from ..operators.joins import (
     with_membership_flag,
 )
 from ..operators.sets import movements
+from ..operators.sketches import distinct_bitmaps, quantile_sketches
 from ..operators.topn import top_n
 
 # The measures averaged per station and hour before the join.
@@ -206,19 +207,43 @@ def resilience_profile(cond: DataFrame, hubs: DataFrame, unknown_as: str = DEFAU
 
     An end with no observation counts as ``unknown_as`` (T5).
     """
+    return profile_stats(_hub_ends(cond, hubs, unknown_as), ["hub", "month", "event"], "duration_minutes")
+
+
+# Day 0 of the day bitmaps.
+FIRST_DAY = "1900-01-01"
+
+
+def _hub_ends(cond: DataFrame, hubs: DataFrame, unknown_as: str) -> DataFrame:
     ends = movements(
         cond,
         [{"hub": "origin", "event": "origin_event"}, {"hub": "destination", "event": "destination_event"}],
         carry=["movement_date", "duration_minutes"],
         hubs=hubs,
     )
-    ends = ends.select(
+    return ends.select(
         "hub",
         month_start("movement_date").alias("month"),
         F.coalesce(F.col("event"), F.lit(unknown_as)).alias("event"),
+        "movement_date",
         "duration_minutes",
     )
-    return profile_stats(ends, ["hub", "month", "event"], "duration_minutes")
+
+
+def resilience_sketches(cond: DataFrame, hubs: DataFrame, unknown_as: str = DEFAULT_LABEL) -> DataFrame:
+    """Mergeable duration sketch per hub, month and event (A5): what ``resilience_profile`` tells, in a form that adds up.
+
+    A few kilobytes per group are stored instead of rows, and any coarser
+    profile comes from them (``serving.resilience_by_period``).
+    """
+    ends = _hub_ends(cond, hubs, unknown_as)
+    return quantile_sketches(ends, ["hub", "month", "event"], "duration_minutes")
+
+
+def hub_day_bitmaps(cond: DataFrame, hubs: DataFrame, unknown_as: str = DEFAULT_LABEL) -> DataFrame:
+    """Per hub, month and event a bitmap of the days with a movement (A9), so that distinct days add up to any coarser group."""
+    ends = _hub_ends(cond, hubs, unknown_as)
+    return distinct_bitmaps(ends.withColumn("day", F.datediff("movement_date", F.lit(FIRST_DAY).cast("date"))), ["hub", "month", "event"], "day")
 
 
 def _pair_daily(cond: DataFrame, end: str, unknown_as: str, hubs: DataFrame | None) -> DataFrame:

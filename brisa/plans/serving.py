@@ -14,6 +14,7 @@ from ..functions.classify import DEFAULT_LABEL
 from ..functions.conditional import cond_avg, pearson, weighted_avg
 from ..functions.scalars import safe_divide
 from ..operators.joins import restrict_to_top
+from ..operators.sketches import roll_up_distinct, roll_up_quantiles
 from ..operators.topn import top_n
 
 
@@ -66,6 +67,30 @@ def hub_condition_profile(resilience: DataFrame, dim_place: DataFrame) -> DataFr
     )
 
 
+def resilience_by_period(sketches: DataFrame, unit: str = "year") -> DataFrame:
+    """Movements, mean, p50 and p95 of duration per hub, period and event, merged from the stored monthly sketches (A5, M4 -> M11).
+
+    No movement is read again. A quantile's rank is within ``sketches.rank_error()``
+    of the group's rows; groups of up to ``SKETCH_SIZE`` movements are exact.
+    """
+    start = F.trunc("month", unit).alias("period")
+    out = roll_up_quantiles(sketches, ["hub", start, "event"])
+    return out.select(
+        "hub",
+        "period",
+        "event",
+        F.col("rows").alias("total_movements"),
+        F.round("mean", 2).alias("avg_duration_minutes"),
+        F.round("p50", 2).alias("p50_duration_minutes"),
+        F.round("p95", 2).alias("p95_duration_minutes"),
+    )
+
+
+def active_days_by_period(bitmaps: DataFrame, unit: str = "year") -> DataFrame:
+    """Exact number of days with a movement per hub, period and event, OR-ed from the stored monthly bitmaps."""
+    return roll_up_distinct(bitmaps, ["hub", F.trunc("month", unit).alias("period"), "event"], "active_days")
+
+
 def carrier_trajectory(perf: DataFrame, dim_carrier: DataFrame, n: int = 12) -> DataFrame:
     """Monthly series of the ``n`` largest carriers with display name."""
     top = restrict_to_top(perf, "carrier", "total_flights", n)

@@ -144,17 +144,23 @@ def run(
     t["traffic_baseline"] = table("traffic_baseline", marts.traffic_baseline(t["stg_movements"], hubs, calendar.base_year))
     t["hub_recovery"] = marts.recovery(t["movements_with_conditions"], hubs, t["traffic_baseline"], t["dim_phase"])
     t["hub_resilience"] = marts.resilience_profile(t["movements_with_conditions"], hubs)
+    t["resilience_sketches"] = marts.resilience_sketches(t["movements_with_conditions"], hubs)
+    t["hub_day_bitmaps"] = marts.hub_day_bitmaps(t["movements_with_conditions"], hubs)
     t["route_risk"] = marts.route_risk(t["movements_with_conditions"], calendar)
     t["carrier_performance"] = marts.carrier_performance(t["movements_with_conditions"], hubs, calendar.base_year)
     if write_marts:
         t["hub_recovery"] = table("hub_recovery", t["hub_recovery"], "month", ("hub",))
         t["hub_resilience"] = table("hub_resilience", t["hub_resilience"], "month", ("hub", "event"))
+        t["resilience_sketches"] = table("resilience_sketches", t["resilience_sketches"], "month", ("hub", "event"))
+        t["hub_day_bitmaps"] = table("hub_day_bitmaps", t["hub_day_bitmaps"], "month", ("hub", "event"))
         t["route_risk"] = table("route_risk", t["route_risk"], None, ("origin", "destination"))
         t["carrier_performance"] = table("carrier_performance", t["carrier_performance"], "month", ("carrier",))
 
     t["cross_stress"] = serving.cross_stress(t["hub_recovery"], t["hub_resilience"], t["dim_place"], calendar.recovery_year)
     t["stress_correlation"] = serving.stress_correlation(t["cross_stress"])
     t["hub_condition_profile"] = serving.hub_condition_profile(t["hub_resilience"], t["dim_place"])
+    t["resilience_by_year"] = serving.resilience_by_period(t["resilience_sketches"])
+    t["active_days_by_year"] = serving.active_days_by_period(t["hub_day_bitmaps"])
     t["carrier_trajectory"] = serving.carrier_trajectory(t["carrier_performance"], t["dim_carrier"], 12)
     t["hub_series"] = serving.hub_series(t["hub_recovery"], t["dim_place"])
     t["top_routes"] = serving.top_routes(t["route_risk"], 200)
