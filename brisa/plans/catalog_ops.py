@@ -520,6 +520,27 @@ def q_partitioned(spark, d):
     return spark.read.parquet(out)
 
 
+@register(
+    "interleaved_layout",
+    sql("""SELECT 'second key' AS filtered, l_suppkey AS key, count(*) AS n, min(l_orderkey) AS first_order FROM lineitem WHERE l_suppkey BETWEEN 20 AND 24 GROUP BY 2
+UNION ALL
+SELECT 'third key', date_part('year', l_shipdate) * 10000 + date_part('month', l_shipdate) * 100 + date_part('day', l_shipdate), count(*), min(l_orderkey) FROM lineitem
+WHERE l_shipdate BETWEEN TIMESTAMP '1997-03-01' AND TIMESTAMP '1997-03-31' GROUP BY 2"""),
+)
+def q_interleaved(spark, d):
+    """Line items in Z-order over part, supplier and date; filters on the second and on the third key alone, which skip most row groups."""
+    out = scratch_path(spark, "line_items_interleaved")
+    files.write_layout(table(spark, d, "lineitem"), out, None, ["l_partkey", "l_suppkey", "l_shipdate"], interleave=True, row_group_bytes=1 << 18)
+    li = spark.read.parquet(out)
+    day = F.date_format("l_shipdate", "yyyyMMdd").cast("long")
+    found = [
+        ("second key", li.filter(F.col("l_suppkey").between(20, 24)).withColumn("key", F.col("l_suppkey"))),
+        ("third key", li.filter(F.col("l_shipdate").between(F.lit("1997-03-01").cast("timestamp_ntz"), F.lit("1997-03-31").cast("timestamp_ntz"))).withColumn("key", day)),
+    ]
+    frames = [f.groupBy(F.lit(name).alias("filtered"), "key").agg(F.count(F.lit(1)).alias("n"), F.min("l_orderkey").alias("first_order")) for name, f in found]
+    return frames[0].unionByName(frames[1])
+
+
 @register("harmonised_types", sql("SELECT * FROM lineitem"))
 def q_harmonised(spark, d):
     """Files whose quantity column drifted to BIGINT are unified as DOUBLE; 250 files of either type, whose footers one job reads."""
