@@ -39,6 +39,15 @@ from . import dims, marts, staging, warehouse
 FILES = "input string, part string, path string, source string"
 MONTHS = "input string, part string, month date"
 LOGS = ("flights", "weather")
+BY_MONTH = (
+    "stg_movements",
+    "movements_with_conditions",
+    "hub_recovery",
+    "hub_resilience",
+    "resilience_sketches",
+    "hub_day_bitmaps",
+    "carrier_performance",
+)
 
 
 @dataclass
@@ -128,6 +137,9 @@ def build(
         if not changed:
             return Report("none")
     if record is None or any(i not in LOGS for i, _ in changed) or not _same_hubs(spark, inp, out_dir, calendar):
+        # A full build writes the months that there are now; months of an earlier build must not stay beside them.
+        for name in BY_MONTH:
+            ledger._Folder(spark, out_dir).remove(name)
         warehouse.run(spark, inp, out_dir, calendar, rules)
         hubs = warehouse.read_inputs(spark, inp, calendar)["hubs"]
         hubs.write.mode("overwrite").parquet(f"{out_dir}/hubs")
