@@ -22,7 +22,7 @@ def _status(failures: Column, severity: Column) -> Column:
     return F.when(failures == 0, F.lit("pass")).when(severity == "warn", F.lit("warn")).otherwise(F.lit("error"))
 
 
-def _finish(df: DataFrame) -> DataFrame:
+def finished(df: DataFrame) -> DataFrame:
     """Add the status column and fix types and order."""
     return df.select(
         F.col("check_name").cast("string"),
@@ -121,7 +121,7 @@ def relation_checks(df: DataFrame, spec: RelationChecks) -> DataFrame:
             for i, (check, column, sev) in enumerate(meta)
         ]
     )
-    out = _finish(one.select(F.inline(rows)))
+    out = finished(one.select(F.inline(rows)))
     if not apart:
         return out
     # A few rows, in the order of the specification: the accepted values after the null checks.
@@ -130,7 +130,7 @@ def relation_checks(df: DataFrame, spec: RelationChecks) -> DataFrame:
 
 
 def _single(df_count: DataFrame, check: str, relation: str, column: str, severity: str) -> DataFrame:
-    return _finish(
+    return finished(
         df_count.select(
             F.lit(check).alias("check_name"),
             F.lit(relation).alias("relation"),

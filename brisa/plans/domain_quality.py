@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import quality as q
+from ..operators.key_checks import ForeignKey, UniqueKey, key_checks
 from ..sources.schemas import PLACE_TYPES
 
 # Accepted condition and phase labels.
@@ -135,7 +136,8 @@ def declared_checks(t: dict[str, DataFrame], hubs: DataFrame) -> DataFrame:
                 ),
             }
         rows.append(q.relation_checks(t[rel], C(rel, **spec)))
-    rows += [q.unique(t[rel], rel, cols) for rel, cols in UNIQUE_KEYS]
-    rows += [q.relationships(t[rel], rel, col, t[parent], pcol, severity=sev) for rel, col, parent, pcol, sev in FOREIGN_KEYS]
-    rows.append(q.keys_missing(hubs, "station", t["traffic_baseline"], "hub", "every_hub_has_baseline", "hubs"))
+    keys: list = [UniqueKey(rel, t[rel], cols) for rel, cols in UNIQUE_KEYS]
+    keys += [ForeignKey(rel, t[rel], col, t[parent], pcol, severity=sev) for rel, col, parent, pcol, sev in FOREIGN_KEYS]
+    keys.append(ForeignKey("hubs", hubs, "station", t["traffic_baseline"], "hub", check="every_hub_has_baseline"))
+    rows.append(key_checks(keys))
     return q.union_checks(rows)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import quality as q
+from ..operators.key_checks import ForeignKey, UniqueKey, key_checks
 from .oracle_sql import B
 from .tpch import Model
 
@@ -24,25 +25,28 @@ def not_null(m: Model) -> DataFrame:
     return q.relation_checks(m.conditions(), q.RelationChecks("movements_with_conditions", not_null=COND_NOT_NULL))
 
 
+def _unique_rules(m: Model) -> list:
+    return [
+        UniqueKey("stg_movements", m.stg_movements(), ["movement_id"]),
+        UniqueKey("lineitem", m.t("lineitem"), ["l_orderkey", "l_linenumber"], severity="warn"),
+        UniqueKey("traffic_baseline", m.baseline(), ["hub", "month"]),
+    ]
+
+
+def _foreign_rules(m: Model) -> list:
+    return [
+        ForeignKey("recovery", m.recovery(), "hub", m.dim_place(), "station"),
+        ForeignKey("lineitem", m.t("lineitem"), "l_partkey", m.t("part"), "p_partkey", dense=True),
+        ForeignKey("stg_movements", m.stg_movements(), "carrier", m.dim_carrier(), "carrier", severity="warn"),
+    ]
+
+
 def unique(m: Model) -> DataFrame:
-    li = m.t("lineitem")
-    return q.union_checks(
-        [
-            q.unique(m.stg_movements(), "stg_movements", ["movement_id"]),
-            q.unique(li, "lineitem", ["l_orderkey", "l_linenumber"], severity="warn"),
-            q.unique(m.baseline(), "traffic_baseline", ["hub", "month"]),
-        ]
-    )
+    return key_checks(_unique_rules(m))
 
 
 def foreign_keys(m: Model) -> DataFrame:
-    return q.union_checks(
-        [
-            q.relationships(m.recovery(), "recovery", "hub", m.dim_place(), "station"),
-            q.relationships(m.t("lineitem"), "lineitem", "l_partkey", m.t("part"), "p_partkey"),
-            q.relationships(m.stg_movements(), "stg_movements", "carrier", m.dim_carrier(), "carrier", severity="warn"),
-        ]
-    )
+    return key_checks(_foreign_rules(m))
 
 
 def accepted(m: Model) -> DataFrame:
@@ -146,9 +150,13 @@ def summary(m: Model) -> DataFrame:
         ),
         q.relation_checks(m.t("orders"), q.RelationChecks("orders", ranges=[q.RangeRule("o_totalprice", 0, 400000)])),
         q.relation_checks(m.route_risk(), q.RelationChecks("route_risk", row_count_between=(7000, 12000))),
-        unique(m),
-        foreign_keys(m),
-        q.keys_missing(m.hubs(), "station", m.baseline(), "hub", "every_hub_has_baseline", "hubs"),
+        key_checks(
+            [
+                *_unique_rules(m),
+                *_foreign_rules(m),
+                ForeignKey("hubs", m.hubs(), "station", m.baseline(), "hub", check="every_hub_has_baseline"),
+            ]
+        ),
     ]
     return q.summary(folded)
 
