@@ -63,30 +63,31 @@ def _hashes(df: DataFrame, columns: Sequence[str], as_text: bool = False) -> lis
     return [F.xxhash64(*parts), F.xxhash64(F.lit("second"), *parts)]
 
 
-def _entry(number: int, hashes: list[Column], child: int) -> Column:
-    return F.struct(F.lit(number).alias("check"), hashes[0].alias("h1"), hashes[1].alias("h2"), F.lit(child).alias("child"))
+def _entry(number: int, keep: Column, hashes: list[Column], child: int) -> list[Column]:
+    """``check, h1, h2, child``; rows that are left out have no check."""
+    return [F.when(keep, number).alias("check"), hashes[0].alias("h1"), hashes[1].alias("h2"), F.lit(child).alias("child")]
 
 
 def _hashed(rules: Sequence[tuple[int, UniqueKey | ForeignKey]]) -> DataFrame:
     """One row with a column ``c<number>`` of failures for each rule."""
-    entries: dict[int, tuple[DataFrame, list[Column]]] = {}
+    entries: dict[int, tuple[DataFrame, list[list[Column]]]] = {}
 
-    def add(df: DataFrame, keep: Column, entry: Column) -> None:
-        entries.setdefault(id(df), (df, []))[1].append(F.when(keep, entry))
+    def add(df: DataFrame, entry: list[Column]) -> None:
+        entries.setdefault(id(df), (df, []))[1].append(entry)
 
     for number, r in rules:
         if isinstance(r, UniqueKey):
             keep = F.col(r.columns[0]).isNotNull() if len(r.columns) == 1 else F.lit(True)
-            add(r.df, keep, _entry(number, _hashes(r.df, r.columns), 1))
+            add(r.df, _entry(number, keep, _hashes(r.df, r.columns), 1))
         else:
             as_text = r.df.schema[r.column].dataType != r.parent.schema[r.parent_column].dataType
-            add(r.df, F.col(r.column).isNotNull(), _entry(number, _hashes(r.df, [r.column], as_text), 1))
-            add(r.parent, F.col(r.parent_column).isNotNull(), _entry(number, _hashes(r.parent, [r.parent_column], as_text), 0))
-    frames = [df.select(F.inline(F.filter(F.array(*found), lambda e: e.isNotNull()))) for df, found in entries.values()]
+            add(r.df, _entry(number, F.col(r.column).isNotNull(), _hashes(r.df, [r.column], as_text), 1))
+            add(r.parent, _entry(number, F.col(r.parent_column).isNotNull(), _hashes(r.parent, [r.parent_column], as_text), 0))
+    frames = [df.select(*found[0]) if len(found) == 1 else df.select(F.inline(F.array(*[F.struct(*e) for e in found]))) for df, found in entries.values()]
     rows = frames[0]
     for f in frames[1:]:
         rows = rows.unionAll(f)
-    keys = rows.groupBy("check", "h1", "h2").agg(F.sum("child").alias("rows"), F.min("child").alias("only_child"))
+    keys = rows.filter("check is not null").groupBy("check", "h1", "h2").agg(F.sum("child").alias("rows"), F.min("child").alias("only_child"))
     return keys.agg(
         *[
             (

@@ -205,15 +205,14 @@ def outside_day(date_col: str, ends: Sequence[tuple[str, str]], tolerance_days:
 
 def summary(checks: Sequence[DataFrame]) -> DataFrame:
     """Q13: number of checks per status."""
-    allc = checks[0]
-    for c in checks[1:]:
-        allc = allc.unionByName(c)
+    allc = union_checks(checks)
     return allc.groupBy("status").agg(F.count(F.lit(1)).alias("n_checks"))
 
 
 def union_checks(frames: Sequence[DataFrame]) -> DataFrame:
-    """Stack check rows of several checks."""
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    """Stack check rows of several checks, pair by pair: a chain would be analysed anew at every link."""
+    frames = list(frames)
+    while len(frames) > 1:
+        pairs = [frames[i].unionAll(frames[i + 1]) for i in range(0, len(frames) - 1, 2)]
+        frames = pairs + frames[len(pairs) * 2 :]
+    return frames[0]

@@ -234,10 +234,10 @@ class Model:
 
     # dims -----------------------------------------------------------------
     def dim_place(self) -> DataFrame:
-        return dims.dim_place(self.places(), self.hubs())
+        return self._memo("dim_place", lambda: dims.dim_place(self.places(), self.hubs()))
 
     def dim_carrier(self) -> DataFrame:
-        return dims.dim_carrier(self.stg_carriers())
+        return self._memo("dim_carrier", lambda: dims.dim_carrier(self.stg_carriers()))
 
     def phases(self) -> DataFrame:
         return dims.dim_phase(self.spark, BASE_YEAR)
@@ -257,7 +257,7 @@ class Model:
         )
 
     def baseline(self) -> DataFrame:
-        return marts.traffic_baseline(self.stg_movements(), self.hubs(), BASE_YEAR)
+        return self._memo("baseline", lambda: marts.traffic_baseline(self.stg_movements(), self.hubs(), BASE_YEAR))
 
     def recovery(self) -> DataFrame:
         return self._memo("recovery", lambda: marts.recovery(self.conditions(), self.hubs(), self.baseline(), self.phases()))
