@@ -215,13 +215,22 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings | None = None, id
     sample = known.filter("toxic = 1").orderBy("draw").limit(s.positives).unionByName(
         known.filter("toxic = 0").orderBy("draw").limit(s.negatives)
     )
-    # The sample is bounded by its two limits, so it may be broadcast and its texts collected.
-    rows = read.join(F.broadcast(store.materialise(sample, "labelled")), "doc_id").select("draw", "text", "toxic").toArrow()
-    rows = rows.sort_by([("draw", "ascending"), ("text", "ascending")])
-    return train(rows.column("text").to_pylist(), rows.column("toxic").to_pylist(), s)
+    # The sample is bounded by its two limits, so it may be broadcast, and its texts be one task's input.
+    rows = read.join(F.broadcast(store.materialise(sample, "labelled")), "doc_id").select("draw", "text", "toxic")
 
-
-_SCORES_KEPT = 300_000
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, marks = [], []
+        for batch in batches:
+            texts += batch.column(1).to_pylist()
+            marks += batch.column(2).to_pylist()
+        model = train(texts, marks, s)
+        yield pa.RecordBatch.from_pydict({"table": pa.array([model.table.astype("<f8").tobytes()], pa.binary()), "bias": pa.array([model.bias], pa.float64())})
+
+    # Training runs in a task, whose memory is given back, rather than in the driver.
+    trained = rows.repartition(1).sortWithinPartitions("draw", "text").mapInArrow(run, "table binary, bias double").collect()
+    if not trained:
+        return train([], [], s)
+    return Model(np.frombuffer(trained[0]["table"], "<f8"), trained[0]["bias"], s)
 
 
 class _Scorer:
