@@ -19,9 +19,10 @@ link when the Jaccard similarity of their sets reaches ``percent``.
    overlap from above, do; sets too large for 512 bits have a second signature
    of one to two bits a shingle. Then the sorted hash arrays are intersected.
 5. Links found so far give components. Only larger groups that still hold
-   several components go on: nodes outside one of them are compared, under the
-   same bounds, with the tile's nodes of other components. Every pair of linked
-   nodes is thus either compared or already connected.
+   several components go on: first their nodes are compared with the best-linked
+   nodes of the tile, then nodes outside one component, under the same bounds,
+   with the tile's nodes of other components. Every pair of linked nodes is thus
+   either compared or already connected.
 
 So groups of near copies cost a few comparisons per node, not all pairs;
 no tile is ever collected in one place except by sorting (spilling) or joining
@@ -54,6 +55,7 @@ SCHEMA = "doc_id long, n int, key long, " + ", ".join(f"b{i} long" for i in rang
 WIDE_FROM = 64 * WORDS  # sets of more shingles have a wide signature
 WIDE_MOST = 1 << 16
 NEIGHBOURS = 8
+DRAWN = 2  # nodes that a frequent token draws; who links with neither meets the best-linked nodes next
 HOT_LEVEL = 40  # about 2 ** (40 / 4) documents
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -245,7 +247,7 @@ def _tiles(docs: DataFrame, levels, words: int, percent: int) -> DataFrame:
         return store.materialise(cold, "tiles")
     hot = store.materialise(_filed(docs, levels, words, percent, hot=True).distinct(), "hot_tiles")
     shared = hot.groupBy("token").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).filter("lo <> hi").select("token")
-    names = [f"d{i}" for i in range(NEIGHBOURS)]
+    names = [f"d{i}" for i in range(DRAWN)]
     drawn = hot.groupBy("token", "band").agg(*[F.min(F.struct(F.xxhash64(F.lit(i), "key"), "key")).alias(d) for i, d in enumerate(names)])
     # A tile reaches one band down, so its drawn nodes may be the lower band's.
     reach = drawn.unionByName(drawn.withColumn("band", F.col("band") + 1))
@@ -343,16 +345,39 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return with_b.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _crossing(tiles: DataFrame, nodes: DataFrame, label: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one tile that are in different components so far and that the bounds let through."""
+def _labelled(tiles: DataFrame, label: DataFrame) -> DataFrame:
+    """``token, band, key, component, lo`` of the rows of larger groups that still hold several components; ``lo`` is one of them."""
     tiles = tiles.filter("many")
     named = tiles.join(label, tiles["key"] == label["node"], "left").select(
         "token", "band", "key", F.coalesce("component", "key").alias("component")
     )
     mixed = named.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
-    open_rows = store.materialise(
-        named.join(mixed.select("token", "lo"), "token").join(nodes.drop("doc_id", "wide"), "key"), "open_tiles"
-    )
+    return named.join(mixed.select("token", "lo"), "token")
+
+
+def _to_hubs(tiles: DataFrame, edges: DataFrame, label: DataFrame) -> DataFrame:
+    """``a, b``: nodes of a tile with its best-linked nodes so far that are in other components.
+
+    Near copies of one text link with that text rather than with each other, so
+    the text has many links by now, and one comparison with it joins a copy that
+    resembles none of the nodes that were drawn. ``NEIGHBOURS`` hash classes of a
+    tile each name their best-linked node; found by aggregates.
+    """
+    rows = _labelled(tiles, label).drop("lo")
+    degree = edges.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").count()
+    names = [f"h{i}" for i in range(NEIGHBOURS)]
+    own = F.pmod(F.xxhash64(F.lit("hub"), "key"), F.lit(NEIGHBOURS))
+    linked = rows.join(degree, "key").withColumn("hub", F.struct("count", "key", "component"))
+    best = linked.groupBy("token", "band").agg(*[F.max(F.when(own == i, F.col("hub"))).alias(h) for i, h in enumerate(names)])
+    reach = best.withColumn("band", F.explode(F.array(*[F.col("band") + d for d in (-1, 0, 1)])))
+    reach = reach.groupBy("token", "band").agg(F.array_compact(F.array(*[F.max(h) for h in names])).alias("hubs"))
+    found = rows.join(reach, ["token", "band"]).select("key", "component", F.explode("hubs").alias("hub")).filter("component <> hub.component")
+    return found.select(F.least("key", "hub.key").alias("a"), F.greatest("key", "hub.key").alias("b")).distinct()
+
+
+def _crossing(tiles: DataFrame, nodes: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+    """Pairs of one tile that are in different components so far and that the bounds let through."""
+    open_rows = store.materialise(_labelled(tiles, label).join(nodes.drop("doc_id", "wide"), "key"), "open_tiles")
     # One component of each token (the smallest) needs no comparison inside; the others look at everything else.
     outside = open_rows.filter("component <> lo").withColumn("probe", F.explode(F.array(*[F.col("band") + d for d in (-1, 0, 1)])))
     x, y = outside.alias("x"), open_rows.alias("y")
@@ -386,12 +411,17 @@ def link(
     near = store.materialise(_bounded_wide(pairs, nodes, percent), "first_near")
     edges = store.materialise(_verified(near, _sets(read, nodes, _ends(near), words), percent), "first_links")
     label = components(edges)
+    hubs = store.materialise(_bounded(_to_hubs(tiles, edges, label).join(pairs, ["a", "b"], "left_anti"), nodes, percent), "hub_pairs")
+    if not hubs.isEmpty():
+        near = store.materialise(_bounded_wide(hubs, nodes, percent), "hub_near")
+        found = store.materialise(_verified(near, _sets(read, nodes, _ends(near), words), percent), "hub_links")
+        label = _joined(label, found)
+        pairs = pairs.unionByName(hubs)
     more = _crossing(tiles, nodes, label, percent).join(pairs, ["a", "b"], "left_anti")
     more = store.materialise(_bounded_wide(more, nodes, percent), "more_near")
     if not more.isEmpty():
         found = store.materialise(_verified(more, _sets(read, nodes, _ends(more), words), percent), "more_links")
-        if not found.isEmpty():
-            label = components(found.unionByName(label.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+        label = _joined(label, found)
     # From nodes to documents: the smallest id of each component, then of each row.
     named = nodes.join(label, nodes["key"] == label["node"], "left").select("key", "doc_id", F.coalesce("component", "key").alias("component"))
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
@@ -401,6 +431,13 @@ def link(
     )
 
 
+def _joined(label: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after some more links."""
+    if links.isEmpty():
+        return label
+    return components(links.unionByName(label.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+
+
 def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
 
