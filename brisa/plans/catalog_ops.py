@@ -595,6 +595,19 @@ def q_harmonised(spark, d):
     return files.read_harmonised(spark, [a, b], ["l_quantity"], schema=li.schema)
 
 
+@register("load_file_list", sql("SELECT * FROM orders"))
+def q_load_file_list(spark, d):
+    """An explicit list of files (here one folder per order status) loaded as one table with a schema."""
+    o = table(spark, d, "orders")
+    place = scratch_path(spark, "orders_by_status")
+    states = ["F", "O", "P"]
+    other = ~F.coalesce(F.col("o_orderstatus").isin(states), F.lit(False))
+    parts = {s: o.filter(F.col("o_orderstatus") == s) for s in states} | {"other": o.filter(other)}
+    for name, rows in parts.items():
+        rows.write.parquet(f"{place}/{name}")
+    return files.load_parquet(spark, [f"{place}/{name}" for name in parts], o.schema)
+
+
 @register("landed_row_count", sql("SELECT count(*) AS rows_written FROM customer"))
 def q_landed_row_count(spark, d):
     """The number of rows that a load reports, counted while it writes."""
