@@ -202,8 +202,17 @@ def interval_join(
     return out.select(*[left[c] for c in points.columns], *[F.col(f"__range.`{c}`").alias(c) for c in ranges.columns])
 
 
-def range_lookup(df: DataFrame, date_col: str, ranges: DataFrame, start: str, end: str, how: str = "left") -> DataFrame:
-    """Join each row to the ranges with ``start <= date <= end`` (J6); no row is compared with every range (see ``interval_join``)."""
+def range_lookup(
+    df: DataFrame, date_col: str, ranges: DataFrame, start: str, end: str, how: str = "left", literal: bool = False
+) -> DataFrame:
+    """Join each row to the ranges with ``start <= date <= end``.
+
+    No row is compared with every range (see ``interval_join``), unless the
+    caller says that ``ranges`` is a ``literal`` list of a few: then one pass
+    over the rows does.
+    """
+    if literal:
+        return df.join(F.broadcast(ranges), df[date_col].between(ranges[start], ranges[end]), how)
     return interval_join(df, ranges, date_col, start, end, how=how)
 
 

@@ -188,7 +188,7 @@ def recovery(cond: DataFrame, hubs: DataFrame, baseline: DataFrame, phase_lookup
     )
     base = baseline.select("hub", F.month("month").alias("calendar_month"), F.col("total_base").alias("baseline_movements"))
     j = baseline_join(monthly, base, ["hub"], "month", "calendar_month", ["baseline_movements"])
-    j = range_lookup(j, "month", phase_lookup.select("phase", "phase_start_date", "phase_end_date"), "phase_start_date", "phase_end_date")
+    j = range_lookup(j, "month", phase_lookup.select("phase", "phase_start_date", "phase_end_date"), "phase_start_date", "phase_end_date", literal=True)
     return j.select(
         "hub",
         "month",

@@ -134,3 +134,14 @@ def test_interval_join_refuses_what_it_cannot_order(spark):
         op.interval_join(p.selectExpr("cast(at as long) at"), r, "at", "low", "high")
     empty = spark.createDataFrame([], "low long, high long")
     assert op.interval_join(p.selectExpr("cast(at as long) at"), empty, "at", "low", "high", how="left").collect() == [(1, None, None)]
+
+
+def test_range_lookup_compares_with_literal_lookups_only(spark):
+    days = spark.range(100).select(F.date_add(F.lit(dt.date(2019, 1, 1)), F.col("id").cast("int")).alias("d"))
+    rows = [(k, dt.date(2019, 1, 1) + dt.timedelta(10 * k), dt.date(2019, 1, 9) + dt.timedelta(10 * k)) for k in range(8)]
+    ranges = spark.createDataFrame(rows, "k int, low date, high date")
+    expected = {dt.date(2019, 1, 1) + dt.timedelta(i): i // 10 if i < 80 and i % 10 < 9 else None for i in range(100)}
+    for literal in (True, False):
+        out = op.range_lookup(days, "d", ranges, "low", "high", literal=literal)
+        assert ("__bucket" in out._jdf.queryExecution().toString()) != literal
+        assert {r.d: r.k for r in out.collect()} == expected
