@@ -299,28 +299,32 @@ def _bounded_wide(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame
     return pairs.join(x, "a").join(y, "b").select("a", "b", "nx", "wx", "ny", "wy").mapInArrow(run, "a long, b long")
 
 
+def _place(doc_id: Column) -> Column:
+    """Where an id is in the bitmap: its low bits, mixed with those above."""
+    return doc_id.bitwiseXOR(F.shiftright(doc_id, store.BITMAP_BITS))
+
+
 def _sets(docs: DataFrame, nodes: DataFrame, keys: DataFrame, words: int) -> DataFrame:
     """``key, found`` (the packed sorted hashes) of the given nodes, from one document of each.
 
-    The texts are not shuffled: a bitmap of fixed size tells each task which of
-    its documents may stand for a wanted node. A few others pass by chance, and
-    documents that repeat an id; their rows join with nothing or give the same
-    links again.
+    The texts are not shuffled: a bitmap of fixed size over ids tells each task
+    which of its documents may stand for a wanted node, and only their shingles
+    are computed. A few others pass by chance, and documents that repeat an id;
+    their rows join with nothing or give the same links again.
     """
     wanted = nodes.select("key", "doc_id").join(keys, "key", "left_semi")
-    bits = docs.sparkSession.sparkContext.broadcast(store.bitmap(wanted, F.col("key").bitwiseXOR(F.coalesce("doc_id", F.lit(-1)))))
+    bits = docs.sparkSession.sparkContext.broadcast(store.bitmap(wanted, _place(F.coalesce("doc_id", F.lit(-1)))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = bits.value
         for batch in batches:
             key, found = [], []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                have = shingles(text.as_py(), words)
+            ids = batch.column(0).fill_null(-1).to_numpy()
+            for i in np.flatnonzero(store.in_bitmap(table, ids ^ (ids >> store.BITMAP_BITS))).tolist():
+                have = shingles(batch.column(1)[i].as_py(), words)
                 if len(have):
-                    k = _key(have)
-                    if store.in_bitmap(table, np.array([k ^ (-1 if doc is None else doc)], dtype=np.int64))[0]:
-                        key.append(k)
-                        found.append(have.tobytes())
+                    key.append(_key(have))
+                    found.append(have.tobytes())
             if key:
                 yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(found, pa.binary())], names=["key", "found"])
 
