@@ -5,7 +5,9 @@ squared piece lengths``. Documents longer than a sequence give full pieces
 first; what is left of every document is placed in descending length into the
 cheapest open sequence that still has room, so costly sequences stop growing
 first. A piece that fits nowhere whole is cut over the cheapest open
-sequences, so at most one sequence of a block is left partly empty.
+sequences, so at most one sequence of a block is left partly empty. Every open
+sequence is considered for every piece: those too full wait by remaining room,
+so a block takes time in proportion to ``n log n`` whatever the lengths.
 
 Scale: one map-only pass. Each task packs its own documents in blocks of
 bounded token count; no shuffle, no key, so no group can be hot, and a lost
@@ -56,39 +58,47 @@ def assign(lengths: list[int], capacity: int, linear: float, quadratic: float) -
     room = [capacity] * len(used)
     if room:
         room[-1] = total - capacity * (len(used) - 1)
-    heap = [(0.0, s) for s in range(len(used))]
+    cost = [0.0] * len(used)
+    # Pieces come in descending length, so a sequence too full for one piece may
+    # suit a later one: it waits under its room until pieces are that short.
+    fits: list[tuple[float, int]] = []
+    waiting: list[list[int]] = [[] for _ in range(capacity + 1)]
+    short: list[tuple[float, int, int]] = []  # who waited, by cost; out of date where the room has changed
+    shortest = capacity + 1
+
+    def keep(s: int) -> None:
+        if room[s] >= shortest:
+            heapq.heappush(fits, (cost[s], s))
+        elif room[s]:
+            waiting[room[s]].append(s)
+            heapq.heappush(short, (cost[s], s, room[s]))
+
+    for s in range(len(used)):
+        keep(s)
     for left, doc, start in rest:
-        aside = []
-        best = None
-        while heap:
-            cost, s = heapq.heappop(heap)
-            if room[s] - used[s] >= left:
-                best = (cost, s)
-                break
-            aside.append((cost, s))
-            if len(aside) >= 64:
-                break
-        if best is not None:
-            targets = [(best, left)]
-        else:
-            # Nothing cheap has room for the whole piece: cut it, cheapest first.
-            targets = []
-            pool = iter(aside)
-            need = left
-            while need:
-                cost, s = next(pool, None) or heapq.heappop(heap)
-                take = min(need, room[s] - used[s])
-                targets.append(((cost, s), take))
-                need -= take
-            aside = list(pool)
-        for (cost, s), take in targets:
+        for r in range(left, min(shortest, capacity + 1)):
+            for s in waiting[r]:
+                if room[s] == r:
+                    heapq.heappush(fits, (cost[s], s))
+            waiting[r] = []
+        shortest = left
+        need = left
+        while need:
+            if fits:
+                _, s = heapq.heappop(fits)
+            else:
+                # Nothing has room for the whole piece: cut it, cheapest first.
+                _, s, r = heapq.heappop(short)
+                if room[s] != r:
+                    continue
+            take = min(need, room[s])
             out.append((doc, start, take, sequence + s, used[s]))
             start += take
+            need -= take
             used[s] += take
-            if used[s] < room[s]:
-                heapq.heappush(heap, (cost + linear * take + quadratic * take * take, s))
-        for x in aside:
-            heapq.heappush(heap, x)
+            room[s] -= take
+            cost[s] += linear * take + quadratic * take * take
+            keep(s)
     return out
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -79,6 +80,41 @@ def test_assign_covers_every_token_and_wastes_one_sequence(lengths):
     assert len(per_seq) == sum(n // 2048 for n in lengths) + -(-sum(n % 2048 for n in lengths) // 2048)
 
 
+def _cheapest_with_room(lengths, capacity, linear, quadratic):
+    """Every open sequence looked at for every piece."""
+    rest = sorted(((n % capacity, doc, n - n % capacity) for doc, n in enumerate(lengths) if n % capacity), key=lambda x: (-x[0], x[1]))
+    first = sum(n // capacity for n in lengths)
+    total = sum(n for n, _, _ in rest)
+    room = [min(capacity, total - at) for at in range(0, total, capacity)]
+    cost, used, out = [0.0] * len(room), [0] * len(room), []
+    for left, doc, start in rest:
+        while left:
+            ready = [s for s, r in enumerate(room) if r >= left] if start % capacity == 0 else []
+            s = min(ready or [s for s, r in enumerate(room) if r], key=lambda s: (cost[s], s))
+            take = min(left, room[s])
+            out.append((doc, start, take, first + s, used[s]))
+            start, left, used[s], room[s] = start + take, left - take, used[s] + take, room[s] - take
+            cost[s] += linear * take + quadratic * take * take
+    return out
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.one_of(st.integers(1, 5_000), st.integers(900, 1_100), st.integers(1, 40)), max_size=150))
+def test_assign_takes_the_cheapest_sequence_with_room(lengths):
+    pieces = [p for p in cost_packing.assign(lengths, 2048, 1.0, 1 / 2048) if p[2] < 2048]
+    assert pieces == [p for p in _cheapest_with_room(lengths, 2048, 1.0, 1 / 2048) if p[2] < 2048]
+
+
+@pytest.mark.parametrize("near_half", [False, True])
+def test_assign_of_many_documents(near_half):
+    rng = np.random.default_rng(3)
+    lengths = rng.integers(1_000, 1_060, 100_000) if near_half else np.maximum(1, rng.lognormal(5.5, 1.2, 100_000).astype(int))
+    began = time.process_time()
+    pieces = cost_packing.assign(lengths.tolist(), 2048, 1.0, 1 / 2048)
+    assert time.process_time() - began < 4
+    assert sum(p[2] for p in pieces) == lengths.sum()
+
+
 def test_costs_are_balanced():
     lengths = [1500] * 8 + [300] * 20 + [60] * 40
     costs = Counter()
