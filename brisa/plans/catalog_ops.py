@@ -11,8 +11,8 @@ from ..operators.joins import equi_join, with_membership_flag
 from ..operators.topn import total_order
 from ..operators.windows import dedup_latest, first_per_key, mode_per_key
 from ..session import scratch_path
-from ..functions.scalars import file_month
-from ..sources import files, jobs, ledger, schemas
+from ..functions.scalars import file_month, month_start
+from ..sources import files, jobs, ledger, merging, schemas
 from ..streaming import landing
 from . import incremental, tpch_quality, warehouse
 from .catalog import M, ntz, register
@@ -751,6 +751,29 @@ def q_overwrite(spark, d):
     return spark.read.parquet(out).select(*o.columns)
 
 
+@register(
+    "merge_latest",
+    sql(
+        """SELECT * EXCLUDE (rn) FROM (
+  SELECT l_suppkey, CAST(date_trunc('month', l_shipdate) AS DATE) AS ship_month, l_shipdate, l_orderkey, l_linenumber, l_quantity, l_linestatus,
+         row_number() OVER (PARTITION BY l_suppkey, date_trunc('month', l_shipdate)
+                            ORDER BY l_shipdate DESC NULLS LAST, l_orderkey NULLS FIRST, l_linenumber NULLS FIRST) AS rn
+  FROM lineitem) t WHERE rn = 1"""
+    ),
+)
+def q_merge_latest(spark, d):
+    """W1 over time: last shipment of each supplier and month; filled lines land first, the others are merged into the months they touch."""
+    li = table(spark, d, "lineitem").withColumn("ship_month", month_start("l_shipdate"))
+    li = li.select("l_suppkey", "ship_month", "l_shipdate", "l_orderkey", "l_linenumber", "l_quantity", "l_linestatus")
+    filled = F.col("l_linestatus").eqNullSafe("F")
+    out = scratch_path(spark, "last_shipments")
+    for batch in (li.filter(filled), li.filter(~filled)):
+        merging.merge_latest(
+            batch, out, ["l_suppkey", "ship_month"], [F.col("l_shipdate").desc_nulls_last()], ["ship_month"], ["l_orderkey", "l_linenumber"]
+        )
+    return spark.read.parquet(out).select(*li.columns)
+
+
 HUB_SEED_SCHEMA = T.StructType(
     [
         T.StructField("station", T.IntegerType()),

@@ -17,6 +17,7 @@ from .files import (
     write_small_csv,
 )
 from .lookups import EVENTS, PHASES_2019, date_spine, date_spine_between, events, lookup, phase_rows, phases
+from .merging import merge_latest
 
 __all__ = [
     "EVENTS",
@@ -31,6 +32,7 @@ __all__ = [
     "load_summary",
     "lookup",
     "materialise",
+    "merge_latest",
     "only_new_partitions",
     "overwrite_partitions",
     "phase_rows",
