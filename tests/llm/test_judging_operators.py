@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import hashlib
 import random
 import re
@@ -195,3 +196,23 @@ def test_sql(spark, name):
     got = query(spark, sf_dir)
     want = con.execute(sql).to_arrow_table().select(got.columns).to_pylist()
     assert sorted(map(str, (tuple(r) for r in got.collect()))) == sorted(str(tuple(r.values())) for r in want)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="needs the given tables")
+def test_op4_query_on_the_given_labels(spark):
+    """Held-out rows of the given labels; training never reads them."""
+    from brisa.llm.queries import op4_subword_toxicity
+
+    d = "/root/testdata/sf0.1"
+    out = op4_subword_toxicity(spark, d)
+    assert out.columns == ["doc_id", "held_out", "score", "predicted"]
+    rows = out.collect()
+    assert len(rows) == spark.read.parquet(f"{d}/documents.parquet").count()
+    toxic: dict[int, int] = {}
+    for r in spark.read.parquet(f"{d}/labels.parquet").select("doc_id", "toxic").collect():
+        toxic[r["doc_id"]] = max(toxic.get(r["doc_id"], 0), r["toxic"])
+    assert all(r["held_out"] == subword_held_out(r["doc_id"]) and r["predicted"] == (r["score"] >= 0.3) for r in rows)
+    held = [r for r in rows if r["held_out"] and r["doc_id"] in toxic]
+    hits = sum(r["predicted"] and toxic[r["doc_id"]] for r in held)
+    assert hits >= 0.85 * sum(toxic[r["doc_id"]] for r in held)
+    assert hits >= 0.85 * sum(r["predicted"] for r in held)
