@@ -2,15 +2,18 @@
 
 Candidates are what four strict patterns match (email, ip, card, phone) and
 what four looser ones match outside of them (bracketed "at" and "dot", long
-address groups, digit runs without a valid checksum, national phone numbers).
+address groups, national phone numbers, and secrets: runs of 20 or more key
+characters with letters and digits). A card run whose checksum fails is none.
 Strict matches that pass their check (parts up to 255, 14 to 19 digits with a
 valid checksum, 10 to 15 digits) are base spans and always stay.
 
-Five labelers vote +1, -1 or abstain on each candidate: the strict pattern
-with its check, the checksum or count alone, a gazetteer (top-level domains, issuer and country prefixes,
-reserved networks), cue words in the context before it, and the characters at
-its ends. Candidates with equal votes are alike to them, so one aggregate
-counts vote patterns (at most 4 kinds x 3 ** 5) and expectation-maximisation
+Five labelers, each with evidence of its own, vote +1, -1 or abstain on each
+candidate: a regex on its form (grouping, alphabet), the checksum, count or
+variety of its characters, a gazetteer (top-level domains, issuer, country and
+key prefixes, reserved networks), cue words in the context (the 24 characters
+before it and the 16 after it, as far as the next match of its pattern), and
+the characters at its ends. Candidates with equal votes are alike to them, so one aggregate
+counts vote patterns (at most 5 kinds x 3 ** 5) and expectation-maximisation
 runs on the counts: it estimates each labeler's reliability and from these the
 probability that a pattern is personal data. A second aggregate sums these
 probabilities by span feature (length, separators, digits, neighbours) and the
@@ -26,7 +29,8 @@ lengths give every place.
 Scale: texts are read once to write candidate spans, without a shuffle; counts
 combine map-side.
 
-Edge cases: a null text counts as empty and has no spans; rows that repeat get
+Edge cases: a null text counts as empty and has no spans; of spans with one
+start the kinds come as listed; rows that repeat get
 equal results; empty input gives no rows; very long runs of digits or name
 characters are matched possessively, in linear time; other columns are kept by
 ``redact`` and not read otherwise.
@@ -42,7 +46,8 @@ from pyspark.sql import functions as F
 
 from brisa.llm import store
 
-KINDS = ["email", "ip", "card", "phone"]
+BASE_KINDS = ["email", "ip", "card", "phone"]
+KINDS = [*BASE_KINDS, "secret"]
 LABELERS = ["v_regex", "v_check", "v_gazetteer", "v_context", "v_ends"]
 FEATURES = ["f_length", "f_digits", "f_gaps", "f_before", "f_after"]
 
@@ -58,6 +63,7 @@ LOOSE = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?[\[(](?:at|AT)[\])] ?[A-Za-z0-9-]++(?: ?(?:\.|[\[(](?:dot|DOT)[\])]) ?[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])",
     "phone": r"(?<![0-9+(])\(?[0-9]{3}\)?[\x20.-]{1,2}[0-9]{3}[\x20.-][0-9]{4}(?![0-9])",
+    "secret": r"(?<![A-Za-z0-9_+-])[A-Za-z0-9_+-]{20,}+",
 }
 # A text without a match of these has no match of the pattern.
 STRICT_GUARD = {
@@ -70,19 +76,23 @@ LOOSE_GUARD = {
     "email": r"text rlike '[\\[(](?:at|AT)[\\])]'",
     "ip": r"text rlike '[0-9A-Fa-f]:[0-9A-Fa-f]{1,4}:'",
     "phone": r"text rlike '[0-9]{3}[\\x20.-][0-9]{4}'",
+    "secret": r"text rlike '(?<![A-Za-z0-9_+-])[A-Za-z0-9_+-]{20}'",
 }
 # Gazetteers.
 DOMAINS = "com org net edu gov io info de fr es uk eu co us ch at be nl it pt example test".split()
 CARD_PREFIX = "^(?:4|5[1-5]|2[2-7]|3[47]|36|6011|65|35)"
 COUNTRY_PREFIX = r"^\\+(?:1|7|2[07]|3[0-46-9]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])"
 RESERVED = "^(?:0|127|2(?:2[4-9]|[34][0-9]|5[0-5]))\\\\."
+KEY_PREFIX = "^(?:AKIA|ASIA|AIza|gh[pousr]_|glpat-|sk-|xox[abprs]-|eyJ)"
 CUES = {
     "email": "mail|contact|write|schreib|courriel|correo",
     "ip": "ip|host|server|address|adresse|login",
     "card": "card|visa|karte|carte|tarjeta|pay|iban|account",
     "phone": "tel|phone|call|mobil|fax|anruf|appel|llam",
+    "secret": "token|secret|key|passw|pwd|auth|bearer|credential",
 }
-COUNTER_CUES = "version|release|isbn|issn|order|invoice|token|serial|hash|doi"
+_NUMBERED = "version|release|isbn|issn|order|invoice|token|serial|hash|doi"
+COUNTER_CUES = {**dict.fromkeys(BASE_KINDS, _NUMBERED), "secret": "commit|sha|md5|hash|checksum|digest|revision|uuid"}
 
 _SPAN = "struct<kind:string,start:int,end:int,found:string,before:string,after:string,strict:boolean>"
 
@@ -105,7 +115,7 @@ def _matches(kind: str, pattern: str, guard: str, strict: bool) -> str:
             'at', acc.at + length(x.gap) + length(x.found),
             'out', concat(acc.out, array(named_struct(
               'kind', '{kind}', 'start', acc.at + length(x.gap), 'end', acc.at + length(x.gap) + length(x.found),
-              'found', x.found, 'before', right(x.gap, 24), 'after', left(x.next, 1), 'strict', {str(strict).lower()})))),
+              'found', x.found, 'before', right(x.gap, 24), 'after', left(x.next, 16), 'strict', {str(strict).lower()})))),
           acc -> acc.out)
       ELSE CAST(array() AS array<{_SPAN}>) END"""
 
@@ -130,24 +140,33 @@ _VALID = f"""CASE s.kind
   WHEN 'email' THEN true
   WHEN 'ip' THEN s.found rlike '^{_PART}(?:\\\\.{_PART}){{3}}$'
   WHEN 'card' THEN length({_DIGITS}) BETWEEN 14 AND 19 AND {_LUHN}
+  WHEN 'secret' THEN size(array_distinct(split(s.found, ''))) >= 8
   ELSE length({_DIGITS}) BETWEEN 10 AND 15 END"""
 
 
 def _votes() -> str:
     domains = "|".join(DOMAINS)
-    cue = " ".join(f"WHEN '{k}' THEN '(?i)(?:{v})[^A-Za-z]*$'" for k, v in CUES.items())
+    cue = " ".join(f"WHEN '{k}' THEN '(?i)(?<![A-Za-z])(?:{v})'" for k, v in CUES.items())
+    counter = " ".join(f"WHEN '{k}' THEN '(?i)(?<![A-Za-z])(?:{v})[^A-Za-z]*$'" for k, v in COUNTER_CUES.items())
     return f"""named_struct(
       'kind', s.kind, 'start', s.start, 'end', s.end, 'base', s.strict AND ({_VALID}),
-      'v_regex', CASE WHEN NOT s.strict THEN 0 WHEN {_VALID} THEN 1 ELSE -1 END,
-      'v_check', CASE WHEN s.kind = 'email' THEN 0 WHEN {_VALID} THEN 1 ELSE -1 END,
+      'v_regex', CASE s.kind
+        WHEN 'email' THEN CAST(s.strict AS int)
+        WHEN 'ip' THEN CASE WHEN NOT s.strict THEN 0 WHEN s.found rlike '^[0-9]{{1,3}}(?:\\\\.[0-9]{{1,3}}){{3}}$' THEN 1 ELSE -1 END
+        WHEN 'card' THEN CASE WHEN s.found rlike '^(?:[0-9]{{14,19}}|[0-9]{{4}}([\\\\x20-])[0-9]{{4}}\\\\1[0-9]{{4}}\\\\1[0-9]{{2,7}})$' THEN 1 ELSE -1 END
+        WHEN 'phone' THEN CASE WHEN NOT s.strict THEN 0 WHEN s.found rlike '^\\\\+[0-9]{{1,3}}[\\\\x20(.-]' THEN 1 ELSE -1 END
+        ELSE CASE WHEN s.found rlike '^(?:[0-9a-f]{{32,}}|[0-9A-F]{{32,}})$' OR (s.found rlike '[a-z]' AND s.found rlike '[A-Z]' AND NOT s.found rlike '-') THEN 1 ELSE -1 END END,
+      'v_check', CASE WHEN s.kind = 'email' THEN 0 WHEN NOT ({_VALID}) THEN -1 WHEN s.kind = 'secret' THEN 0 ELSE 1 END,
       'v_gazetteer', CASE s.kind
         WHEN 'email' THEN CASE WHEN s.found rlike '(?i)(?:{domains})$' THEN 1 ELSE -1 END
         WHEN 'ip' THEN CASE WHEN s.found rlike '{RESERVED}' THEN -1 ELSE 0 END
         WHEN 'card' THEN CASE WHEN {_DIGITS} rlike '{CARD_PREFIX}' THEN 1 ELSE -1 END
+        WHEN 'secret' THEN CASE WHEN s.found rlike '{KEY_PREFIX}' THEN 1 ELSE 0 END
         ELSE CASE WHEN s.found rlike '{COUNTRY_PREFIX}' THEN 1 WHEN s.strict THEN -1 ELSE 0 END END,
-      'v_context', CASE WHEN s.before rlike CASE s.kind {cue} END THEN 1
-                        WHEN s.before rlike '(?i)(?:{COUNTER_CUES})[^A-Za-z]*$' THEN -1 ELSE 0 END,
-      'v_ends', CASE WHEN s.before rlike '[A-Za-z0-9]$' OR s.after rlike '^[A-Za-z0-9]' THEN -1 ELSE 1 END,
+      'v_context', CASE WHEN s.before rlike CASE s.kind {counter} END THEN -1
+                        WHEN s.before rlike CASE s.kind {cue} END OR s.after rlike CASE s.kind {cue} END THEN 1 ELSE 0 END,
+      'v_ends', CASE WHEN s.before rlike '[A-Za-z0-9]$' OR s.after rlike '^[A-Za-z0-9]' THEN -1
+                     WHEN s.kind = 'secret' AND NOT s.before rlike '["\\']$' THEN 0 ELSE 1 END,
       'f_length', least(length(s.found) div 4, 10),
       'f_digits', CAST(floor(4 * length({_DIGITS}) / greatest(length(s.found), 1)) AS int),
       'f_gaps', least(length(regexp_replace(s.found, '[^\\\\x20().:-]', '')), 5),
@@ -157,11 +176,13 @@ def _votes() -> str:
 
 def candidates(text: Column) -> Column:
     """Array of candidate spans with base flag, votes and features (needs a column named ``text``)."""
-    strict = [_zipped(k, STRICT[k], STRICT_GUARD[k], True) for k in KINDS]
+    strict = [_zipped(k, STRICT[k], STRICT_GUARD[k], True) for k in BASE_KINDS]
     loose = [_zipped(k, LOOSE[k], LOOSE_GUARD[k], False) for k in LOOSE]
-    # A card run of under 13 digits is no candidate; a loose match must not touch a strict one.
-    kept = f"filter(concat({', '.join(strict)}), s -> s.kind <> 'card' OR length({_DIGITS}) BETWEEN 13 AND 19)"
-    free = "filter(z.loose, l -> NOT exists(z.strict, s -> s.start < l.end AND l.start < s.end))"
+    # A checksum that fails disproves a card; a loose match must not touch a strict one.
+    kept = f"filter(concat({', '.join(strict)}), s -> s.kind <> 'card' OR (length({_DIGITS}) BETWEEN 13 AND 19 AND {_LUHN}))"
+    # A key has letters and digits.
+    free = """filter(z.loose, l -> (l.kind <> 'secret' OR (l.found rlike '[0-9]' AND l.found rlike '[A-Za-z]'))
+                                AND NOT exists(z.strict, s -> s.start < l.end AND l.start < s.end))"""
     both = f"""transform(array(named_struct('strict', {kept}, 'loose', concat({', '.join(loose)}))),
                          z -> transform(concat(z.strict, {free}), s -> {_votes()}))[0]"""
     return F.expr(both)
@@ -264,21 +285,23 @@ def _listed(spans: Column) -> Column:
 
 
 def find(docs: DataFrame, accept: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: ``doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans`` and ``found`` (the span structs).
+    """Per row: ``doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_secret`` and ``found`` (the span structs).
 
-    The counts and ``base_sha256`` are of base spans; ``spans`` lists all.
+    The counts of the four kinds and ``base_sha256`` are of base spans; ``spans``
+    lists all, ``n_secret`` counts the accepted secrets.
     """
     found = store.materialise(
         store.documents(docs, id_col, text_col).withColumn("spans", candidates(F.col("text"))).select("doc_id", "spans"), "candidates"
     )
     model = fit(found)
     base = F.filter("spans", lambda s: s["base"])
-    counts = [F.expr(f"cast(size(filter(base, s -> s.kind = '{k}')) as long) AS n_{k}") for k in KINDS]
+    counts = [F.expr(f"cast(size(filter(base, s -> s.kind = '{k}')) as long) AS n_{k}") for k in BASE_KINDS]
     return (
         found.withColumn("spans", accepted(F.col("spans"), model, accept))
         .withColumn("base", base)
         .select(
-            "doc_id", *counts, F.sha2(_listed(F.col("base")), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans"), F.col("spans").alias("found")
+            "doc_id", *counts, F.sha2(_listed(F.col("base")), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans"),
+            F.expr("cast(size(filter(spans, s -> s.kind = 'secret')) as long)").alias("n_secret"), F.col("spans").alias("found")
         )
     )
 

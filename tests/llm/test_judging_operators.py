@@ -81,6 +81,40 @@ def test_method_adds_what_the_labelers_support(spark):
     assert not any(out[i] for i in range(160, 280))
 
 
+def test_secrets_are_told_from_other_hashes(spark):
+    """No pattern decides: the same 40 digits count or not by what the labelers see around them."""
+    rng = random.Random(4)
+    digits = ["".join(rng.choice("0123456789abcdef") for _ in range(40)) for _ in range(90)]
+    rows = [f'{cases.words(rng, 4)} token = "{x}" {cases.words(rng, 3)}' for x in digits]
+    rows += [f"{cases.words(rng, 4)} commit {x} {cases.words(rng, 3)}" for x in digits]
+    rows += [f"{cases.words(rng, 3)} well-known-slug-of-2020-with-words {cases.words(rng, 3)}" for _ in range(30)]
+    rows += ["x" * 400, "9" * 40, "4111 1111 1111 1112 is no card"]
+    out = {r["doc_id"]: r for r in weak_pii.find(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()}
+    for i, x in enumerate(digits):
+        at = rows[i].index(x)
+        assert f"secret:{at}:{at + 40}" in out[i]["spans"].split(",") and out[i]["n_secret"] == 1
+    assert not any("secret" in out[i]["spans"] or out[i]["n_secret"] for i in range(90, len(rows)))
+    assert out[len(rows) - 1]["spans"] == ""
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="needs the given tables")
+def test_op1_query(spark):
+    rows = QUERIES["op1_weak_pii"][0](spark, "/root/testdata/sf0.01").collect()
+    texts = dict(cases.rows_of(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")))
+    assert sorted(r["doc_id"] for r in rows) == sorted(texts)
+    for r in rows:
+        base = base_spans(texts[r["doc_id"]])
+        listed = [f"{k}:{a}:{b}" for k, a, b in base]
+        assert [r[f"n_{k}"] for k in PATTERNS] == [sum(s[0] == k for s in base) for k in PATTERNS]
+        assert r["base_sha256"] == hashlib.sha256(",".join(listed).encode()).hexdigest()
+        spans = [s for s in r["spans"].split(",") if s]
+        assert set(listed) <= set(spans)
+        # Beyond the base: the keys of these texts, all of them and little else.
+        keys = [f"secret:{m.start(1)}:{m.end(1)}" for m in re.finditer(r'(?i)token = "([0-9a-f]{40})"', texts[r["doc_id"]])]
+        assert set(keys) <= set(spans) and r["n_secret"] == len(keys)
+    assert sum(r["n_secret"] for r in rows) > 0
+
+
 def test_reliabilities_are_recovered():
     rng = np.random.default_rng(5)
     truth = rng.random(20_000) < 0.4
@@ -192,7 +226,8 @@ def test_sql(spark, name):
     query, sql = QUERIES[name]
     sf_dir = "/root/testdata/sf0.001"
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+    for table in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     got = query(spark, sf_dir)
     want = con.execute(sql).to_arrow_table().select(got.columns).to_pylist()
     assert sorted(map(str, (tuple(r) for r in got.collect()))) == sorted(str(tuple(r.values())) for r in want)
