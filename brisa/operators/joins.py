@@ -192,6 +192,9 @@ def interval_join(
     values = points.filter(F.col(point).isNotNull()).select(at.alias("__at"), *[F.col(c).alias(k) for k, (c, _) in zip(keys, on, strict=True)]).distinct()
     looking = values.join(F.broadcast(levels), F.lit(True)).withColumn("__level", F.explode("__levels")).drop("__levels")
     looking = looking.withColumn("__bucket", F.expr("shiftright(__at, __level)"))
+    if not keys:
+        # Few bytes, but each row may meet very many ranges: a fixed number of tasks, which adaptive execution does not merge.
+        looking = looking.repartition(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")), "__level", "__at")
     hits = looking.join(filed, [*keys, "__level", "__bucket"]).filter("__at between __low and __high").select("__at", "__range", *keys)
     hits = hits.withColumnsRenamed({k: f"{k}_r" for k in keys} | {"__at": "__at_r"})
     left = points.withColumns({"__at": at} | {k: F.col(c) for k, (c, _) in zip(keys, on, strict=True)})

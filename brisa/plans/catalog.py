@@ -254,7 +254,7 @@ FROM part p JOIN orders o ON CAST(o.o_orderdate AS DATE)
 GROUP BY 1""",
 )
 def interval_join_query(spark, d):
-    """Every order with every part whose sales window (short for most, two years for some) holds its date, counted per part."""
+    """Every order with every part whose sales window (short for most, two years for some) holds its date, counted per part; the orders are summed up per day first."""
     windows = table(spark, d, "part").select(
         "p_partkey",
         F.date_add(F.lit("1995-01-01").cast("date"), (F.col("p_partkey") * 37 % 2000).cast("int")).alias("starts"),
@@ -262,8 +262,10 @@ def interval_join_query(spark, d):
     )
     windows = windows.select("p_partkey", "starts", F.date_add("starts", F.col("length")).alias("ends"))
     orders = table(spark, d, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("day"))
-    pairs = interval_join(orders, windows, "day", "starts", "ends")
-    return pairs.groupBy("p_partkey").agg(F.count(F.lit(1)).alias("orders"), F.countDistinct("day").alias("days"), F.min("o_orderkey").alias("first_order"))
+    # Everything asked of a window's orders adds up from its days, so the days meet the windows: a pair per part and day, not per part and order.
+    by_day = orders.groupBy("day").agg(F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("first"))
+    pairs = interval_join(by_day, windows, "day", "starts", "ends")
+    return pairs.groupBy("p_partkey").agg(F.sum("n").alias("orders"), F.countDistinct("day").alias("days"), F.min("first").alias("first_order"))
 
 
 @register(

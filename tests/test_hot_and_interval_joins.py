@@ -145,3 +145,38 @@ def test_range_lookup_compares_with_literal_lookups_only(spark):
         out = op.range_lookup(days, "d", ranges, "low", "high", literal=literal)
         assert ("__bucket" in out._jdf.queryExecution().toString()) != literal
         assert {r.d: r.k for r in out.collect()} == expected
+
+
+def test_windows_meet_days_not_orders(spark, tmp_path, monkeypatch):
+    """Parts and orders repeat, keys and dates are null; the pairs are at most one per part row and day."""
+    import duckdb
+
+    from brisa.plans import catalog
+
+    day = [dt.datetime(1995, 1, 1, 7), dt.datetime(1995, 2, 20, 9), dt.datetime(1995, 2, 21), None]
+    orders = spark.range(8000).select(
+        F.when(F.col("id") % 97 != 0, F.col("id") % 5000).alias("o_orderkey"),
+        F.element_at(F.array(*[F.lit(d).cast("timestamp_ntz") for d in day]), (F.col("id") % 4 + 1).cast("int")).alias("o_orderdate"),
+    )
+    part = spark.range(400).select(
+        F.when(F.col("id") % 41 != 0, F.col("id") % 250).alias("p_partkey"), F.when(F.col("id") % 7 != 0, F.col("id") % 30).cast("int").alias("p_size")
+    )
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    part.write.parquet(f"{tmp_path}/part.parquet")
+    seen = []
+    monkeypatch.setattr(catalog, "interval_join", lambda *a, **k: seen.append(op.interval_join(*a, **k)) or seen[-1])
+    query, sql = catalog.QUERIES["interval_join"]
+    got = Counter(map(tuple, query(spark, str(tmp_path)).collect()))
+    con = duckdb.connect()
+    for name in ("orders", "part"):
+        con.execute(f"create view {name} as select * from '{tmp_path}/{name}.parquet/*.parquet'")
+    assert got == Counter(con.execute(sql).fetchall()) and got
+    assert seen[0].count() <= 400 * 3
+
+
+def test_few_points_are_looked_up_by_many_tasks(spark):
+    points = spark.range(200).select((F.col("id") % 60).alias("at"))
+    ranges = spark.range(5000).select(F.col("id").alias("rid"), F.lit(0).cast("long").alias("low"), F.lit(1000).cast("long").alias("high"))
+    out = op.interval_join(points, ranges, "at", "low", "high")
+    assert out.count() == 1_000_000
+    assert "REPARTITION_BY_NUM" in out._jdf.queryExecution().executedPlan().toString()
