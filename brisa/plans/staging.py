@@ -58,6 +58,10 @@ def stg_movements(raw: DataFrame, carrier_chars: int = 3, keep_positions: bool =
     first seen), the latest last-seen first, remaining columns as tie-break
     (W1, trap T4). The id hashes the parsed date, so both spellings of ``day``
     give the same id.
+
+    The id, the carrier and the duration follow from the key and the last-seen
+    time, so they decide no tie and are computed for the rows that stay: the
+    shuffle and its sort carry the raw columns only.
     """
     day = F.to_date(F.substring(F.col("day"), 1, 10), "yyyy-MM-dd")
     first = safe_timestamp_millis("firstseen")
@@ -72,7 +76,16 @@ def stg_movements(raw: DataFrame, carrier_chars: int = 3, keep_positions: bool =
         & first.isNotNull()
         & last.isNotNull()
     ).select(
-        surrogate_key("callsign", day, "firstseen").alias("movement_id"),
+        "callsign", "number", "icao24", "registration", "typecode", "origin", "destination", day.alias("movement_date"), "firstseen", "lastseen", *positions
+    )
+    kept = dedup_latest(
+        cleaned,
+        ["callsign", "movement_date", "firstseen"],
+        [F.col("lastseen").desc_nulls_last()],
+        tie_break=[c for c in cleaned.columns if c not in ("callsign", "movement_date", "firstseen", "lastseen")],
+    )
+    return kept.select(
+        surrogate_key("callsign", "movement_date", "firstseen").alias("movement_id"),
         F.col("callsign"),
         prefix("callsign", carrier_chars).alias("carrier"),
         F.col("number").alias("flight_number"),
@@ -81,18 +94,12 @@ def stg_movements(raw: DataFrame, carrier_chars: int = 3, keep_positions: bool =
         F.col("typecode").alias("asset_type"),
         F.col("origin"),
         F.col("destination"),
-        day.alias("movement_date"),
+        F.col("movement_date"),
         first.alias("first_seen_at"),
         last.alias("last_seen_at"),
         minutes_between("firstseen", "lastseen").alias("duration_minutes"),
         *positions,
     )
-    return dedup_latest(
-        cleaned,
-        ["callsign", "movement_date", "first_seen_at"],
-        [F.col("last_seen_at").desc_nulls_last()],
-        tie_break=[c for c in cleaned.columns if c not in ("callsign", "movement_date", "first_seen_at", "last_seen_at")],
-    )
 
 
 def stg_observations(

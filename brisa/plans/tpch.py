@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ..functions.classify import Rule
 from ..functions.scalars import epoch_millis
-from ..session import scratch_path
+from ..session import scratch_path, task_bytes
 from ..sources import files
 from . import dims, marts, serving, staging
 
@@ -36,6 +36,8 @@ BASE_YEAR = 1996
 HUB_REGIONS = ["AMERICA", "ASIA", "EUROPE"]
 N_HUBS = 8
 CALENDAR = marts.Calendar.from_base(BASE_YEAR)
+# Shuffled bytes of a task that writes an intermediate table: some 400,000 movements, which its sorts hold at 10 times that size.
+TASK_BYTES = "16m"
 
 # Observation measures and condition rules of the mapping,
 # in precedence order (first match wins).
@@ -104,10 +106,12 @@ class Model:
         path = _TABLES.get(key)
         if path is None:
             path = scratch_path(self.spark, f"model-{name}")
-            if cluster:
-                files.write_clustered(build(), path, cluster)
-            else:
-                build().write.mode("overwrite").parquet(path)
+            df = build()
+            with task_bytes(self.spark, TASK_BYTES):
+                if cluster:
+                    files.write_clustered(df, path, cluster)
+                else:
+                    df.write.mode("overwrite").parquet(path)
             _TABLES[key] = path
         return self.spark.read.parquet(path)
 
@@ -215,6 +219,12 @@ class Model:
     def stg_observations(self) -> DataFrame:
         return staging.stg_observations(self.raw_observations(), OBS_MEASURES, station="station", nanos="obs_time")
 
+    def grid(self) -> DataFrame:
+        """Observations per station and hour (A14). Written, so that the joins with it are planned by its size: known to be small, it spares the movements a shuffle."""
+        return self._memo(
+            "grid", lambda: self._table("observation_grid", lambda: marts.observation_grid(self.stg_observations(), OBS_MEASURES))
+        )
+
     def stg_carriers(self) -> DataFrame:
         return staging.stg_carriers(self.raw_carriers())
 
@@ -250,7 +260,7 @@ class Model:
             lambda: self._table(
                 "conditions",
                 lambda: marts.movements_with_conditions(
-                    self.stg_movements(), self.stg_observations(), self.hubs(), OBS_MEASURES, RULES
+                    self.stg_movements(), self.grid(), self.hubs(), OBS_MEASURES, RULES
                 ),
                 ("movement_date", "origin", "destination"),
             ),

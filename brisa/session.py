@@ -6,6 +6,8 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -74,6 +76,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
+@contextmanager
+def task_bytes(spark: SparkSession, size: str) -> Iterator[None]:
+    """Adaptive execution merges small shuffle partitions up to ``size`` only, for what runs inside.
+
+    For jobs whose tasks sort rows that take far more memory than in the
+    shuffle: merged up to the usual size they would spill.
+    """
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def cluster_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings sized for a cluster run over ``input_bytes`` of Parquet.
 

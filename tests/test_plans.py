@@ -95,3 +95,38 @@ def test_hub_ranking_is_top_n_not_sort(spark):
     lazy = Model(spark, SF, materialize=False)
     p = plan(lazy.hubs())
     assert "TakeOrderedAndProject" in p and "Sort [" not in p
+
+
+def test_dedup_sorts_raw_columns_only(spark):
+    """Ids are hashed for the rows that stay, above the window."""
+    p = plan(Model(spark, SF, materialize=False).stg_movements())
+    assert p.count("md5(") == 1 and p.index("md5(") < p.index("Window [")
+
+
+def test_intermediate_tables_are_written_by_small_tasks(spark, tmp_path, monkeypatch):
+    from brisa.plans import tpch
+
+    name, seen = "spark.sql.adaptive.advisoryPartitionSizeInBytes", []
+    monkeypatch.setattr(tpch.files, "write_clustered", lambda df, path, by: (seen.append(spark.conf.get(name)), df.write.parquet(path)))
+    before = spark.conf.get(name)
+    m = Model(spark, SF)
+    key = (spark.sparkContext.applicationId, tpch.input_identity(spark, SF), "small_tasks")
+    try:
+        m._table("small_tasks", lambda: spark.range(3), ("id",))
+    finally:
+        tpch._TABLES.pop(key, None)
+    assert seen == [tpch.TASK_BYTES] and spark.conf.get(name) == before
+
+
+def test_the_observation_grid_is_a_table_of_known_size(spark, model):
+    from brisa.plans import catalog
+
+    assert scans_of(catalog.QUERIES["hour_bucket_join"][0](spark, SF), "model-observation_grid") == 1
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    joined = marts.movements_with_conditions(model.stg_movements(), model.grid(), model.hubs(), OBS_MEASURES, RULES)
+    # Room for the written grid, not for what the planner would expect of orders and customers.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "60000")
+    try:
+        assert "SortMergeJoin" not in plan(joined.select("movement_id", "origin_price", "destination_price"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
