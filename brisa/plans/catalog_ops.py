@@ -541,6 +541,12 @@ def q_interleaved(spark, d):
     return frames[0].unionByName(frames[1])
 
 
+def _make_folder(spark, path):
+    """An empty delivery has a folder too."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(p)
+
+
 @register(
     "incremental_build",
     sql("SELECT 'N' || hub AS hub, month, year, total_movements, baseline_movements, recovery_ratio, movement_delta, phase FROM recovery"),
@@ -562,21 +568,25 @@ def q_incremental_build(spark, d):
 
     raw = m.raw_movements().withColumns({"origin": station("origin"), "destination": station("destination")})
     flights = shaped(raw, schemas.FLIGHTS_RAW, {c: F.col(c) for c in raw.columns}).withColumn("dt", F.trunc(F.col("day").cast("date"), "month"))
-    flights = flights.repartition("dt")
     late = F.coalesce((F.col("registration") == "R") & F.col("dt").cast("string").isin(f"{B}-03-01", f"{B + 2}-06-01"), F.lit(False))
-    flights.filter(~late).write.partitionBy("dt").parquet(f"{root}/flights")
+    # Both deliveries come from one pass over the joined tables; months larger than a task's share are split.
+    deliveries, first = f"{root}/deliveries", f"{root}/deliveries/late=0"
+    _make_folder(spark, first)
+    flights = flights.withColumn("late", late.cast("int")).hint("rebalance", F.col("late"), F.col("dt"))
+    flights.write.mode("append").partitionBy("late", "dt").parquet(deliveries)
+    landed = spark.read.schema(T.StructType([*schemas.FLIGHTS_RAW.fields, T.StructField("late", T.IntegerType()), T.StructField("dt", T.DateType())])).parquet(deliveries)
     seen = m.raw_observations().select(station("station").alias("airport_icao"), "obs_time", "obs_date", (F.col("balance") / 400).alias("snowfall"))
     shaped(seen, schemas.WEATHER_RAW, {c: F.col(c) for c in seen.columns}).write.parquet(f"{root}/weather")
     places = m.places().select(station("station").alias("ident"), F.col("place_name").alias("name"), F.lit("large_airport").alias("type"), F.col("country").alias("iso_country"))
     shaped(places, schemas.AIRPORTS_RAW, {c: F.col(c) for c in places.columns}).write.option("header", True).csv(f"{root}/airports")
     shaped(m.raw_carriers(), schemas.AIRLINES_RAW, {c: F.col(c) for c in m.raw_carriers().columns}).write.csv(f"{root}/airlines")
-    routes = m.raw_routes()
+    routes = m.raw_routes(landed.withColumns({c: F.expr(f"substring({c}, 2)") for c in ("origin", "destination")}))
     shaped(routes, schemas.ROUTES_RAW, {c: F.col(c) for c in routes.columns}).write.csv(f"{root}/routes")
     hubs = m.hubs().select(station("station").alias("station"), text.alias("iata"), F.col("place_name").alias("name"), "country", number.alias("latitude"), number.alias("longitude"))
     hubs.write.option("header", True).csv(f"{root}/hubs")
-    inp = warehouse.Inputs(*[f"{root}/{n}" for n in ("flights", "weather", "airports", "airlines", "routes")], hub_seed=f"{root}/hubs")
+    inp = warehouse.Inputs(first, *[f"{root}/{n}" for n in ("weather", "airports", "airlines", "routes")], hub_seed=f"{root}/hubs")
     incremental.build(spark, inp, f"{root}/out", CALENDAR)
-    flights.filter(late).write.mode("append").partitionBy("dt").parquet(f"{root}/flights")
+    landed.filter("late = 1").drop("late").write.mode("append").partitionBy("dt").parquet(first)
     incremental.build(spark, inp, f"{root}/out", CALENDAR)
     return spark.read.parquet(f"{root}/out/hub_recovery").select(
         "hub", "month", "year", "total_movements", "baseline_movements", "recovery_ratio", "movement_delta", "phase"

@@ -186,8 +186,9 @@ class Model:
             F.when(F.col("p_size") > 25, F.lit("Y")).otherwise(F.lit("N")).alias("active"),
         )
 
-    def raw_routes(self) -> DataFrame:
-        r = self.raw_movements()
+    def raw_routes(self, movements: DataFrame | None = None) -> DataFrame:
+        """From the raw movements, or from a copy of them that was written."""
+        r = self.raw_movements() if movements is None else movements
         return r.select(
             F.substring("callsign", 1, 3).alias("airline"),
             F.lit(None).cast("string").alias("airline_id"),

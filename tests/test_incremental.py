@@ -115,3 +115,35 @@ def test_a_build_that_was_cut_off_is_done_again(spark, built, monkeypatch):
     assert report.months["carrier_performance"] == [dt.date(2021, 7, 1)]
     assert spark.read.parquet(f"{out}/carrier_performance").filter("month = '2021-07-01'").count() == 1
     assert spark.read.parquet(f"{out}/stg_movements").filter("callsign = 'NEW3'").count() == 1
+
+
+def test_both_deliveries_and_the_routes_come_from_one_pass(spark, monkeypatch):
+    """The joined tables are read once; what the query hands to the build is all of them, less the late rows."""
+    from brisa.plans import catalog_ops, tpch
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("test tables not present")
+    seen, plans, plain = [], [], tpch.Model.raw_routes
+
+    def routes(self, *a):
+        out = plain(self, *a)
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    def stop(spark, inp, *a):
+        seen.append(inp)
+        raise InterruptedError
+
+    monkeypatch.setattr(tpch.Model, "raw_routes", routes)
+    monkeypatch.setattr(catalog_ops.incremental, "build", stop)
+    with pytest.raises(InterruptedError):
+        catalog_ops.q_incremental_build(spark, sf)
+    assert len(plans) == 1 and "l_orderkey" not in plans[0]
+    m = tpch.Model(spark, sf)
+    raw = m.raw_movements()
+    late = raw.filter((F.col("registration") == "R") & F.substring("day", 1, 7).isin(f"{tpch.BASE_YEAR}-03", f"{tpch.BASE_YEAR + 2}-06"))
+    assert late.count() > 0 and spark.read.parquet(seen[0].flights).count() == raw.count() - late.count()
+    want = plain(m).select("airline", "source_airport", "destination_airport", "codeshare", F.col("stops").cast("string"), "equipment")
+    got = spark.read.schema(schemas.ROUTES_RAW).csv(seen[0].routes).select("airline", "source_airport", "destination_airport", "codeshare", F.col("stops").cast("string"), "equipment")
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
