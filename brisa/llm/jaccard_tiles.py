@@ -12,10 +12,13 @@ link when the Jaccard similarity of their sets reaches ``percent``.
    sets that link share a shingle among the first ``n - ceil(t n) + 1`` of each
    in this order: those are the tokens a node is filed under.
 3. Nodes of one token and neighbouring size bands (factor 1 / t) form a tile;
-   others cannot link. Tokens met by one node alone vanish here.
+   others cannot link. Tokens met by one node alone vanish here. A row also
+   holds how far down its node's order the token stands: of the first token that
+   two sets share, both places bound the overlap, so a pair whose places at a
+   token forbid the link is left to its other tokens.
 4. Each node is compared with a few nodes of its tile; in a group of up to nine
-   these are all pairs. A pair goes on only if
-   the sizes allow the link and the signatures' bit counts, which bound the
+   these are all pairs. A pair goes on only if bands and places allow the link,
+   the sizes do and the signatures' bit counts, which bound the
    overlap from above, do; sets too large for 512 bits have a second signature
    of one to two bits a shingle. Then the sorted hash arrays are intersected.
 5. Links found so far give components. Only larger groups that still hold
@@ -57,6 +60,7 @@ WIDE_MOST = 1 << 16
 NEIGHBOURS = 8
 DRAWN = 2  # nodes that a frequent token draws; who links with neither meets the best-linked nodes next
 HOT_LEVEL = 40  # about 2 ** (40 / 4) documents
+STEPS = 32  # of a token's standing in its node's order; a place is band * STEPS + step
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -184,13 +188,13 @@ def _levels(described: DataFrame) -> np.ndarray:
 
 
 def _filed(docs: DataFrame, levels, words: int, percent: int, hot: bool) -> DataFrame:
-    """Pass 2: ``token, band, key`` of every token a node is filed under, frequent tokens or the others."""
+    """Pass 2: ``token, place, key`` of every token a node is filed under, frequent tokens or the others."""
     step = math.log(100 / percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = levels.value
         for batch in batches:
-            token, key, size = [], [], []
+            token, key, size, steps = [], [], [], []
             met: set[int] = set()
             for text in batch.column(1):
                 found = shingles(text.as_py(), words)
@@ -204,11 +208,13 @@ def _filed(docs: DataFrame, levels, words: int, percent: int, hot: bool) -> Data
                 level = table[_slots(found)]
                 take = n - (n * percent + 99) // 100 + 1
                 order = np.argsort(level, kind="stable")[:take]
-                order = order[(level[order] >= HOT_LEVEL) == hot]
-                if len(order):
-                    token.append(found[order])
+                at = np.flatnonzero((level[order] >= HOT_LEVEL) == hot)
+                if len(at):
+                    token.append(found[order[at]])
                     key.append(k)
-                    size.append((len(order), n))
+                    size.append((len(at), n))
+                    # Rounded down, which bounds less.
+                    steps.append(np.minimum(STEPS - 1, at * (100 * STEPS) // (n * max(1, 100 - percent))))
             if token:
                 flat = np.concatenate(token)
                 many = np.array([s for s, _ in size])
@@ -216,44 +222,72 @@ def _filed(docs: DataFrame, levels, words: int, percent: int, hot: bool) -> Data
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array((flat >> np.uint64(20)).astype(np.uint32).view(np.int32)),
-                        pa.array(np.repeat(band, many)),
+                        pa.array((np.repeat(band, many) * STEPS + np.concatenate(steps)).astype(np.int32)),
                         pa.array(np.repeat(np.array(key, dtype=np.int64), many)),
                     ],
-                    names=["token", "band", "key"],
+                    names=["token", "place", "key"],
                 )
 
-    return docs.mapInArrow(run, "token int, band int, key long")
+    return docs.mapInArrow(run, "token int, place int, key long")
 
 
-def _tiles(docs: DataFrame, levels, words: int, percent: int) -> DataFrame:
-    """``token, band, key, others, many``: rows of tokens that several nodes share.
+def _band(place: Column | str) -> Column:
+    return F.floor((F.col(place) if isinstance(place, str) else place) / STEPS).cast("int")
+
+
+def _places_allow(x: Column, y: Column, percent: int) -> Column:
+    """Whether two nodes whose first common token has these places may link.
+
+    With ``t`` as the similarity, a link needs an overlap of ``t (nx + ny) / (1 + t)``.
+    Of a set whose first common token stands behind a share ``f`` of it at most
+    ``(1 - f) n`` are common: ``ny / nx <= (1 - f) (1 + t) / t - 1``, and likewise
+    for the other, so the product of both right sides must reach 1.
+    """
 
-    ``others`` are nodes to compare with first: the ``NEIGHBOURS`` before it in
-    the token's order by size band, which in a small group is everyone before
-    it; ``many`` marks larger groups, of which other pairs remain. Frequent
-    tokens are not sorted in one place: their nodes are compared with as many
-    nodes drawn by hash from the tile, found by aggregates.
+    def most(place: Column) -> Column:
+        share = F.pmod(place, F.lit(STEPS)) * ((100 - percent) / (100 * STEPS))
+        return (1 - share) * ((100 + percent) / percent) - 1
+
+    near = F.abs(_band(x) - _band(y)) <= 1
+    return near & (most(x) * most(y) >= 1 - 1e-9)
+
+
+def _tiles(docs: DataFrame, levels, words: int, percent: int) -> DataFrame:
+    """``token, place, key, others, many``: rows of tokens that several nodes share.
+
+    ``others`` are nodes to compare with first: those that bands and places
+    allow among the ``NEIGHBOURS`` before it in the token's order by place, which
+    in a small group is everyone before it; ``many`` marks rows with more nodes
+    within reach, of which other pairs remain. Rows whose place allows nobody
+    within reach go. Frequent tokens are not sorted in one place: their nodes are
+    compared with as many nodes drawn by hash from the tile, found by aggregates.
     """
     cold = _filed(docs, levels, words, percent, hot=False)
     token = Window.partitionBy("token")
-    before = [F.lag("key", i).over(token.orderBy("band", "key")) for i in range(1, NEIGHBOURS + 1)]
+    before = [F.lag(F.struct("place", "key"), i).over(token.orderBy("place", "key")) for i in range(1, NEIGHBOURS + 1)]
+    # Bands that differ by one are less than 2 * STEPS places apart; those in between in this order are within reach too.
+    reach = token.orderBy("place").rangeBetween(1 - 2 * STEPS, 2 * STEPS - 1)
+    step = F.pmod("place", F.lit(STEPS))
+    allowed = F.filter("before", lambda o: _places_allow(o["place"], F.col("place"), percent))
     cold = (
-        cold.withColumns({"lo": F.min("key").over(token), "hi": F.max("key").over(token), "rows": F.count("*").over(token)})
+        cold.withColumns({"lo": F.min("key").over(token), "hi": F.max("key").over(token)})
         .filter("lo <> hi")
-        .withColumns({"others": F.array(*before), "many": F.col("rows") > NEIGHBOURS + 1})
-        .select("token", "band", "key", "others", "many")
+        .withColumns({"before": F.array_compact(F.array(*before)), "rows": F.count("*").over(reach), "least": F.min(step).over(reach)})
+        .filter((F.col("rows") > 1) & _places_allow(F.col("place"), _band("place") * STEPS + F.col("least"), percent))
+        .select("token", "place", "key", allowed["key"].alias("others"), (F.col("rows") > NEIGHBOURS + 1).alias("many"))
     )
     if not (levels.value >= HOT_LEVEL).any():
         return store.materialise(cold, "tiles")
     hot = store.materialise(_filed(docs, levels, words, percent, hot=True).distinct(), "hot_tiles")
     shared = hot.groupBy("token").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).filter("lo <> hi").select("token")
     names = [f"d{i}" for i in range(DRAWN)]
+    hot = hot.withColumn("band", _band("place"))
     drawn = hot.groupBy("token", "band").agg(*[F.min(F.struct(F.xxhash64(F.lit(i), "key"), "key")).alias(d) for i, d in enumerate(names)])
     # A tile reaches one band down, so its drawn nodes may be the lower band's.
     reach = drawn.unionByName(drawn.withColumn("band", F.col("band") + 1))
     reach = reach.groupBy("token", "band").agg(F.array(*[F.min(d)["key"] for d in names]).alias("others"))
     hot = hot.join(shared, "token", "left_semi").join(reach, ["token", "band"])
-    return store.materialise(cold.unionByName(hot.select("token", "band", "key", "others", F.lit(True).alias("many"))), "tiles")
+    return store.materialise(cold.unionByName(hot.select("token", "place", "key", "others", F.lit(True).alias("many"))), "tiles")
 
 
 def _may_link(x: str, y: str, percent: int) -> Column:
@@ -350,10 +384,10 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _labelled(tiles: DataFrame, label: DataFrame) -> DataFrame:
-    """``token, band, key, component, lo`` of the rows of larger groups that still hold several components; ``lo`` is one of them."""
+    """``token, place, key, component, lo`` of the rows of larger groups that still hold several components; ``lo`` is one of them."""
     tiles = tiles.filter("many")
     named = tiles.join(label, tiles["key"] == label["node"], "left").select(
-        "token", "band", "key", F.coalesce("component", "key").alias("component")
+        "token", "place", "key", F.coalesce("component", "key").alias("component")
     )
     mixed = named.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
     return named.join(mixed.select("token", "lo"), "token")
@@ -367,7 +401,7 @@ def _to_hubs(tiles: DataFrame, edges: DataFrame, label: DataFrame) -> DataFrame:
     resembles none of the nodes that were drawn. ``NEIGHBOURS`` hash classes of a
     tile each name their best-linked node; found by aggregates.
     """
-    rows = _labelled(tiles, label).drop("lo")
+    rows = _labelled(tiles, label).select("token", _band("place").alias("band"), "key", "component")
     degree = edges.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").count()
     names = [f"h{i}" for i in range(NEIGHBOURS)]
     own = F.pmod(F.xxhash64(F.lit("hub"), "key"), F.lit(NEIGHBOURS))
@@ -380,8 +414,9 @@ def _to_hubs(tiles: DataFrame, edges: DataFrame, label: DataFrame) -> DataFrame:
 
 
 def _crossing(tiles: DataFrame, nodes: DataFrame, label: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one tile that are in different components so far and that the bounds let through."""
+    """Pairs of one tile that are in different components so far and that places and the bounds let through."""
     open_rows = store.materialise(_labelled(tiles, label).join(nodes.drop("doc_id", "wide"), "key"), "open_tiles")
+    open_rows = open_rows.withColumn("band", _band("place"))
     # One component of each token (the smallest) needs no comparison inside; the others look at everything else.
     outside = open_rows.filter("component <> lo").withColumn("probe", F.explode(F.array(*[F.col("band") + d for d in (-1, 0, 1)])))
     x, y = outside.alias("x"), open_rows.alias("y")
@@ -390,6 +425,7 @@ def _crossing(tiles: DataFrame, nodes: DataFrame, label: DataFrame, percent: int
         & (F.col("x.probe") == F.col("y.band"))
         & (F.col("x.component") != F.col("y.component"))
         & ((F.col("y.component") == F.col("y.lo")) | (F.col("x.key") < F.col("y.key")))
+        & _places_allow(F.col("x.place"), F.col("y.place"), percent)
         & _may_link("x", "y", percent)
     )
     return x.join(y, meet).select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct()

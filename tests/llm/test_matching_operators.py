@@ -143,6 +143,29 @@ def test_jaccard_chains_and_borders(spark):
     assert out == {i: comp[i] for i in range(len(rows))}
 
 
+def test_jaccard_places_leave_unlikely_pairs(spark):
+    """Texts of one form that all lack too much of each other meet in no tile; a pair that links does."""
+    import random
+
+    rng = random.Random(3)
+    form = cases.words(rng, 400).split()
+    texts = []
+    for i in range(60):
+        text = list(form)
+        for at in range(i % 20, 400, 28):  # 14 or 15 words, so over a ninth of the shingles are its own
+            text[at] = f"own{i}x{at}"
+        texts.append(" ".join(text))
+    rows = [*enumerate(texts), (60, " ".join([*texts[0].split()[:-2], "other", "end"]))]
+    sets = shingle_sets(rows)
+    assert linked(sets) == [(60, 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    levels = spark.sparkContext.broadcast(jaccard_tiles._levels(jaccard_tiles._describe(docs, 5)))
+    tiles = jaccard_tiles._tiles(docs, levels, 5, 80).collect()
+    assert {frozenset((r["key"], x)) for r in tiles for x in r["others"]} and len({r["key"] for r in tiles}) == 2
+    out = {r["doc_id"]: r["component_id"] for r in jaccard_tiles.link(docs).collect()}
+    assert out == {i: i % 60 for i in range(61)}
+
+
 def vectors(spark, n=300):
     rng = np.random.default_rng(8)
     base = rng.standard_normal((n, 16))
