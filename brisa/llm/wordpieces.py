@@ -24,7 +24,8 @@ _WS = r"\t-\r \x85\xa0  -     　"
 _RUNS = re.compile(rf"[{_WS}]+(?![^{_WS}])| ?[^{_WS}]+|[{_WS}]+")
 _TOUCHING = re.compile(r"\s | \s")
 _TAIL = re.compile(r"[a-zA-Z][.,]+\Z")
-CACHE_WORDS = 1_000_000
+# A kept chunk takes 150 to 200 bytes, so the two generations of a worker stay under 100 MB.
+CACHE_WORDS = 250_000
 LONGEST_KEPT = 64
 
 

@@ -55,6 +55,23 @@ LIBRARY = {p: Tokenizer.from_file(p) for p in (WORD, BYTE)}
 BACKTRACK = backtrack_bpe.backtracking_encoder(BYTE)
 
 
+def test_cache_of_chunks_stays_small():
+    import tracemalloc
+
+    from brisa.llm import wordpieces
+
+    cache = wordpieces._Cache(lambda c: c[-4:].encode(), wordpieces.CACHE_WORDS)
+    tracemalloc.start()
+    try:
+        for i in range(3 * wordpieces.CACHE_WORDS):
+            cache[f"chunk{i}"]
+        assert tracemalloc.get_traced_memory()[0] < 150e6
+    finally:
+        tracemalloc.stop()
+    cache["chunk1"]
+    assert dict.__getitem__(cache, "chunk1") == b"unk1" and len(cache) + len(cache.older) <= 2 * wordpieces.CACHE_WORDS
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.one_of(st.integers(0, 1), st.integers(0, 50_000), st.integers(0, 2**64 - 1)), max_size=300), st.sampled_from([1, 7, 64, 4096]))
 def test_simple8b_round_trip(ids, stride):
