@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from brisa.llm import store
-from brisa.llm.wordpieces import library_encoder, worker_encoder
+from brisa.llm.wordpieces import library_encoder, small_library_encoder, worker_encoder
 
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, cost double"
@@ -112,14 +112,16 @@ def pack(
     block_tokens: int = 4_000_000,
     id_col: str = "doc_id",
     text_col: str = "text",
+    small_cache: bool = False,
 ) -> DataFrame:
     """One row per piece (``SCHEMA``); ``cost`` is that of the piece's whole sequence.
 
     ``vocabulary`` is the path of a ``tokenizers`` file that every executor can open.
+    ``small_cache`` takes less memory a worker and more time, for the same rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_encoder(library_encoder, vocabulary)
+        encoder = worker_encoder(small_library_encoder if small_cache else library_encoder, vocabulary)
         end = np.array([end_id], dtype=encoder.dtype).tobytes()
         part = TaskContext.get().partitionId() if TaskContext.get() else 0
         block, docs_in, ids_in, tokens = 0, [], [], 0

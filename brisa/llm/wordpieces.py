@@ -24,8 +24,9 @@ _WS = r"\t-\r \x85\xa0  -     　"
 _RUNS = re.compile(rf"[{_WS}]+(?![^{_WS}])| ?[^{_WS}]+|[{_WS}]+")
 _TOUCHING = re.compile(r"\s | \s")
 _TAIL = re.compile(r"[a-zA-Z][.,]+\Z")
-# A kept chunk takes 150 to 200 bytes, so the two generations of a worker stay under 100 MB.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 1_000_000
+# A kept chunk takes 150 to 200 bytes, so two generations of this size stay under 100 MB.
+SMALL_CACHE_WORDS = 250_000
 LONGEST_KEPT = 64
 
 
@@ -104,7 +105,7 @@ class TextEncoder:
         return np.frombuffer(self.packed(text), self.dtype)
 
 
-def library_encoder(path: str) -> TextEncoder:
+def library_encoder(path: str, most: int = CACHE_WORDS) -> TextEncoder:
     """A :class:`TextEncoder` over the ``tokenizers`` library and a vocabulary file."""
     import json
     import os
@@ -132,7 +133,7 @@ def library_encoder(path: str) -> TextEncoder:
     def kept(text: str) -> list[int]:
         ids = parts.get(text)
         if ids is None:
-            if len(parts) >= CACHE_WORDS // 10:
+            if len(parts) >= most // 10:
                 parts.clear()
             ids = parts[text] = piece(text)
         return ids
@@ -146,7 +147,12 @@ def library_encoder(path: str) -> TextEncoder:
         cut = m.start() + 1
         return kept(text[:cut]) + kept(text[cut:])
 
-    return TextEncoder(chunk, not lower, special, tok.get_vocab_size())
+    return TextEncoder(chunk, not lower, special, tok.get_vocab_size(), most)
+
+
+def small_library_encoder(path: str) -> TextEncoder:
+    """With a small cache: slower, for executors whose memory other stages fill."""
+    return library_encoder(path, SMALL_CACHE_WORDS)
 
 
 class RankEncoder:

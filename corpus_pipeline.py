@@ -48,7 +48,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of at most 2048 tokens."""
     store.prepare(spark)
-    return cost_packing.pack(docs, vocabulary_path("word_bpe_49k.json"))
+    return cost_packing.pack(docs, vocabulary_path("word_bpe_49k.json"), small_cache=True)
 
 
 STAGES = [

@@ -60,16 +60,17 @@ def test_cache_of_chunks_stays_small():
 
     from brisa.llm import wordpieces
 
-    cache = wordpieces._Cache(lambda c: c[-4:].encode(), wordpieces.CACHE_WORDS)
+    most = wordpieces.small_library_encoder(WORD)._whole.most
+    cache = wordpieces._Cache(lambda c: c[-4:].encode(), most)
     tracemalloc.start()
     try:
-        for i in range(3 * wordpieces.CACHE_WORDS):
+        for i in range(750_000):
             cache[f"chunk{i}"]
         assert tracemalloc.get_traced_memory()[0] < 150e6
     finally:
         tracemalloc.stop()
     cache["chunk1"]
-    assert dict.__getitem__(cache, "chunk1") == b"unk1" and len(cache) + len(cache.older) <= 2 * wordpieces.CACHE_WORDS
+    assert dict.__getitem__(cache, "chunk1") == b"unk1" and len(cache) + len(cache.older) <= 2 * most
 
 
 @settings(max_examples=80, deadline=None)
