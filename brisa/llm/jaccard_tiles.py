@@ -362,7 +362,9 @@ def _sets(docs: DataFrame, nodes: DataFrame, keys: DataFrame, words: int) -> Dat
             if key:
                 yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(found, pa.binary())], names=["key", "found"])
 
-    return store.materialise(docs.mapInArrow(run, "key long, found binary"), "sets")
+    sets = store.materialise(docs.mapInArrow(run, "key long, found binary"), "sets")
+    bits.destroy()
+    return sets
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -445,13 +447,17 @@ def link(
         rows.filter("n > 0").groupBy("key", "n").agg(F.min("doc_id").alias("doc_id"), *bits, F.first("wide").alias("wide")), "nodes"
     )
     tiles = _tiles(read, levels, words, percent)
+    levels.destroy()  # the tiles are written
+    store.release(spark)
     pairs = tiles.select("key", F.explode("others").alias("other")).filter("key <> other")
     pairs = pairs.select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b"))
     pairs = store.materialise(_bounded(pairs.distinct(), nodes, percent), "first_pairs")
     near = store.materialise(_bounded_wide(pairs, nodes, percent), "first_near")
     edges = store.materialise(_verified(near, _sets(read, nodes, _ends(near), words), percent), "first_links")
+    store.release(spark)
     label = components(edges)
     hubs = store.materialise(_bounded(_to_hubs(tiles, edges, label).join(pairs, ["a", "b"], "left_anti"), nodes, percent), "hub_pairs")
+    store.release(spark)
     if not hubs.isEmpty():
         near = store.materialise(_bounded_wide(hubs, nodes, percent), "hub_near")
         found = store.materialise(_verified(near, _sets(read, nodes, _ends(near), words), percent), "hub_links")
@@ -459,6 +465,7 @@ def link(
         pairs = pairs.unionByName(hubs)
     more = _crossing(tiles, nodes, label, percent).join(pairs, ["a", "b"], "left_anti")
     more = store.materialise(_bounded_wide(more, nodes, percent), "more_near")
+    store.release(spark)
     if not more.isEmpty():
         found = store.materialise(_verified(more, _sets(read, nodes, _ends(more), words), percent), "more_links")
         label = _joined(label, found)

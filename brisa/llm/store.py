@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -52,6 +53,17 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of what finished jobs hold, after a written table has cut the lineage.
+
+    Spark drops their shuffle files and broadcasts once the driver has collected
+    the handles, and a driver that collects seldom keeps a heap many times its
+    live data. For steps of many jobs.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def as_text(column: Column | str) -> Column:
     """Text with null read as empty."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import os
 import re
 from collections import Counter, defaultdict
 
@@ -43,6 +44,31 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_stop_at_stars(spark, monkeypatch):
+    written, write = [], store.materialise
+    monkeypatch.setattr(store, "materialise", lambda df, name: write(df, written.append(name) or name))
+    # Round one leaves stars; a further one would only see that nothing changes.
+    got = components.components(spark.createDataFrame([(1, 2), (2, 3), (7, 8)], "a long, b long"))
+    assert {tuple(r) for r in got.collect()} == {(1, 1), (2, 1), (3, 1), (7, 7), (8, 7)}
+    assert len(written) == 2
+
+
+def test_small_star_keeps_every_node(spark):
+    rng = np.random.default_rng(5)
+    edges = {(int(max(p)), int(min(p))) for p in rng.integers(0, 60, (150, 2)) if p[0] != p[1]}
+    least = {a: min(b for x, b in edges if x == a) for a, _ in edges}
+    want = {(b, least[a]) for a, b in edges if b != least[a]} | set(least.items())
+    got = components._small(spark.createDataFrame(sorted(edges), "a long, b long"))
+    assert {tuple(r) for r in got.collect()} == want
+
+
+def test_near_copies_free_their_broadcasts(spark, docs, monkeypatch):
+    made, send = [], spark.sparkContext.broadcast
+    monkeypatch.setattr(spark.sparkContext, "broadcast", lambda value: made.append(send(value)) or made[-1])
+    jaccard_tiles.link(docs).count()
+    assert made and not any(os.path.exists(b._path) for b in made)
+
+
 def covered(raws, length):
     seen = Counter(r[i : i + length] for r in raws for i in range(len(r) - length + 1))
     out = []
